@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightmarts.constants import ARRIVAL, DEPARTURE
@@ -47,30 +47,29 @@ FACT_COLUMNS = [
 ]
 
 
-def _conformed(staged: DataFrame, direction: str, arrival_only: dict[str, Column]) -> DataFrame:
-    return staged.select(
+def _conformed(staged: DataFrame, direction: str, arrival_only: list[str]) -> DataFrame:
+    """Staged columns in unified order; ``arrival_only`` are SQL expressions."""
+    return staged.selectExpr(
         *_SHARED_HEAD,
-        F.col(f"scheduled_{direction}_utc").alias("scheduled_time_utc"),
-        F.col(f"actual_{direction}_utc").alias("actual_time_utc"),
+        f"scheduled_{direction}_utc",
+        f"actual_{direction}_utc",
         *_SHARED_BODY,
-        F.col(f"{direction}_hour").alias("flight_hour"),
-        F.col(f"{direction}_day_of_week").alias("flight_day_of_week"),
-        F.col(f"{direction}_day_name").alias("flight_day_name"),
-        F.col(f"{direction}_date").alias("flight_date"),
-        F.col(f"{direction}_time_period").alias("flight_time_period"),
+        f"{direction}_hour",
+        f"{direction}_day_of_week",
+        f"{direction}_day_name",
+        f"{direction}_date",
+        f"{direction}_time_period",
         "is_on_time",
-        *[column.alias(name) for name, column in arrival_only.items()],
-        F.lit(direction).alias("flight_type"),
-    )
+        *arrival_only,
+        f"'{direction}'",
+    ).toDF(*UNIFIED_COLUMNS)
 
 
 def unify(stg_arrivals: DataFrame, stg_departures: DataFrame) -> DataFrame:
     """All flights in one shape, told apart by ``flight_type``."""
-    arrivals = _conformed(stg_arrivals, ARRIVAL, {c: F.col(c) for c in _ARRIVAL_ONLY})
-    departures = _conformed(
-        stg_departures, DEPARTURE, {c: F.lit(None).cast(t) for c, t in _ARRIVAL_ONLY.items()}
-    )
-    return arrivals.unionByName(departures)
+    absent = [f"CAST(NULL AS {kind})" for kind in _ARRIVAL_ONLY.values()]
+    arrivals = _conformed(stg_arrivals, ARRIVAL, list(_ARRIVAL_ONLY))
+    return arrivals.unionByName(_conformed(stg_departures, DEPARTURE, absent))
 
 
 def with_keys(flights: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ DEPARTURE_COLUMNS = {
 
 
 def _renamed(raw: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return raw.select(*[F.col(source).alias(name) for name, source in columns.items()])
+    return raw.select(*columns.values()).toDF(*columns)
 
 
 def _latest(flights: DataFrame, scheduled: str) -> DataFrame:

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Recording a call site per column expression costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

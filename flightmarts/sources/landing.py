@@ -105,7 +105,11 @@ def raw_rows(docs: DataFrame, direction: str, load_id: str | Column) -> DataFram
     """
     carried = [c for c in docs.columns if c not in ("numberOfFlights", "flights", "load_id")]
     load = F.lit(load_id) if isinstance(load_id, str) else load_id
-    flights = docs.select(F.explode("flights").alias("flight"), load.alias("load"), *carried)
+    # A plain explode makes Spark test the list's size first, which parses the
+    # JSON text of a computed payload again.
+    flights = docs.select(
+        F.explode_outer("flights").alias("flight"), load.alias("load"), *carried
+    ).filter(F.col("flight").isNotNull())
     row_id = F.md5(F.concat_ws("|", F.col("load"), F.to_json(F.struct("flight"))))
     flat = flatten(flights.withColumn("row", row_id).select("flight.*", "load", "row", *carried))
     renamed = {"_dlt_load_id": "load", "_dlt_id": "row"}

@@ -14,100 +14,90 @@ from flightmarts import schemas
 from flightmarts.constants import AIRPORT_CODES, RAW_ARRIVALS, RAW_DEPARTURES
 from flightmarts.sources.landing import snake_case
 
+_LINEITEM = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_shipdate timestamp_ntz"
+)
 _AIRLINES = ["SK", "DY", "FR", "LH", "AY", "KL", "BA", "W6", "FI", "EW", "D8", None]
 _OTHER_AIRPORTS = AIRPORT_CODES + ["CPH", "OSL", "HEL", "LHR"]
 _FIRST_DAY = 1767225600  # 2026-01-01 00:00:00 UTC
 
 
-def _pick(values: list[str | None], position: Column) -> Column:
-    return F.get(F.array(*[F.lit(v).cast("string") for v in values]), position.cast("int"))
-
-
-def _flights(lines: DataFrame) -> DataFrame:
-    order, part, supp, line = (
-        F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    )
-    airline = _pick(_AIRLINES, order % 12)
-    home = _pick(AIRPORT_CODES, F.expr("l_orderkey div 12") % 10)
-    other = _pick(_OTHER_AIRPORTS, (F.expr("l_orderkey div 7") + line) % 14)
-    status = (
-        F.when(part % 20 <= 2, "DEL")
-        .when(part % 20 == 3, "CAN")
-        .when(part % 20 <= 6, "SCH")
-        .when(part % 20 == 7, "ACT")
-        .otherwise("LAN")
-    )
-    scheduled = _FIRST_DAY + (order % 60) * 86400 + ((order * 7 + line * 131) % 1440) * 60
-    base = lines.select(
-        (line % 2 == 1).alias("arrives"),
-        airline.alias("airline"),
-        F.concat(F.coalesce(airline, F.lit("XX")), (100 + order % 900).cast("string")).alias(
-            "flight_id"
+def _pick(values: list[str | None], position: str) -> str:
+    texts = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return f"get(array({texts}), int({position}))"
+
+
+# Flight in seconds and codes: name → expression over lineitem.
+_FLIGHT = {
+    "arrives": "l_linenumber % 2 = 1",
+    "airline": _pick(_AIRLINES, "l_orderkey % 12"),
+    "flight_id": f"concat(coalesce({_pick(_AIRLINES, 'l_orderkey % 12')}, 'XX'), "
+    "string(100 + l_orderkey % 900))",
+    "home": _pick(AIRPORT_CODES, "(l_orderkey div 12) % 10"),
+    "other": _pick(_OTHER_AIRPORTS, "(l_orderkey div 7 + l_linenumber) % 14"),
+    "scheduled": f"{_FIRST_DAY} + (l_orderkey % 60) * 86400"
+    " + ((l_orderkey * 7 + l_linenumber * 131) % 1440) * 60",
+    "status": "CASE WHEN l_partkey % 20 <= 2 THEN 'DEL' WHEN l_partkey % 20 = 3 THEN 'CAN'"
+    " WHEN l_partkey % 20 <= 6 THEN 'SCH' WHEN l_partkey % 20 = 7 THEN 'ACT' ELSE 'LAN' END",
+    "late": "((l_partkey * 37 + l_suppkey * 11) % 80) * 60 - 1200",
+    "terminal": "string(1 + l_suppkey % 5)",
+    "gate": "concat('G', string(1 + l_suppkey % 20))",
+    "carousel": "CASE WHEN l_partkey % 5 <> 0 THEN string(1 + l_suppkey % 6) END",
+    "to_first_bag": "300 + l_suppkey * 60",
+    "to_last_bag": "CASE WHEN l_partkey % 11 <> 0 THEN 120 + ((l_partkey * 17) % 40) * 60 END",
+    "load": "string(1769300000 + l_partkey % 3)",
+    "row": "concat(lpad(string(l_partkey), 8, '0'), lpad(string(l_suppkey), 8, '0'),"
+    " string(unix_date(date(l_shipdate))))",
+}
+
+
+def _raw_columns(direction: str, origin: str, destination: str) -> dict[str, str]:
+    """Raw column → expression over a flight."""
+    actual = "CASE WHEN status = 'LAN' THEN scheduled + late END"
+    return {
+        "flight_id": "flight_id",
+        "flight_leg_identifier__flight_id": "flight_id",
+        "flight_leg_identifier__departure_airport_iata": origin,
+        "flight_leg_identifier__arrival_airport_iata": destination,
+        "flight_leg_identifier__flight_departure_date_utc": (
+            "date_trunc('day', timestamp_seconds(scheduled))"
         ),
-        home.alias("home"),
-        other.alias("other"),
-        scheduled.alias("scheduled"),
-        status.alias("status"),
-        (((part * 37 + supp * 11) % 80) * 60 - 1200).alias("late"),
-        (1 + supp % 5).cast("string").alias("terminal"),
-        F.concat(F.lit("G"), (1 + supp % 20).cast("string")).alias("gate"),
-        F.when(part % 5 != 0, (1 + supp % 6).cast("string")).alias("carousel"),
-        (300 + supp * 60).alias("first_bag"),
-        F.when(part % 11 != 0, 120 + ((part * 17) % 40) * 60).alias("last_bag"),
-        (1769300000 + part % 3).cast("string").alias("load"),
-        F.concat(
-            F.lpad(part.cast("string"), 8, "0"),
-            F.lpad(supp.cast("string"), 8, "0"),
-            F.unix_date(F.to_date("l_shipdate")).cast("string"),
-        ).alias("row"),
-    )
-    return base.withColumn("actual", F.when(F.col("status") == "LAN", F.col("scheduled") + F.col("late")))
-
-
-def _at(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds)
+        "airline_operator__name": "concat('Airline ', airline)",
+        "airline_operator__iata": "airline",
+        "departure_airport_swedish": f"concat('Airport ', {origin})",
+        "departure_airport_english": f"concat('Airport ', {origin})",
+        "arrival_airport_swedish": f"concat('Airport ', {destination})",
+        "arrival_airport_english": f"concat('Airport ', {destination})",
+        f"{direction}_time__scheduled_utc": "timestamp_seconds(scheduled)",
+        f"{direction}_time__estimated_utc": "timestamp(NULL)",
+        f"{direction}_time__actual_utc": f"timestamp_seconds({actual})",
+        "location_and_status__flight_leg_status": "status",
+        "location_and_status__terminal": "terminal",
+        "location_and_status__gate": "gate",
+        "baggage__baggage_claim_unit": "carousel",
+        "baggage__first_bag_utc": f"timestamp_seconds({actual} + to_first_bag)",
+        "baggage__last_bag_utc": f"timestamp_seconds({actual} + to_first_bag + to_last_bag)",
+        "_dlt_load_id": "load",
+        "_dlt_id": "row",
+    }
 
 
 def _raw(flights: DataFrame, direction: str, origin: str, destination: str) -> DataFrame:
-    airline, scheduled, actual = F.col("airline"), F.col("scheduled"), F.col("actual")
-    first_bag = actual + F.col("first_bag")
-    named = {
-        "flight_id": F.col("flight_id"),
-        "flight_leg_identifier__flight_id": F.col("flight_id"),
-        "flight_leg_identifier__departure_airport_iata": F.col(origin),
-        "flight_leg_identifier__arrival_airport_iata": F.col(destination),
-        "flight_leg_identifier__flight_departure_date_utc": F.date_trunc("day", _at(scheduled)),
-        "airline_operator__name": F.concat(F.lit("Airline "), airline),
-        "airline_operator__iata": airline,
-        "departure_airport_swedish": F.concat(F.lit("Airport "), F.col(origin)),
-        "departure_airport_english": F.concat(F.lit("Airport "), F.col(origin)),
-        "arrival_airport_swedish": F.concat(F.lit("Airport "), F.col(destination)),
-        "arrival_airport_english": F.concat(F.lit("Airport "), F.col(destination)),
-        f"{direction}_time__scheduled_utc": _at(scheduled),
-        f"{direction}_time__estimated_utc": F.lit(None).cast("timestamp"),
-        f"{direction}_time__actual_utc": _at(actual),
-        "location_and_status__flight_leg_status": F.col("status"),
-        "location_and_status__terminal": F.col("terminal"),
-        "location_and_status__gate": F.col("gate"),
-        "baggage__baggage_claim_unit": F.col("carousel"),
-        "baggage__first_bag_utc": _at(first_bag),
-        "baggage__last_bag_utc": _at(first_bag + F.col("last_bag")),
-        "_dlt_load_id": F.col("load"),
-        "_dlt_id": F.col("row"),
-    }
     schema = schemas.ARRIVALS_RAW if direction == "arrival" else schemas.DEPARTURES_RAW
-    return flights.select(
-        *[named[f.name].alias(f.name) for f in schema.fields], F.col("home").alias("airport")
+    columns = _raw_columns(direction, origin, destination)
+    return flights.selectExpr(
+        *[f"{columns[name]} AS {name}" for name in schema.names], "home AS airport"
     )
 
 
 def raw_flights(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Both raw tables, by name, from the test data under ``sf_dir``."""
-    flights = _flights(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
-    arrives = F.col("arrives")
+    lines = spark.read.schema(_LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
+    flights = lines.selectExpr(*[f"{e} AS {name}" for name, e in _FLIGHT.items()])
     return {
-        RAW_ARRIVALS: _raw(flights.filter(arrives), "arrival", "other", "home"),
-        RAW_DEPARTURES: _raw(flights.filter(~arrives), "departure", "home", "other"),
+        RAW_ARRIVALS: _raw(flights.filter("arrives"), "arrival", "other", "home"),
+        RAW_DEPARTURES: _raw(flights.filter("NOT arrives"), "departure", "home", "other"),
     }
 
 
