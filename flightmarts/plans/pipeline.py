@@ -5,14 +5,20 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flightmarts.constants import RAW_ARRIVALS, RAW_DEPARTURES
 from flightmarts.plans.quality import quality_report
-from flightmarts.plans.warehouse import Models
+from flightmarts.plans.warehouse import KEYED_FLIGHTS, Models
 from flightmarts.session import use_utc
 from flightmarts.sources import bronze as raw_layer
 from flightmarts.sources.tables import ParquetStore
 
+_SCHEDULED = {
+    RAW_ARRIVALS: "arrival_time__scheduled_utc",
+    RAW_DEPARTURES: "departure_time__scheduled_utc",
+}
+
 
 def load(
     spark: SparkSession,
@@ -51,6 +57,47 @@ def build(
     return Models(raw, as_of, ParquetStore(spark, warehouse).keep).build_all()
 
 
-def check(built: dict[str, DataFrame]) -> DataFrame:
-    """The quality report over built models."""
-    return quality_report(built)
+def refresh(
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    warehouse: str,
+    since: dt.date | str,
+    until: dt.date | str,
+    as_of: dt.date | str | None = None,
+) -> dict[str, DataFrame]:
+    """Like ``build``, but only flights scheduled from ``since`` to ``until`` are redone.
+
+    Versions of a flight share its scheduled time, so a day's flights depend on
+    raw rows of that day alone: the filter reaches the raw scan, and only the
+    folders of these days are replaced. Dimensions and marts are then rebuilt
+    from the stored flights.
+    """
+    use_utc(spark)
+    first = F.lit(str(since)).cast("timestamp")
+    after = F.lit(str(until)).cast("timestamp") + F.expr("INTERVAL 1 DAY")
+    window = {
+        table: rows.filter(F.col(_SCHEDULED[table]) >= first).filter(
+            F.col(_SCHEDULED[table]) < after
+        )
+        for table, rows in raw.items()
+    }
+    store = ParquetStore(spark, warehouse)
+    store.replace_days(Models(window)[KEYED_FLIGHTS])
+
+    def keep(name: str, model: DataFrame) -> DataFrame:
+        return store.read(name, model) if name == KEYED_FLIGHTS else store.keep(name, model)
+
+    return Models(raw, as_of, keep).build_all()
+
+
+def check(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str) -> DataFrame:
+    """The quality report over the stored models and the staging views on ``raw``."""
+    use_utc(spark)
+    store = ParquetStore(spark, warehouse)
+    staged = Models(raw)
+    tables = {
+        name: staged[name] if name.startswith("stg_") else store.open(name)
+        for name in staged
+        if name != KEYED_FLIGHTS
+    }
+    return quality_report(tables)

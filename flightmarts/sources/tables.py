@@ -51,16 +51,26 @@ class ParquetStore:
     def write(self, name: str, model: DataFrame) -> None:
         """Full refresh of one model."""
         if name == KEYED_FLIGHTS:
-            # Rows of a day meet in few files; a day too big for one file is
-            # split, small days share a task.
-            days = model.hint("rebalance", _DAY).sortWithinPartitions(_DAY, "flight_type")
-            days.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-                _DAY
-            ).parquet(self.path(name))
+            self._write_days(model, "static")
             return
         ordered = in_order(model, name) if name in ORDER else model
         ordered.write.mode("overwrite").parquet(self.path(name))
 
+    def replace_days(self, flights: DataFrame) -> None:
+        """Rewrites the days ``flights`` holds and leaves all others alone."""
+        self._write_days(flights, "dynamic")
+
+    def _write_days(self, flights: DataFrame, overwrite: str) -> None:
+        # Rows of a day meet in few files; a day too big for one file is split,
+        # small days share a task.
+        days = flights.hint("rebalance", _DAY).sortWithinPartitions(_DAY, "flight_type")
+        (
+            days.write.mode("overwrite")
+            .option("partitionOverwriteMode", overwrite)
+            .partitionBy(_DAY)
+            .parquet(self.path(KEYED_FLIGHTS))
+        )
+
     def read(self, name: str, like: DataFrame) -> DataFrame:
         """The stored model, with known columns so that no file is opened to infer them."""
         stored = self.spark.read.schema(like.schema).parquet(self.path(name))
