@@ -21,6 +21,7 @@ from flightmarts.sources.landing import airport_list, backfill_dates
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="flightmarts")
+    parser.add_argument("--shuffle-partitions", type=int, help="bytes in use / 200 MB")
     commands = parser.add_subparsers(dest="command", required=True)
 
     load = commands.add_parser("load", help="append landed payloads to the raw tables")
@@ -49,7 +50,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
-    spark = get_session()
+    spark = get_session(shuffle_partitions=args.shuffle_partitions)
     if args.command == "load":
         now = time.time()
         summary = pipeline.load(
