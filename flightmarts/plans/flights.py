@@ -49,7 +49,7 @@ FACT_COLUMNS = [
 
 def _conformed(staged: DataFrame, direction: str, arrival_only: list[str]) -> DataFrame:
     """Staged columns in unified order; ``arrival_only`` are SQL expressions."""
-    return staged.selectExpr(
+    sources = [
         *_SHARED_HEAD,
         f"scheduled_{direction}_utc",
         f"actual_{direction}_utc",
@@ -62,7 +62,10 @@ def _conformed(staged: DataFrame, direction: str, arrival_only: list[str]) -> Da
         "is_on_time",
         *arrival_only,
         f"'{direction}'",
-    ).toDF(*UNIFIED_COLUMNS)
+    ]
+    return staged.selectExpr(
+        *[f"{source} AS {name}" for source, name in zip(sources, UNIFIED_COLUMNS, strict=True)]
+    )
 
 
 def unify(stg_arrivals: DataFrame, stg_departures: DataFrame) -> DataFrame:

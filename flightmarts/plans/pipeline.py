@@ -38,9 +38,13 @@ def load(
 
 
 def raw_tables(spark: SparkSession, bronze: str) -> dict[str, DataFrame]:
-    return {
+    """Both raw tables by name, also registered as temporary views."""
+    raw = {
         table: raw_layer.read_raw(spark, bronze, table) for table in (RAW_ARRIVALS, RAW_DEPARTURES)
     }
+    for table, rows in raw.items():
+        rows.createOrReplaceTempView(table)
+    return raw
 
 
 def build(

@@ -64,7 +64,7 @@ DEPARTURE_COLUMNS = {
 
 
 def _renamed(raw: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return raw.select(*columns.values()).toDF(*columns)
+    return raw.selectExpr(*[f"{source} AS {name}" for name, source in columns.items()])
 
 
 def _latest(flights: DataFrame, scheduled: str) -> DataFrame:

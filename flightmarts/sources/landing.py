@@ -4,8 +4,9 @@ Expected layout, one document per airport, direction and day:
 
     <landing>/date=2026-01-25/airport=ARN/direction=arrivals/*.json
 
-Date, airport and direction are partition columns, so a backfill window or an
-airport list prunes folders before any file is opened.
+Date, airport and direction are partition columns. A backfill window and an
+airport list name the folders to look into, so that a daily load neither lists
+nor opens what landed before.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import datetime as dt
 import re
 from collections.abc import Iterator
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,17 +72,30 @@ def read_landing(
     """Payload documents of one direction, with ``date`` and ``airport``.
 
     A damaged document stops the load by default: skipping it would lose
-    flights silently. Missing fields are fine and read as NULL.
+    flights silently. Missing fields are fine and read as NULL, and a window
+    in which nothing landed is empty.
     """
     schema = T.StructType(
         _PAYLOADS[direction].fields
         + [T.StructField(name, T.StringType()) for name in ("date", "airport", "direction")]
     )
-    docs = spark.read.schema(schema).json(path, multiLine=True, mode=mode)
+    folders = f"{path}/{_level('date', dates)}/{_level('airport', airports)}/direction={direction}"
+    reader = spark.read.schema(schema).option("basePath", path)
+    try:
+        docs = reader.json(folders, multiLine=True, mode=mode)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        docs = spark.createDataFrame([], schema)
     docs = docs.filter(F.col("direction") == direction).drop("direction")
     return in_window(docs, airports, dates)
 
 
+def _level(name: str, values: list[str] | None) -> str:
+    """Folder pattern of one partition column."""
+    return f"{name}=*" if values is None else f"{name}={{{','.join(values)}}}"
+
+
 def in_window(
     docs: DataFrame, airports: list[str] | None = None, dates: list[str] | None = None
 ) -> DataFrame:

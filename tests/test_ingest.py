@@ -124,6 +124,20 @@ def test_window_and_airports_prune_folders(spark, landed):
     assert "PartitionFilters: [isnotnull(direction" in plan
 
 
+def test_window_without_payloads_is_empty(spark, landed):
+    docs = landing.read_landing(spark, str(landed), "departures", ["KRN"], ["2026-01-25"])
+    assert docs.columns == ["numberOfFlights", "flights", "date", "airport"]
+    assert docs.count() == 0
+
+
+def test_folders_outside_the_window_are_not_listed(spark, landed):
+    docs = landing.read_landing(
+        spark, str(landed), "arrivals", ["ARN", "GOT"], ["2026-01-25", "2026-01-23"]
+    )
+    assert {f.split("/date=")[1][:10] for f in docs.inputFiles()} == {"2026-01-25"}
+    assert all("airport=ARN" in f for f in docs.inputFiles())
+
+
 def test_damaged_payload_stops_the_load(spark, landed, tmp_path):
     folder = landed / "date=2026-01-25" / "airport=ARN" / "direction=arrivals"
     (folder / "broken.json").write_text('{"numberOfFlights": 1, "flights": [{"flightId"')
