@@ -10,7 +10,7 @@ the writer stores and ``in_order`` applies.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from flightmarts.constants import ARRIVAL, ON_TIME_MINUTES
@@ -30,7 +30,7 @@ from flightmarts.operators.star import (
     with_airport,
     with_periods,
 )
-from flightmarts.operators.stats import tally_mean, tally_percentiles
+from flightmarts.operators.stats import ranked_percentile, tally_mean, with_ranks
 
 # Column → descending?
 ORDER: dict[str, dict[str, bool]] = {
@@ -87,25 +87,27 @@ def _split_by_domestic(total: str) -> dict[str, Column]:
     }
 
 
-def _delay_tally(fact: DataFrame, at: Column) -> DataFrame:
-    """Flights counted per cell *and delay*: the first step of punctuality."""
-    return fact.groupBy(
-        at, "flight_date_key", "flight_type", "is_domestic", _flown_delay().alias("delay")
-    ).agg(
+def _delay_tally(fact: DataFrame, key: str, at: Column) -> GroupedData:
+    """Flights counted per cell *and delay*, ready to be put together per cell.
+
+    A cell is ``at`` (named ``key``), day, direction and domestic.
+    """
+    cell = [key, "flight_date_key", "flight_type", "is_domestic"]
+    tally = fact.groupBy(at.alias(key), *cell[1:], _flown_delay().alias("delay")).agg(
         F.count_if(_is_active()).alias("total_flights"),
         F.count_if("is_cancelled").alias("cancelled_flights"),
         F.count_if(_is_flown()).alias("completed_flights"),
         F.count_if(F.col("is_on_time") & _is_flown()).alias("within_limit_flights"),
     )
+    return with_ranks(tally, cell, "delay", "completed_flights").groupBy(*cell)
 
 
 def _delay_stats() -> list[Column]:
-    [median] = tally_percentiles("delay", "completed_flights", 0.5)
     return [
         round2(tally_mean("delay", "completed_flights")).alias("avg_delay_minutes"),
         round2(F.min("delay")).alias("min_delay_minutes"),
         round2(F.max("delay")).alias("max_delay_minutes"),
-        round2(median).alias("median_delay_minutes"),
+        round2(ranked_percentile("delay", 0.5)).alias("median_delay_minutes"),
     ]
 
 
@@ -119,8 +121,7 @@ def airline_punctuality(
     """
     delay = F.col("delay")
     cells = (
-        _delay_tally(fact, F.col("airline_key"))
-        .groupBy("airline_key", "flight_date_key", "flight_type", "is_domestic")
+        _delay_tally(fact, "airline_key", F.col("airline_key"))
         .agg(
             _sum("total_flights"),
             _sum_where(
@@ -161,10 +162,8 @@ def airport_punctuality(
     percentages may add up to more than 100.
     """
     delay = F.col("delay")
-    at = own_airport("dest_airport_key", "origin_airport_key").alias("at_key")
     cells = (
-        _delay_tally(fact, at)
-        .groupBy("at_key", "flight_date_key", "flight_type", "is_domestic")
+        _delay_tally(fact, "at_key", own_airport("dest_airport_key", "origin_airport_key"))
         .agg(
             _sum("total_flights"),
             _sum("cancelled_flights"),
@@ -246,19 +245,21 @@ def baggage_performance(
         )
         .agg(F.count("*").alias("flights"))
     )
-    median, p90, p95 = tally_percentiles("handling", "flights", 0.5, 0.90, 0.95)
-    [median_delay] = tally_percentiles("delay", "flights", 0.5)
+    tally = with_ranks(tally, cell, "handling", "flights")
+    tally = with_ranks(tally, cell, "delay", "flights")
     cells = tally.groupBy(*cell).agg(
         _sum_where(F.col("handling").isNotNull(), "flights").alias("flights_with_baggage_data"),
         F.sum("flights").alias("total_arrivals"),
         round2(tally_mean("handling", "flights")).alias("avg_baggage_handling_minutes"),
-        round2(median).alias("median_baggage_handling_minutes"),
+        round2(ranked_percentile("handling", 0.5)).alias(
+            "median_baggage_handling_minutes"
+        ),
         round2(F.min("handling")).alias("min_baggage_handling_minutes"),
         round2(F.max("handling")).alias("max_baggage_handling_minutes"),
-        round2(p90).alias("p90_baggage_handling_minutes"),
-        round2(p95).alias("p95_baggage_handling_minutes"),
+        round2(ranked_percentile("handling", 0.90)).alias("p90_baggage_handling_minutes"),
+        round2(ranked_percentile("handling", 0.95)).alias("p95_baggage_handling_minutes"),
         round2(tally_mean("delay", "flights")).alias("avg_flight_delay_minutes"),
-        round2(median_delay).alias("median_flight_delay_minutes"),
+        round2(ranked_percentile("delay", 0.5)).alias("median_flight_delay_minutes"),
     )
     cells = with_airport(cells, dim_airport, "dest_airport_key", "airport_iata")
     cells = with_periods(at_listed_airports(cells), dim_date).withColumns(
