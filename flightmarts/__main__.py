@@ -15,13 +15,13 @@ import time
 from pyspark.sql import functions as F
 
 from flightmarts.plans import pipeline
-from flightmarts.session import get_session
+from flightmarts.session import fit_shuffles, get_session
 from flightmarts.sources.landing import airport_list, backfill_dates
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="flightmarts")
-    parser.add_argument("--shuffle-partitions", type=int, help="bytes in use / 200 MB")
+    parser.add_argument("--shuffle-partitions", type=int, help="fitted to the raw tables by default")
     commands = parser.add_subparsers(dest="command", required=True)
 
     load = commands.add_parser("load", help="append landed payloads to the raw tables")
@@ -65,6 +65,8 @@ def main(argv: list[str] | None = None) -> int:
         )
         summary.orderBy("table_name", "airport").show(100, truncate=False)
         return 0
+    if args.shuffle_partitions is None:
+        fit_shuffles(spark, args.bronze)
     raw = pipeline.raw_tables(spark, args.bronze)
     if args.command == "build":
         pipeline.build(spark, raw, args.warehouse, args.as_of)

@@ -65,7 +65,7 @@ def flights_per_hour(arrivals: DataFrame) -> DataFrame:
         F.count("*").alias("flight_count")
     )
     return counts.select("arrival_hour", "flight_count", "status").orderBy(
-        "arrival_hour", F.desc("flight_count"), "status"
+        F.asc_nulls_last("arrival_hour"), F.desc("flight_count"), "status"
     )
 
 
@@ -241,7 +241,7 @@ def weekday_distribution(arrivals: DataFrame) -> DataFrame:
     return counts.select(
         "day_of_week", "day_number", "flight_count",
         share_of_total("flight_count").alias("percentage"),
-    ).orderBy("day_number")
+    ).orderBy(F.asc_nulls_last("day_number"))
 
 
 def completeness(arrivals: DataFrame) -> DataFrame:

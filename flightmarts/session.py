@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 # What a deployment should start from. Partition counts and sizes are starting
 # points for adaptive execution, which merges small and splits large partitions.
@@ -16,6 +18,7 @@ DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.files.maxPartitionBytes": "256m",
     # Recording a call site per column expression costs more than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -40,6 +43,25 @@ def get_session(
     return builder.getOrCreate()
 
 
+def fit_shuffles(spark: SparkSession, path: str, bytes_per_partition: int = 200_000_000) -> int:
+    """Raises the number of shuffle partitions to suit the files under ``path``.
+
+    Adaptive execution merges small partitions but never adds any, so a shuffle
+    of large input must start with enough. Only file sizes are looked at.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+    )
+    total = files.agg(F.sum("length")).first()[0] or 0
+    wanted = math.ceil(total / bytes_per_partition)
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
     """Hours, days and key texts follow the session zone, so it must be UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
