@@ -68,9 +68,13 @@ def read_landing(
     airports: list[str] | None = None,
     dates: list[str] | None = None,
     mode: str = "FAILFAST",
+    one_per_line: bool = False,
 ) -> DataFrame:
     """Payload documents of one direction, with ``date`` and ``airport``.
 
+    A file holds one document, read by one task; with ``one_per_line`` it holds
+    a document per line and is split by size.
+
     A damaged document stops the load by default: skipping it would lose
     flights silently. Missing fields are fine and read as NULL, and a window
     in which nothing landed is empty.
@@ -82,7 +86,7 @@ def read_landing(
     folders = f"{path}/{_level('date', dates)}/{_level('airport', airports)}/direction={direction}"
     reader = spark.read.schema(schema).option("basePath", path)
     try:
-        docs = reader.json(folders, multiLine=True, mode=mode)
+        docs = reader.json(folders, multiLine=not one_per_line, mode=mode)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -130,6 +130,19 @@ def test_window_without_payloads_is_empty(spark, landed):
     assert docs.count() == 0
 
 
+def test_documents_one_per_line(spark, tmp_path):
+    folder = tmp_path / "date=2026-01-25" / "airport=ARN" / "direction=arrivals"
+    folder.mkdir(parents=True)
+    lines = [
+        json.dumps({"flights": [flight(n, "GOT", "ARN", "2026-01-25T10:00:00Z", True)]})
+        for n in ("A", "B")
+    ]
+    (folder / "many.json").write_text("\n".join(lines))
+    docs = landing.read_landing(spark, str(tmp_path), "arrivals", one_per_line=True)
+    rows = landing.raw_rows(docs, "arrivals", "1").collect()
+    assert sorted(r.flight_id for r in rows) == ["A", "B"]
+
+
 def test_folders_outside_the_window_are_not_listed(spark, landed):
     docs = landing.read_landing(
         spark, str(landed), "arrivals", ["ARN", "GOT"], ["2026-01-25", "2026-01-23"]
