@@ -48,9 +48,10 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
     }
     profile = stored(normed.withColumns(sized).select("length", "prefix"), "profile")
     lengths = profile.groupBy("length").count().filter("count > 1").select("length")
+    # Counted before the lengths meet, so that a frequent length brings few rows.
     groups = (
-        profile.join(lengths, "length", "left_semi")
-        .groupBy("length", "prefix").count().filter("count > 1")
+        profile.groupBy("length", "prefix").count().filter("count > 1")
+        .join(lengths, "length", "left_semi")
         .select("length", "prefix")
     )
     word, bit = _slot()
