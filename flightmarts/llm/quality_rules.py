@@ -14,16 +14,16 @@ COMMON_WORDS = {
     "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf", "ist", "im", "dem", "nicht", "ein", "eine", "als", "auch"],
     "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por", "con", "no", "una", "su", "para", "es", "al", "lo"],
 }
-# Character classes of a text, each as the pattern of what is *not* in it.
+# Character classes of a text, each as the pattern of what is *not* in it. Digits are
+# left out: a phone number in a short text says nothing about its quality.
 CLASSES = {
     "lower": r"[^\p{Ll}]+",
     "upper": r"[^\p{Lu}]+",
-    "digit": r"[^0-9]+",
     "stop": r"[^.,;:!?'\"()-]+",
     "symbol": r"[\p{L}\p{N}\s.,;:!?'\"()-]+",
 }
-MIN_CHARS, MIN_WORDS = 120, 30
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.12, 0.62
+MIN_CHARS, MIN_WORDS = 120, 100
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.19, 0.325
 
 
 
@@ -117,28 +117,57 @@ def _distance(shares: Column, reference: dict[str, float]) -> Column:
     return F.sqrt(F.greatest(doubled, F.lit(0.0)) / (2 * 0.6931471805599453))
 
 
-def references(counts: DataFrame) -> dict[str, tuple[dict[str, float], dict[str, float]]]:
-    """Per language: shares of character classes, and of common words and all others.
+def _failed_base() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
-    Sums over every document of the language. Four languages of at most 80
-    numbers each come to the driver, whatever the input.
+
+def _known_language() -> Column:
+    return F.col("lang").isin(*COMMON_WORDS) & ~_failed_base()
+
+
+def char_references(counts: DataFrame) -> dict[str, dict[str, float]]:
+    """Per language the median share of each character class, over all its documents.
+
+    Medians, so that junk in under half of the documents moves nothing. Four
+    rows of four numbers come to the driver, whatever the input.
+    """
+    medians = (
+        counts.filter(_known_language() & (F.col("word_chars") >= MIN_CHARS))
+        .groupBy("lang")
+        .agg(*[F.percentile_approx(F.col(c) / F.col("chars"), 0.5, 1000).alias(c) for c in CLASSES])
+    )
+    found = {}
+    for row in sorted(medians.collect(), key=lambda r: r["lang"]):
+        total = sum(row[c] for c in CLASSES)
+        found[row["lang"]] = {c: row[c] / total for c in CLASSES}
+    return found
+
+
+def word_references(counts: DataFrame) -> dict[str, dict[str, float]]:
+    """Per language the share of each common word in all words, the rest under ``""``.
+
+    Sums over all documents of the language that keep to its characters. At
+    most 80 numbers per language come to the driver, whatever the input.
     """
-    own = counts.filter(F.col("lang").isin(*COMMON_WORDS))
-    sums = own.groupBy("lang").agg(F.sum("n_words").alias("n_words"), *[F.sum(c).alias(c) for c in CLASSES])
-    by_word = own.select("lang", F.inline("present")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    found: dict[str, dict[str, int]] = {}
-    for row in by_word.collect():
-        found.setdefault(row["lang"], {})[row["word"]] = row["n"]
-    result = {}
-    for row in sorted(sums.collect(), key=lambda r: r["lang"]):
-        chars = sum(row[c] for c in CLASSES)
-        if not row["n_words"] or not chars:
-            continue
-        listed = found.get(row["lang"], {})
-        shares = {w: n / row["n_words"] for w, n in sorted(listed.items())}
+    own = counts.filter(
+        _known_language() & (F.col("n_words") >= MIN_WORDS)
+        & (F.col("char_distance") <= MAX_CHAR_DISTANCE)
+    )
+    totals = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.sum("n_words").alias("n")).collect()}
+    found: dict[str, dict[str, float]] = {lang: {} for lang in sorted(totals)}
+    by_word = own.select("lang", F.inline("present")).groupBy("lang", "word")
+    for row in by_word.agg(F.sum("n").alias("n")).orderBy("word").collect():
+        found[row["lang"]][row["word"]] = row["n"] / totals[row["lang"]]
+    for shares in found.values():
         shares[""] = 1 - sum(shares.values())
-        result[row["lang"]] = ({c: row[c] / chars for c in CLASSES}, shares)
-    return result
+    return found
+
+
+def _nearest(shares: str, known: dict[str, dict[str, float]]) -> Column:
+    """Distance from the nearest reference; 0 if there is none."""
+    if not known:
+        return F.lit(0.0)
+    return F.array_min(F.array(*[_distance(F.col(shares), r) for r in known.values()]))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -149,47 +178,39 @@ def judged(docs: DataFrame) -> DataFrame:
     character classes (from ``MIN_CHARS`` characters on) or its common words
     (from ``MIN_WORDS`` words on) are further from *every* language reference
     than the limits; a language is never taken from the row that is judged.
-    References are sums over all documents of a language, so a language of junk
-    alone would set its own standard. Without any reference (an empty table, no
+    References are medians and sums over all documents of a language, so a
+    language of which most is junk would set its own standard. Without any reference (an empty table, no
     known language) the base rules decide alone.
 
     Null texts are empty and fail; a null or unknown ``lang`` only keeps a row
     out of the references. Repeated rows are judged alike. Reads ``doc_id``,
     ``text`` and ``lang`` only; an empty table gives an empty result.
 
-    One scan with built-in functions; a second, short pass over its counts.
+    One scan with built-in functions; short passes over its counts.
     """
-    counts = stored(measured(docs), "counts")
-    known = references(counts)
-    chars = F.greatest(sum((F.col(c) for c in CLASSES), F.lit(0)), F.lit(1))
+    counts = stored(measured(docs), "counts").withColumn(
+        "chars", F.greatest(sum((F.col(c) for c in CLASSES), F.lit(0)), F.lit(1))
+    )
     total = F.greatest("n_words", F.lit(1))
     of_chars = F.array(
-        *[F.struct(F.lit(c).alias("word"), (F.col(c) / chars).alias("p")) for c in CLASSES]
+        *[F.struct(F.lit(c).alias("word"), (F.col(c) / F.col("chars")).alias("p")) for c in CLASSES]
+    )
+    listed = F.transform(
+        "present", lambda e: F.struct(e["word"].alias("word"), (e["n"] / F.col("total")).alias("p"))
     )
-    listed = F.transform("present", lambda e: F.struct(e["word"].alias("word"), (e["n"] / F.col("total")).alias("p")))
     rest = 1 - F.aggregate("present", F.lit(0.0), lambda a, e: a + e["n"] / F.col("total"))
     of_words = F.concat(listed, F.array(F.struct(F.lit("").alias("word"), rest.alias("p"))))
     shaped = counts.withColumns({"of_chars": of_chars, "total": total}).withColumn("of_words", of_words)
-
-    def nearest(shares: str, which: int) -> Column:
-        if not known:
-            return F.lit(0.0)
-        return F.array_min(F.array(*[_distance(F.col(shares), r[which]) for r in known.values()]))
-
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    by_chars = shaped.withColumn("char_distance", _nearest("of_chars", char_references(counts)))
+    by_words = by_chars.withColumn("word_distance", _nearest("of_words", word_references(by_chars)))
     odd = (
         ((F.col("word_chars") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE))
         | ((F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE))
     )
-    return (
-        shaped.withColumns(
-            {"char_distance": nearest("of_chars", 0), "word_distance": nearest("of_words", 1)}
-        )
-        .select(
-            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            base.alias("base_failed"), (~base & ~odd).alias("kept"),
-            "char_distance", "word_distance",
-        )
+    return by_words.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        _failed_base().alias("base_failed"), (~_failed_base() & ~odd).alias("kept"),
+        "char_distance", "word_distance",
     )
 
 

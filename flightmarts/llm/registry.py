@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from flightmarts.llm import exact_dedup, jaccard_join, mixing
+from flightmarts.llm import exact_dedup, jaccard_join, mixing, quality_rules
 
 QUERIES = {
     "op4_mixing": mixing.query,
     "op5_exact_dedup": exact_dedup.query,
+    "op8_quality_rules": quality_rules.query,
     "op9_jaccard_join": jaccard_join.query,
 }
 ORACLES = {
