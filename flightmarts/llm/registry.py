@@ -3,16 +3,27 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from flightmarts.llm import exact_dedup, jaccard_join, mixing, piece_codec, quality_rules
+from flightmarts.llm import (
+    exact_dedup,
+    jaccard_join,
+    mixing,
+    piece_codec,
+    quality_rules,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op3_piece_codec": piece_codec.query,
     "op4_mixing": mixing.query,
     "op5_exact_dedup": exact_dedup.query,
+    "op6_token_counts": token_counts.query,
+    "op7_warc": warc.query,
     "op8_quality_rules": quality_rules.query,
     "op9_jaccard_join": jaccard_join.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op5_exact_dedup": exact_dedup.ORACLE,
+    "op7_warc": warc.ORACLE,
 }
