@@ -8,12 +8,14 @@ from flightmarts.llm import (
     jaccard_join,
     mixing,
     piece_codec,
+    quality_classifier,
     quality_rules,
     token_counts,
     warc,
 )
 
 QUERIES = {
+    "op1_quality_classifier": quality_classifier.query,
     "op3_piece_codec": piece_codec.query,
     "op4_mixing": mixing.query,
     "op5_exact_dedup": exact_dedup.query,
