@@ -44,3 +44,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _slot(columns: tuple[str, ...], words: int) -> dict[str, Column]:
+    place = F.xxhash64(F.lit(7), *columns)
+    return {
+        "_word": F.pmod(place, F.lit(words)),
+        "_bit": F.pmod(F.shiftright(place, 20), F.lit(64)).cast("int"),
+    }
+
+
+def bitmap(keys: DataFrame, *columns: str, words: int = 1 << 14) -> DataFrame:
+    """Hashes of ``keys`` as a bitmap of ``words`` longs, whatever their number; stored."""
+    return stored(
+        keys.select(*[c.alias(n) for n, c in _slot(columns, words).items()])
+        .groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits")),
+        "bitmap",
+    )
+
+
+def flagged(df: DataFrame, bits: DataFrame, flag: str, *columns: str, words: int = 1 << 14) -> DataFrame:
+    """``df`` with ``flag``: false if the key is surely not in the bitmap, which is broadcast."""
+    hit = F.coalesce(F.expr("(shiftright(_bits, _bit) & 1L) = 1L"), F.lit(False))
+    return (
+        df.withColumns(_slot(columns, words)).join(F.broadcast(bits), "_word", "left")
+        .withColumn(flag, hit).drop("_word", "_bit", "_bits")
+    )

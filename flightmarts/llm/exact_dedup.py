@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flightmarts.llm.common import SPACES, stored, table, text_or_empty
+from flightmarts.llm.common import SPACES, bitmap, flagged, stored, table, text_or_empty
 
 PREFIX = 64  # code points
-_WORDS = 1 << 14  # words of 64 bits in the bitmap of surviving groups: 128 KB
 
 
 def normalised(name: str = "text") -> Column:
@@ -16,12 +15,6 @@ def normalised(name: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(name), SPACES, " ")
 
 
-def _slot(length: str = "length", prefix: str = "prefix") -> tuple[Column, Column]:
-    """Word and bit of the bitmap that a group falls on."""
-    place = F.xxhash64(F.lit(7), F.col(length), F.col(prefix))
-    return F.pmod(place, F.lit(_WORDS)), F.pmod(F.shiftright(place, 20), F.lit(64)).cast("int")
-
-
 def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
     """``doc_id, keep_id, group_size, kept``, one row per row of ``docs``.
 
@@ -54,17 +47,9 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
         .join(lengths, "length", "left_semi")
         .select("length", "prefix")
     )
-    word, bit = _slot()
-    bitmap = stored(
-        groups.select(word.alias("word"), bit.alias("bit"))
-        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")),
-        "bitmap",
-    )
-    seen = (
-        normed.withColumns(sized).withColumns({"word": word, "bit": bit})
-        .join(F.broadcast(bitmap), "word", "left")
+    seen = flagged(
+        normed.withColumns(sized), bitmap(groups, "length", "prefix"), "survives", "length", "prefix"
     )
-    survives = F.coalesce(F.expr("(shiftright(bits, bit) & 1L) = 1L"), F.lit(False))
     sha = F.unhex(F.sha2(F.col("norm").cast("binary"), 256))
     if with_digest:
         seen = seen.withColumn("sha", sha)
@@ -72,7 +57,7 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
     kept_columns = ["sha"] if with_digest else []
     hashed = stored(
         seen.select(
-            "doc_id", "length", F.when(survives, sha).alias("full"), *kept_columns,
+            "doc_id", "length", F.when(F.col("survives"), sha).alias("full"), *kept_columns,
             F.monotonically_increasing_id().alias("row"),
         ),
         "hashed",

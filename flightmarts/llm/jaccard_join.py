@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightmarts.llm.common import small_batches, stored, table, text_or_empty
+from flightmarts.llm.common import bitmap, flagged, small_batches, stored, table, text_or_empty
 from flightmarts.llm.graph import components
 from flightmarts.llm.hashing import fold, mix, shingle_set
 
@@ -21,6 +21,7 @@ RECALL = 0.995
 # A unit of verification holds two blocks of at most about so many n-grams and documents.
 BLOCK_GRAMS = 1_500_000
 BLOCK_DOCS = 2000
+_WORDS = 1 << 16  # of the bitmap of documents with candidates: 512 KB
 # n-grams in more documents of a unit than this are counted by matrix products.
 COMMON = 48
 
@@ -206,6 +207,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     3. Shuffled by band key, each document is tied to the least in its bucket;
        components of these ties hold every candidate pair (and more).
     4. Each component's full sets meet and all its pairs are verified exactly.
+       A bitmap of fixed size, broadcast, keeps most other texts in place.
        A large component is cut into blocks by hash, and a task verifies two
        blocks: memory is bounded by the block, work is spread, and pairs are
        only ever counted, never emitted. Out come a link count per document
@@ -242,11 +244,15 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         .cast("int").alias("blocks")
     )
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    texts = docs.select(F.col("doc_id").alias("first"), text_or_empty().cast("binary").alias("text"))
+    # Few documents have a candidate: a bitmap keeps most texts out of the shuffle.
+    texts = flagged(
+        docs.select(F.col("doc_id").alias("first"), text_or_empty().cast("binary").alias("text")),
+        bitmap(members, "first", words=_WORDS), "near", "first", words=_WORDS,
+    ).filter("near").drop("near")
     units = (
         members.join(blocks, "component")
         .select("component", "blocks", block.alias("block"), "node", "copies", "first")
-        .join(texts, "first")
+        .hint("merge").join(texts, "first")
         .mapInArrow(
             _sets,
             "component binary, left int, right int, block int, node binary, copies long,"
