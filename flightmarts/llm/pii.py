@@ -1,0 +1,426 @@
+"""Personal data: fixed formats, and further spans chosen by gradient-boosted trees."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flightmarts.llm.common import table, text_or_empty
+
+KINDS = ("email", "ip", "card", "phone", "secret")
+_CHAR, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
+# Kind: a cheap test of the whole text, and the format. Runs are possessive and
+# begin where a run begins (or where the last match ended), which changes no match
+# but keeps the time linear in the longest text.
+FORMATS = {
+    "email": ("@", rf"(?:\G|(?<!{_CHAR})){_CHAR}++@{_HOST}++(?:\.{_HOST}++)++"),
+    "ip": (r"[0-9]\.[0-9]", r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
+    "card": (r"[0-9](?:[\x20-]?[0-9]){13}", r"(?:\G|(?<![0-9]))[0-9](?:[\x20-]?[0-9])++"),
+    "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+# Generators propose far more than is personal, overlapping each other.
+_TOKEN = r"[A-Za-z0-9_+/=.@:%-]"
+_WORDS = "password|passwd|pwd|secret|token|api_?key|access_?key"
+GENERATORS = {
+    "token": rf"(?:\G|(?<!{_TOKEN}))(?=[A-Za-z_+/=.:%-]*+[0-9@]){_TOKEN}{{8,}}+",
+    "number": r"(?<![A-Za-z0-9])\(?[0-9][0-9\x20().-]{5,}[0-9](?![A-Za-z0-9])",
+    "assignment": rf"(?i)(?<![a-z])(?:{_WORDS})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?[^\s\"']{{6,}}",
+}
+_ANY = r"[0-9@]"
+# What the trees learn to leave alone, besides candidates: words without digits.
+_PLAIN = r"[A-Za-z_+/=.:%-]{8,}"
+# Fixed value: the published form of a cloud access key.
+_KEY_FORMAT = r"^AKIA[0-9A-Z]{16}$"
+_CONTEXT = rf"(?i)(?:{_WORDS}|card|phone|tel|e-?mail)[\"']?\s{{0,3}}[:=]?\s{{0,3}}[\"']?$"
+
+FEATURES = ("gen", "size", "digits", "upper", "flips", "at", "dots", "gaps", "word", "plus")
+TREES, RATE, SMOOTHING, STEP = 60, 0.3, 1.0, 0.7
+_CHUNK = 64
+PRECISION = 0.99
+_SPAN = "array<struct<start:int,end:int,m:string>>"
+_CUT = "array<struct<m:string,gap:int>>"
+
+
+def _empty(kind: str = _SPAN) -> Column:
+    return F.array().cast(kind)
+
+
+def cut(text: Column, pattern: str) -> Column:
+    """Leftmost matches, each with the length of the gap before it."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
+    return F.zip_with(
+        found, F.slice(gaps, F.lit(1), F.size(found)),
+        lambda m, g: F.struct(m.alias("m"), F.length(g).alias("gap")),
+    )
+
+
+def placed(name: str) -> Column:
+    """Spans of the cuts in column ``name``, with code-point offsets.
+
+    Lengths are summed in chunks, so that thousands of matches in one text
+    copy no array of thousands for each.
+    """
+    sized = F.col(name)
+    width = lambda total, x: total + x["gap"] + F.length(x["m"])
+
+    def place(state: Column, x: Column) -> Column:
+        start = state["at"] + x["gap"]
+        end = start + F.length(x["m"])
+        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m"))
+        return F.struct(end.alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+
+    def chunk(c: Column) -> Column:
+        before = F.aggregate(F.slice(sized, F.lit(1), c * _CHUNK), F.lit(0), width)
+        start = F.struct(before.alias("at"), _empty().alias("out"))
+        own = F.slice(sized, c * _CHUNK + 1, F.lit(_CHUNK))
+        return F.aggregate(own, start, place, lambda s: s["out"])
+
+    last = F.floor((F.size(sized) - 1) / _CHUNK).cast("int")
+    return F.when(F.size(sized) > 0, F.flatten(F.transform(F.sequence(F.lit(0), last), chunk))).otherwise(
+        _empty()
+    )
+
+
+def _digits(m: Column) -> Column:
+    return F.regexp_replace(m, "[^0-9]", "")
+
+
+def _luhn(digits: Column) -> Column:
+    def add(total: Column, i: Column) -> Column:
+        d = F.try_to_number(F.substring(digits, -i, F.lit(1)), F.lit("9")).cast("int")
+        twice = F.when(i % 2 == 0, 2 * d - F.when(d > 4, 9).otherwise(0)).otherwise(d)
+        return total + twice
+
+    return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add) % 10 == 0
+
+
+def valid(kind: str, m: Column) -> Column:
+    """What a format's match must fulfil besides."""
+    if kind == "ip":
+        return F.forall(
+            F.split(m, r"\."),
+            lambda p: F.length(F.ltrim(p, F.lit("0"))).between(0, 3)
+            & (F.coalesce(F.ltrim(p, F.lit("0")).try_cast("int"), F.lit(0)) <= 255),
+        )
+    n = F.length(_digits(m))
+    if kind == "card":
+        return F.when(n.between(14, 19), _luhn(_digits(m))).otherwise(False)
+    if kind == "phone":
+        return n.between(10, 15)
+    return F.lit(True)
+
+
+def with_base(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the text ``t``, and an array of base spans per kind."""
+    t = F.col("t")
+    df = docs.select("doc_id", text_or_empty().alias("t")).withColumns(
+        {
+            f"{kind}_cut": F.when(t.rlike(test), cut(t, pattern)).otherwise(_empty(_CUT))
+            for kind, (test, pattern) in FORMATS.items()
+        }
+    )
+
+    def checked(kind: str) -> Column:
+        return F.filter(placed(f"{kind}_cut"), lambda s: valid(kind, s["m"]))
+
+    spans = {kind: checked(kind) for kind in FORMATS}
+    return df.withColumns(spans).drop(*[f"{kind}_cut" for kind in FORMATS])
+
+
+def _spans(kind: str) -> Column:
+    return F.transform(
+        kind,
+        lambda s: F.struct(
+            s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")
+        ),
+    )
+
+
+def _bucket(value: Column, *limits: int) -> Column:
+    return sum(((value >= limit).cast("int") for limit in limits), F.lit(0))
+
+
+def _count(m: Column, pattern: str) -> Column:
+    return F.regexp_count(m, F.lit(pattern))
+
+
+def _described(gen: Column, s: Column, text: Column) -> Column:
+    """A candidate with the features of its format and of the 20 characters before it."""
+    m = F.regexp_replace(s["m"], r"[.:%-]+$", "")
+    n = F.greatest(F.length(m), F.lit(1))
+    from_ = F.greatest(s["start"] - 19, F.lit(1))
+    before = F.substring(text, from_, s["start"] + 1 - from_)
+    letters = r"[0-9](?=[A-Za-z])|[A-Za-z](?=[0-9])"
+    values = {
+        "gen": gen,
+        "size": _bucket(n, 12, 20, 32),
+        "digits": F.floor(4 * F.length(_digits(m)) / n).cast("int"),
+        "upper": F.floor(4 * F.length(F.regexp_replace(m, "[^A-Z]", "")) / n).cast("int"),
+        "flips": _bucket(_count(m, letters), 1, 3, 6),
+        "at": m.rlike(r"[^@]@[^@]+\.[^@]").cast("int"),
+        "dots": F.least(_count(m, r"\."), F.lit(3)),
+        "gaps": m.rlike(r"[\x20()]").cast("int"),
+        "word": (before.rlike(_CONTEXT) | m.rlike(rf"(?i)^(?:{_WORDS})\W")).cast("int"),
+        "plus": before.endswith("+").cast("int"),
+    }
+    # Format alone says it for keys of published form; context for assignments.
+    known = m.rlike(_KEY_FORMAT) | ((gen == 2) & m.rlike("[0-9]"))
+    return F.struct(
+        s["start"].alias("start"), (s["start"] + F.length(m)).alias("end"),
+        _kind_of(m).alias("kind"), known.alias("known"),
+        *[v.alias(k) for k, v in values.items()],
+    )
+
+
+def _kind_of(m: Column) -> Column:
+    n = F.length(_digits(m))
+    kind = (
+        F.when(m.contains("@"), "email")
+        .when(m.rlike(r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$"), "ip")
+        .when(~m.rlike("[A-Za-z]") & n.between(13, 19), "card")
+        .when(~m.rlike("[A-Za-z]") & n.between(7, 12), "phone")
+        .otherwise("secret")
+    )
+    return F.array_position(F.array(*[F.lit(k) for k in KINDS]), kind).cast("int") - 1
+
+
+def with_candidates(docs: DataFrame) -> DataFrame:
+    """Base spans, and all candidates of texts that hold any digit or at sign."""
+    df = with_base(docs)
+    for kind in FORMATS:
+        df = df.withColumn(kind, _spans(kind))
+    df = df.withColumn("base", F.array_sort(F.concat(*[F.col(k) for k in FORMATS])))
+    t, some = F.col("t"), F.col("t").rlike(_ANY)
+    df = df.withColumns(
+        {
+            f"{name}_cut": F.when(some, cut(t, pattern)).otherwise(_empty(_CUT))
+            for name, pattern in GENERATORS.items()
+        }
+    )
+    df = df.withColumns({name: placed(f"{name}_cut") for name in GENERATORS})
+
+    def described(number: int, name: str) -> Column:
+        return F.transform(name, lambda s: _described(F.lit(number), s, t))
+
+    found = [described(number, name) for number, name in enumerate(GENERATORS)]
+    return df.withColumn("candidates", F.concat(*found)).drop(
+        *GENERATORS, *[f"{name}_cut" for name in GENERATORS]
+    )
+
+
+@dataclass(frozen=True)
+class Tree:
+    """Two levels: feature and limit of the root, then of its two sides, and four values."""
+
+    splits: tuple[tuple[int, int], tuple[int, int], tuple[int, int]]
+    values: tuple[float, float, float, float]
+
+    def at(self, x: np.ndarray) -> np.ndarray:
+        (f, c), (fl, cl), (fr, cr) = self.splits
+        low, high = x[:, fl] >= cl, x[:, fr] >= cr
+        leaf = np.where(x[:, f] < c, low.astype(int), 2 + high.astype(int))
+        return np.array(self.values)[leaf]
+
+    def column(self, e: Column) -> Column:
+        (f, c), (fl, cl), (fr, cr) = self.splits
+        side = lambda f, c, a, b: F.when(e[FEATURES[f]] >= c, F.lit(b)).otherwise(F.lit(a))
+        return F.when(e[FEATURES[f]] < c, side(fl, cl, *self.values[:2])).otherwise(
+            side(fr, cr, *self.values[2:])
+        )
+
+
+@dataclass(frozen=True)
+class Model:
+    start: float
+    trees: tuple[Tree, ...]
+    threshold: float
+
+    def odds(self, x: np.ndarray) -> np.ndarray:
+        return sum((t.at(x) for t in self.trees), np.full(len(x), self.start))
+
+    def chosen(self, e: Column) -> Column:
+        if not np.isfinite(self.threshold):
+            return F.lit(False)
+        return sum((t.column(e) for t in self.trees), F.lit(self.start)) >= self.threshold
+
+
+def _best_split(x: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[float, int, int]:
+    """Gain, feature and limit of the best cut by second-order loss; ties take the first."""
+    best = (0.0, 0, 0)
+    score = lambda a, b: a * a / (b + SMOOTHING)
+    whole = score(g.sum(), h.sum())
+    for f in range(x.shape[1]):
+        top = int(x[:, f].max(initial=0))
+        gs = np.bincount(x[:, f], g, top + 1)[::-1].cumsum()[::-1]
+        hs = np.bincount(x[:, f], h, top + 1)[::-1].cumsum()[::-1]
+        for c in range(1, top + 1):
+            gain = score(gs[c], hs[c]) + score(gs[0] - gs[c], hs[0] - hs[c]) - whole
+            if gain > best[0] + 1e-9:
+                best = (gain, f, c)
+    return best
+
+
+def boost(x: np.ndarray, total: np.ndarray, positive: np.ndarray) -> tuple[float, tuple[Tree, ...]]:
+    """Gradient boosting on the logistic loss, over counted feature vectors."""
+    rate = min(max(positive.sum() / max(total.sum(), 1), 1e-4), 1 - 1e-4)
+    start = float(np.log(rate / (1 - rate)))
+    odds, trees = np.full(len(x), start), []
+    for _ in range(TREES if len(x) else 0):
+        p = 1 / (1 + np.exp(-odds))
+        g, h = positive - total * p, total * p * (1 - p)
+        _, f, c = _best_split(x, g, h)
+        left = x[:, f] < c
+        splits, values = [(f, c)], []
+        for side in (left, ~left):
+            _, fs, cs = _best_split(x[side], g[side], h[side])
+            splits.append((fs, cs))
+            for part in (side & (x[:, fs] < cs), side & (x[:, fs] >= cs)):
+                step = RATE * g[part].sum() / (h[part].sum() + SMOOTHING)
+                values.append(float(np.clip(step, -STEP, STEP)))
+        trees.append(Tree(tuple(splits), tuple(values)))
+        odds = odds + trees[-1].at(x)
+    return start, tuple(trees)
+
+
+def train(docs: DataFrame) -> Model:
+    """Trees fitted on every candidate of every document, and a threshold on held-out ones.
+
+    Validated base spans, keys of published form and assignments to secret
+    names are taken as personal, all other candidates and plain words of the same
+    texts as not; the trees see the shape and the words around, not the validation. Candidates are counted by
+    feature vector on the executors, so the driver gets counts of at most
+    76,800 vectors and two folds. The threshold is the least at which held-out
+    candidates reach the wanted precision; without any, nothing is chosen.
+    """
+    df = with_candidates(docs)
+    known = lambda e: e["known"] | F.exists(
+        "base",
+        lambda b: (e["start"] >= b["start"]) & (e["end"] <= b["end"]) & (e["digits"] > 0),
+    )
+    plain = F.transform(
+        F.regexp_extract_all("t", F.lit(_PLAIN), F.lit(0)),
+        lambda m: _described(
+            F.lit(0), F.struct(F.lit(0).alias("start"), F.length(m).alias("end"), m.alias("m")), F.lit("")
+        ),
+    )
+    counted = (
+        df.filter(F.col("t").rlike(_ANY)).withColumn("plain", plain)
+        .select(
+            (F.pmod(F.xxhash64("doc_id", F.lit(10)), F.lit(4)) == 0).alias("held"),
+            F.explode(
+                F.transform(
+                    F.concat("candidates", "plain"),
+                    lambda e: F.struct(known(e).alias("y"), *[e[f].alias(f) for f in FEATURES]),
+                )
+            ).alias("e"),
+        )
+        .groupBy("held", *[F.col(f"e.{f}").alias(f) for f in FEATURES])
+        .agg(F.count("*").alias("n"), F.count_if("e.y").alias("y"))
+        .orderBy("held", *FEATURES).collect()
+    )
+    parts = {}
+    for held in (False, True):
+        rows = [r for r in counted if r["held"] == held]
+        x = np.array([[r[f] for f in FEATURES] for r in rows], int).reshape(-1, len(FEATURES))
+        parts[held] = x, np.array([r["n"] for r in rows], float), np.array([r["y"] for r in rows], float)
+    start, trees = boost(*parts[False])
+    x, n, y = parts[True]
+    odds = Model(start, trees, 0.0).odds(x)
+    order = np.argsort(-odds, kind="stable")
+    precise = np.cumsum(y[order]) >= PRECISION * np.cumsum(n[order])
+    # Vectors of one score stand or fall together.
+    last = np.r_[odds[order][1:] != odds[order][:-1], True] if len(order) else np.zeros(0, bool)
+    good = np.flatnonzero(precise & last & (np.cumsum(y[order]) > 0))
+    threshold = float(odds[order][good[-1]]) - 1e-6 if len(good) else float("inf")
+    return Model(start, trees, threshold)
+
+
+def _named(spans: Column) -> Column:
+    names = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(
+                ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")
+            ),
+        ),
+        ",",
+    )
+
+
+def personal_spans(docs: DataFrame, model: Model, *carried: str) -> DataFrame:
+    """``doc_id``, ``base`` and ``added`` spans as ``array<struct<start, kind, end>>``, per row.
+
+    Offsets are code points, ends exclusive; ``kind`` numbers ``KINDS``. Base
+    spans are the leftmost matches of the four formats that pass their checks;
+    of two kinds they may overlap. Chosen candidates are added where no base span
+    and no earlier (or, from the same start, longer) chosen one lies. A null
+    text is empty; repeated rows are treated alike; an empty table gives an
+    empty result. Reads ``doc_id`` and ``text`` only; ``carried`` may name ``t``, the text.
+    """
+    spans = lambda e: F.struct(e["start"].alias("start"), e["kind"].alias("kind"), e["end"].alias("end"))
+    free = lambda e: ~F.exists("base", lambda b: (e["start"] < b["end"]) & (b["start"] < e["end"]))
+    picked = F.transform(F.filter("candidates", lambda e: model.chosen(e) & free(e)), spans)
+    kind = "array<struct<start:int,kind:int,end:int>>"
+    ordered = F.array_sort(
+        F.coalesce(F.col("picked"), _empty(kind)),
+        lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"])
+        .when(a["end"] != b["end"], b["end"] - a["end"]).otherwise(a["kind"] - b["kind"]),
+    )
+    apart = F.aggregate(
+        ordered,
+        F.struct(F.lit(0).alias("at"), _empty(kind).alias("out")),
+        lambda state, e: F.when(e["start"] < state["at"], state).otherwise(
+            F.struct(e["end"].alias("at"), F.concat(state["out"], F.array(e)).alias("out"))
+        ),
+        lambda state: state["out"],
+    )
+    return (
+        with_candidates(docs).withColumn("picked", picked)
+        .select("doc_id", *FORMATS, "base", apart.alias("added"), *carried)
+    )
+
+
+def redacted(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """``doc_id, text`` with every span replaced by its kind in brackets.
+
+    Of spans that overlap, the first (then the longer) is replaced.
+    """
+    found = personal_spans(docs, model or train(docs), "t")
+    spans = F.array_sort(
+        F.concat("base", "added"),
+        lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(
+            b["end"] - a["end"]
+        ),
+    )
+    names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
+
+    def put(state: Column, s: Column) -> Column:
+        gap = F.substring("t", state["at"] + 1, s["start"] - state["at"])
+        return F.when(s["start"] < state["at"], state).otherwise(
+            F.struct(
+                s["end"].alias("at"), F.concat(state["out"], gap, F.get(names, s["kind"])).alias("out")
+            )
+        )
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    text = F.aggregate(
+        spans, start, put,
+        lambda state: F.concat(state["out"], F.substring("t", state["at"] + 1, F.length("t"))),
+    )
+    return found.select("doc_id", text.alias("text"))
+
+
+def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = personal_spans(docs, train(docs))
+    return found.select(
+        "doc_id",
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in FORMATS],
+        F.sha2(_named(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        _named(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )

@@ -7,15 +7,18 @@ from flightmarts.llm import (
     exact_dedup,
     jaccard_join,
     mixing,
+    pii,
     piece_codec,
     quality_classifier,
     quality_rules,
+    suffix_dedup,
     token_counts,
     warc,
 )
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.query,
+    "op2_suffix_dedup": suffix_dedup.query,
     "op3_piece_codec": piece_codec.query,
     "op4_mixing": mixing.query,
     "op5_exact_dedup": exact_dedup.query,
@@ -23,6 +26,7 @@ QUERIES = {
     "op7_warc": warc.query,
     "op8_quality_rules": quality_rules.query,
     "op9_jaccard_join": jaccard_join.query,
+    "op10_pii": pii.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
