@@ -12,10 +12,12 @@ import argparse
 import sys
 import time
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightmarts.plans import pipeline
 from flightmarts.session import fit_shuffles, get_session
+from flightmarts.sources import bronze
 from flightmarts.sources.landing import airport_list, backfill_dates
 
 
@@ -31,7 +33,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     load.add_argument("--backfill-days", type=int, default=1)
     load.add_argument("--until", help="last day of the window, today by default")
     load.add_argument("--load-id", help="fixed-width, rising; seconds since 1970 by default")
-    load.add_argument("--replace", action="store_true", help="rewrite today's load instead")
+    load.add_argument(
+        "--replace", action="store_true", help="rewrite today's load of these airports and days"
+    )
+    load.add_argument(
+        "--one-per-line", action="store_true", help="files hold a document per line and are split"
+    )
 
     for name, text in [
         ("build", "rebuild all stored models"),
@@ -48,6 +55,14 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def show_all(report: DataFrame) -> None:
+    """Prints every row; reports have a row per airport or check."""
+    rows = report.collect()
+    print(" | ".join(report.columns))
+    for row in rows:
+        print(" | ".join(str(value) for value in row))
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _arguments(argv)
     spark = get_session(shuffle_partitions=args.shuffle_partitions)
@@ -62,12 +77,17 @@ def main(argv: list[str] | None = None) -> int:
             airports=airport_list(args.airports),
             dates=backfill_dates(args.backfill_days, args.until),
             replace=args.replace,
+            one_per_line=args.one_per_line,
         )
-        summary.orderBy("table_name", "airport").show(100, truncate=False)
+        show_all(summary.orderBy("table_name", "airport"))
         return 0
-    if args.shuffle_partitions is None:
-        fit_shuffles(spark, args.bronze)
     raw = pipeline.raw_tables(spark, args.bronze)
+    if args.shuffle_partitions is None:
+        read = raw
+        if args.command == "refresh":
+            until = args.until or args.since
+            read = {t: bronze.in_days(rows, t, args.since, until) for t, rows in raw.items()}
+        fit_shuffles(spark, *read.values())
     if args.command == "build":
         pipeline.build(spark, raw, args.warehouse, args.as_of)
         return 0
@@ -77,7 +97,7 @@ def main(argv: list[str] | None = None) -> int:
         )
         return 0
     report = pipeline.check(spark, raw, args.warehouse)
-    report.orderBy(F.desc("failing_rows"), "table_name", "column_name").show(100, truncate=False)
+    show_all(report.orderBy(F.desc("failing_rows"), "table_name", "column_name"))
     return 1 if report.filter("failing_rows > 0").head(1) else 0
 
 

@@ -44,6 +44,19 @@ def models_on_stored_flights(spark: SparkSession, sf_dir: str) -> Models:
     )
 
 
+def models_sharing_flights(spark: SparkSession, sf_dir: str) -> Models:
+    """Models whose deduplicated flights are computed once per query and kept by Spark.
+
+    Nothing runs or is written while the query is put together; blocks go to
+    disk where memory is short, and lost ones are computed again.
+    """
+    return Models(
+        raw_flights(use_utc(spark), sf_dir),
+        AS_OF,
+        lambda name, model: model.persist() if name.startswith("stg_") else model,
+    )
+
+
 def _model(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return lazy_models(spark, sf_dir)[name]
@@ -51,16 +64,21 @@ def _model(name: str) -> Query:
     return query
 
 
+def _models_of_mart(name: str) -> Callable[[SparkSession, str], Models]:
+    # The airlines' mart reads the flights twice: for its cells and for the names.
+    return models_sharing_flights if name == "mart_airline_punctuality" else lazy_models
+
+
 def _mart(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return in_order(lazy_models(spark, sf_dir)[name], name)
+        return in_order(_models_of_mart(name)(spark, sf_dir)[name], name)
 
     return query
 
 
 def _serve(mart: str, question: Callable[..., DataFrame], **options: object) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return question(lazy_models(spark, sf_dir)[mart], **options)
+        return question(_models_of_mart(mart)(spark, sf_dir)[mart], **options)
 
     return query
 
@@ -79,7 +97,7 @@ def _explore(question: Callable[..., DataFrame], *inputs: str, **options: object
 
 def _quality(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return quality_report(models_on_stored_flights(spark, sf_dir), [kind])
+        return quality_report(models_sharing_flights(spark, sf_dir), [kind])
 
     return query
 

@@ -28,22 +28,24 @@ def other_airport(at_destination: str, at_origin: str) -> Column:
     return own_airport(at_origin, at_destination)
 
 
-def with_periods(cells: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Adds day, week, month and year; cells off the calendar drop out.
+def with_periods(cells: DataFrame) -> DataFrame:
+    """Adds day, week, month and year; cells without a day drop out.
 
-    The calendar is a few thousand days whatever the data, so it is broadcast.
+    All of them follow from the day, so they are computed and not looked up: a
+    day off the stored calendar loses no flights.
     """
-    day = F.col("date_day")
-    calendar = dim_date.select(
-        F.col("date_key").alias("flight_date_key"),
-        day.alias("flight_date"),
-        F.col("week_start_date").alias("flight_week"),
-        F.date_trunc("month", day).alias("flight_month"),
-        F.col("year").alias("flight_year"),
-        "week_number",
-        F.col("month").alias("month_number"),
+    key, day = F.col("flight_date_key"), F.col("flight_date")
+    date = F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100)
+    dated = cells.filter(key.isNotNull()).withColumn("flight_date", date.cast("timestamp"))
+    return dated.withColumns(
+        {
+            "flight_week": F.date_trunc("week", day),
+            "flight_month": F.date_trunc("month", day),
+            "flight_year": F.year(day).cast("long"),
+            "week_number": F.weekofyear(day).cast("long"),
+            "month_number": F.month(day).cast("long"),
+        }
     )
-    return cells.join(F.broadcast(calendar), "flight_date_key", "inner")
 
 
 def with_airport(
@@ -51,11 +53,20 @@ def with_airport(
 ) -> DataFrame:
     """Adds the airport code for ``key`` as ``name``; can be applied once per role.
 
-    The airport dimension is a fixed list, so it is broadcast.
+    Carries no hint: Spark broadcasts the fixed list by its size, and nothing larger.
     """
     role = dim_airport.select(F.col("airport_key").alias(key), F.col("airport_iata").alias(name))
-    return cells.join(F.broadcast(role), key, how)
+    return cells.join(role, key, how)
 
 
-def at_listed_airports(cells: DataFrame, column: str = "airport_iata") -> DataFrame:
-    return cells.filter(F.col(column).isin(AIRPORT_CODES))
+def at_listed_airports(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows whose airports are all among those covered; the test can reach a scan."""
+    for column in columns:
+        df = df.filter(F.col(column).isin(AIRPORT_CODES))
+    return df
+
+
+def at_own_airport(fact: DataFrame) -> DataFrame:
+    """Flights counted at a covered airport, with its code as ``airport_iata``."""
+    own = own_airport("destination_airport_iata", "origin_airport_iata")
+    return fact.withColumn("airport_iata", own).filter(F.col("airport_iata").isin(AIRPORT_CODES))

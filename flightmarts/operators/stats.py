@@ -21,6 +21,17 @@ def tally_mean(value: str, count: str) -> Column:
     return total / F.nullif(F.sum(F.when(known, F.col(count))), F.lit(0))
 
 
+def tally_mean_minutes(value: str, count: str) -> Column:
+    """Mean of tallied minutes between times, from whole microseconds.
+
+    Such a sum is exact, so no rounding depends on the order of rows.
+    """
+    known = F.col(value).isNotNull()
+    micros = F.round(F.col(value) * 60_000_000.0).cast("long")
+    total = F.sum(micros * F.col(count)) / 60_000_000.0
+    return total / F.nullif(F.sum(F.when(known, F.col(count))), F.lit(0))
+
+
 def with_ranks(tally: DataFrame, group: list[str], value: str, count: str) -> DataFrame:
     """Adds to each tally row the ranks its value takes up within the group.
 

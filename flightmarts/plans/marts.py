@@ -1,8 +1,8 @@
 """Marts: daily aggregates of the flight fact, one function each.
 
-Grouping uses keys only; what follows from a key (the weekday from the day, the
-part of the day from the hour) is put back on the aggregated rows, so that it
-is neither read nor shuffled.
+What follows from a key (the week from the day, the part of the day from the hour)
+is put back on the aggregated rows, so that it is neither read nor shuffled; what
+a mart leaves out, such as airports not covered, is left out before the shuffle.
 
 Rows come back unordered; ``ORDER`` names each mart's published order, which
 the writer stores and ``in_order`` applies.
@@ -25,12 +25,12 @@ from flightmarts.functions import (
 from flightmarts.operators.star import (
     PERIOD_COLUMNS,
     at_listed_airports,
+    at_own_airport,
     other_airport,
     own_airport,
-    with_airport,
     with_periods,
 )
-from flightmarts.operators.stats import ranked_percentile, tally_mean, with_ranks
+from flightmarts.operators.stats import ranked_percentile, tally_mean_minutes, with_ranks
 
 # Column → descending?
 ORDER: dict[str, dict[str, bool]] = {
@@ -104,24 +104,23 @@ def _delay_tally(fact: DataFrame, key: str, at: Column) -> GroupedData:
 
 def _delay_stats() -> list[Column]:
     return [
-        round2(tally_mean("delay", "completed_flights")).alias("avg_delay_minutes"),
+        round2(tally_mean_minutes("delay", "completed_flights")).alias("avg_delay_minutes"),
         round2(F.min("delay")).alias("min_delay_minutes"),
         round2(F.max("delay")).alias("max_delay_minutes"),
         round2(ranked_percentile("delay", 0.5)).alias("median_delay_minutes"),
     ]
 
 
-def airline_punctuality(
-    fact: DataFrame, dim_airline: DataFrame, dim_date: DataFrame
-) -> DataFrame:
+def airline_punctuality(fact: DataFrame, dim_airline: DataFrame) -> DataFrame:
     """Airline, day, direction, domestic. On time means 0 up to under 15 minutes late.
 
-    Flights without an airline find no dimension row and drop out. The airline
-    dimension comes from the data, so how to join it is left to its real size.
+    Flights without an airline have no dimension row and are left out first. The
+    airline dimension comes from the data, so how to join it is left to its size.
     """
     delay = F.col("delay")
+    flown_by = fact.filter(F.col("airline_iata").isNotNull())
     cells = (
-        _delay_tally(fact, "airline_key", F.col("airline_key"))
+        _delay_tally(flown_by, "airline_key", F.col("airline_key"))
         .agg(
             _sum("total_flights"),
             _sum_where(
@@ -134,7 +133,7 @@ def airline_punctuality(
             *_delay_stats(),
         )
     )
-    cells = with_periods(cells.join(dim_airline, "airline_key", "inner"), dim_date)
+    cells = with_periods(cells.join(dim_airline, "airline_key", "inner"))
     cells = cells.withColumns(_split_by_domestic("total_flights"))
     done, total = F.col("completed_flights"), F.col("total_flights")
     return cells.select(
@@ -153,9 +152,7 @@ def airline_punctuality(
     )
 
 
-def airport_punctuality(
-    fact: DataFrame, dim_airport: DataFrame, dim_date: DataFrame
-) -> DataFrame:
+def airport_punctuality(fact: DataFrame) -> DataFrame:
     """Airport, day, direction, domestic. On time means up to 15 minutes late.
 
     Early flights count as on time *and* as ahead of schedule, so the three
@@ -163,7 +160,7 @@ def airport_punctuality(
     """
     delay = F.col("delay")
     cells = (
-        _delay_tally(fact, "at_key", own_airport("dest_airport_key", "origin_airport_key"))
+        _delay_tally(at_own_airport(fact), "airport_iata", F.col("airport_iata"))
         .agg(
             _sum("total_flights"),
             _sum("cancelled_flights"),
@@ -174,8 +171,7 @@ def airport_punctuality(
             *_delay_stats(),
         )
     )
-    cells = at_listed_airports(with_airport(cells, dim_airport, "at_key", "airport_iata"))
-    cells = with_periods(cells, dim_date).withColumns(_split_by_domestic("total_flights"))
+    cells = with_periods(cells).withColumns(_split_by_domestic("total_flights"))
     done, total = F.col("completed_flights"), F.col("total_flights")
     return cells.select(
         surrogate_key("airport_iata", "flight_date", "flight_type", "is_domestic").alias(
@@ -194,18 +190,17 @@ def airport_punctuality(
     )
 
 
-def airport_hourly_traffic(
-    fact: DataFrame, dim_airport: DataFrame, dim_date: DataFrame
-) -> DataFrame:
+def airport_hourly_traffic(fact: DataFrame) -> DataFrame:
     """Airport, day, hour, direction.
 
     Counting distinct airlines makes Spark aggregate per cell and airline
     first, which also spreads a busy cell. The airline count includes deleted
     flights and counts "no airline" as one.
     """
-    at = own_airport("dest_airport_key", "origin_airport_key").alias("at_key")
     domestic = F.col("is_domestic")
-    cells = fact.groupBy(at, "flight_date_key", "flight_hour", "flight_type").agg(
+    cells = at_own_airport(fact).groupBy(
+        "airport_iata", "flight_date_key", "flight_hour", "flight_type"
+    ).agg(
         F.count_if(_is_active()).alias("flight_count"),
         F.count_if(domestic & _is_active()).alias("domestic_flights"),
         F.count_if(~domestic & _is_active()).alias("international_flights"),
@@ -214,8 +209,7 @@ def airport_hourly_traffic(
         F.count_if(F.col("is_on_time") & _is_flown()).alias("on_time_flights"),
         F.count_if(_is_flown()).alias("completed_flights"),
     )
-    cells = at_listed_airports(with_airport(cells, dim_airport, "at_key", "airport_iata"))
-    return with_periods(cells, dim_date).select(
+    return with_periods(cells).select(
         surrogate_key("airport_iata", "flight_date", "flight_hour", "flight_type").alias(
             "hourly_traffic_key"
         ),
@@ -226,18 +220,20 @@ def airport_hourly_traffic(
     )
 
 
-def baggage_performance(
-    fact: DataFrame, dim_airport: DataFrame, dim_date: DataFrame
-) -> DataFrame:
+def baggage_performance(fact: DataFrame) -> DataFrame:
     """Airport, carousel, day, hour, domestic; arrivals with a known carousel."""
     cell = [
-        "dest_airport_key", "baggage_claim_unit", "is_domestic", "flight_date_key", "flight_hour",
+        "airport_iata", "baggage_claim_unit", "is_domestic", "flight_date_key", "flight_hour",
     ]
     minutes = F.col("baggage_handling_minutes")
     tally = (
-        fact.filter(
-            (F.col("flight_type") == ARRIVAL) & F.col("baggage_claim_unit").isNotNull()
+        at_listed_airports(
+            fact.filter(
+                (F.col("flight_type") == ARRIVAL) & F.col("baggage_claim_unit").isNotNull()
+            ),
+            "destination_airport_iata",
         )
+        .withColumnRenamed("destination_airport_iata", "airport_iata")
         .groupBy(
             *cell,
             minutes.alias("handling"),
@@ -250,7 +246,7 @@ def baggage_performance(
     cells = tally.groupBy(*cell).agg(
         _sum_where(F.col("handling").isNotNull(), "flights").alias("flights_with_baggage_data"),
         F.sum("flights").alias("total_arrivals"),
-        round2(tally_mean("handling", "flights")).alias("avg_baggage_handling_minutes"),
+        round2(tally_mean_minutes("handling", "flights")).alias("avg_baggage_handling_minutes"),
         round2(ranked_percentile("handling", 0.5)).alias(
             "median_baggage_handling_minutes"
         ),
@@ -258,11 +254,10 @@ def baggage_performance(
         round2(F.max("handling")).alias("max_baggage_handling_minutes"),
         round2(ranked_percentile("handling", 0.90)).alias("p90_baggage_handling_minutes"),
         round2(ranked_percentile("handling", 0.95)).alias("p95_baggage_handling_minutes"),
-        round2(tally_mean("delay", "flights")).alias("avg_flight_delay_minutes"),
+        round2(tally_mean_minutes("delay", "flights")).alias("avg_flight_delay_minutes"),
         round2(ranked_percentile("delay", 0.5)).alias("median_flight_delay_minutes"),
     )
-    cells = with_airport(cells, dim_airport, "dest_airport_key", "airport_iata")
-    cells = with_periods(at_listed_airports(cells), dim_date).withColumns(
+    cells = with_periods(cells).withColumns(
         {
             "flight_time_period": time_period(F.col("flight_hour")),
             "flight_day_of_week": iso_weekday(F.col("flight_date")),
@@ -284,28 +279,23 @@ def baggage_performance(
     )
 
 
-def route_popularity(
-    fact: DataFrame, dim_airport: DataFrame, dim_date: DataFrame
-) -> DataFrame:
+def route_popularity(fact: DataFrame) -> DataFrame:
     """Airport, route, day, direction; both ends must be listed airports."""
-    cells = fact.groupBy(
-        "origin_airport_key", "dest_airport_key", "route_key",
-        "flight_type", "is_domestic", "flight_date_key",
+    origin, destination = "origin_airport_iata", "destination_airport_iata"
+    cells = at_listed_airports(fact, origin, destination).groupBy(
+        origin, destination, "route_key", "flight_type", "is_domestic", "flight_date_key",
     ).agg(
         F.count_if(_is_active()).alias("flight_count"),
         F.count_distinct("airline_key").alias("unique_airlines"),
         F.count_if("is_cancelled").alias("cancelled_flights"),
     )
-    origin, destination = "origin_airport_iata", "destination_airport_iata"
-    cells = with_airport(cells, dim_airport, "origin_airport_key", origin)
-    cells = with_airport(cells, dim_airport, "dest_airport_key", destination)
     cells = cells.withColumns(
         {
             "airport_iata": own_airport(destination, origin),
             "other_airport_iata": other_airport(destination, origin),
         }
     )
-    return with_periods(at_listed_airports(cells), dim_date).select(
+    return with_periods(cells).select(
         surrogate_key("airport_iata", "route_key", "flight_date", "flight_type").alias(
             "route_popularity_key"
         ),

@@ -8,17 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightmarts.constants import RAW_ARRIVALS, RAW_DEPARTURES
+from flightmarts.plans.dimensions import airline_dimension
 from flightmarts.plans.quality import quality_report
 from flightmarts.plans.warehouse import KEYED_FLIGHTS, Models
 from flightmarts.session import use_utc
 from flightmarts.sources import bronze as raw_layer
-from flightmarts.sources.tables import ParquetStore
-
-_SCHEDULED = {
-    RAW_ARRIVALS: "arrival_time__scheduled_utc",
-    RAW_DEPARTURES: "departure_time__scheduled_utc",
-}
-
+from flightmarts.sources.tables import DAILY_MARTS, ParquetStore
 
 def load(
     spark: SparkSession,
@@ -29,10 +24,13 @@ def load(
     airports: list[str] | None = None,
     dates: list[str] | None = None,
     replace: bool = False,
+    one_per_line: bool = False,
 ) -> DataFrame:
     """Appends landed payloads to the raw tables; returns the load summary."""
     use_utc(spark)
-    raw_layer.ingest(spark, landing, bronze, load_id, load_date, airports, dates, replace)
+    raw_layer.ingest(
+        spark, landing, bronze, load_id, load_date, airports, dates, replace, one_per_line
+    )
     raw = raw_tables(spark, bronze)
     return raw_layer.load_summary(raw[RAW_ARRIVALS], raw[RAW_DEPARTURES])
 
@@ -72,35 +70,53 @@ def refresh(
     """Like ``build``, but only flights scheduled from ``since`` to ``until`` are redone.
 
     Versions of a flight share its scheduled time, so a day's flights depend on
-    raw rows of that day alone: the filter reaches the raw scan, and only the
-    folders of these days are replaced. Dimensions and marts are then rebuilt
-    from the stored flights.
+    raw rows of that day alone: only the raw folders of these days are read,
+    and only these days of the stored flights and marts are replaced. Flights
+    without a scheduled time belong to no day and are always redone.
+
+    A mart's rows belong to a day too. Only the airlines' mart also depends on
+    all names of an airline, so it is rebuilt whole when those have changed.
     """
     use_utc(spark)
-    first = F.lit(str(since)).cast("timestamp")
-    after = F.lit(str(until)).cast("timestamp") + F.expr("INTERVAL 1 DAY")
-    window = {
-        table: rows.filter(F.col(_SCHEDULED[table]) >= first).filter(
-            F.col(_SCHEDULED[table]) < after
-        )
-        for table, rows in raw.items()
-    }
+    window = {table: raw_layer.in_days(rows, table, since, until) for table, rows in raw.items()}
     store = ParquetStore(spark, warehouse)
-    store.replace_days(Models(window)[KEYED_FLIGHTS])
+    store.replace_days(KEYED_FLIGHTS, Models(window)[KEYED_FLIGHTS])
+    flights = store.read(KEYED_FLIGHTS, Models(raw)[KEYED_FLIGHTS])
+
+    airlines = airline_dimension(flights)
+    known = store.open("dim_airline")
+    changed = known.exceptAll(airlines).union(airlines.exceptAll(known)).head(1)
+    first, last = (int(str(day).replace("-", "")) for day in (since, until))
+    some = flights.filter(F.col("flight_date_key").between(first, last))
+    partial = Models(raw, as_of, lambda name, model: some if name == KEYED_FLIGHTS else model)
 
     def keep(name: str, model: DataFrame) -> DataFrame:
-        return store.read(name, model) if name == KEYED_FLIGHTS else store.keep(name, model)
+        if name == KEYED_FLIGHTS:
+            return store.read(name, model)
+        if name in DAILY_MARTS and not (name == "mart_airline_punctuality" and changed):
+            store.replace_days(name, partial[name])
+            model = store.read(name, model)
+            model.createOrReplaceTempView(name)
+            return model
+        return store.keep(name, model)
 
     return Models(raw, as_of, keep).build_all()
 
 
+def _stored(store: ParquetStore, staged: Models, name: str) -> DataFrame:
+    if name.startswith("stg_"):
+        return staged[name]
+    # A mart without rows has no files to tell its columns.
+    return store.read(name, staged[name]) if name in DAILY_MARTS else store.open(name)
+
+
 def check(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str) -> DataFrame:
     """The quality report over the stored models and the staging views on ``raw``."""
     use_utc(spark)
     store = ParquetStore(spark, warehouse)
     staged = Models(raw)
     tables = {
-        name: staged[name] if name.startswith("stg_") else store.open(name)
+        name: _stored(store, staged, name)
         for name in staged
         if name != KEYED_FLIGHTS
     }

@@ -90,21 +90,43 @@ def _counted_in_one_pass(
     return counts.select(F.inline(F.array(*findings)))
 
 
-def _repeats(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Values that occur more than once, counted where they meet."""
-    filled = df.filter(F.col(column).isNotNull())
-    repeated = filled.groupBy(column).count().filter(F.col("count") > 1)
-    counts = repeated.agg(F.count("*").alias("repeats"))
-    return counts.select(_finding(table, column, "unique", F.col("repeats")).alias("f")).select(
-        "f.*"
+def _repeats(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Values that occur more than once, of all unique columns of all tables together.
+
+    Each table is read once. Its values are counted by table, column and value
+    in one shuffle, which a column with few values shares with all others.
+    """
+    checks = [(t, c) for t in tables for c in UNIQUE.get(t, [])]
+    values = [
+        tables[t].select(
+            F.inline(
+                F.array(
+                    *[
+                        F.struct(F.lit(checks.index((t, c))).alias("n"), F.col(c).cast("string").alias("v"))
+                        for c in UNIQUE[t]
+                    ]
+                )
+            )
+        )
+        for t in tables
+        if t in UNIQUE
+    ]
+    counted = reduce(DataFrame.unionAll, values).filter("v IS NOT NULL").groupBy("n", "v").count()
+    repeats = counted.groupBy("n").agg(F.count_if(F.col("count") > 1).alias("repeats"))
+    # One row with the counts of all checks, also of tables without any value.
+    row = repeats.agg(
+        *[F.coalesce(F.sum(F.when(F.col("n") == i, F.col("repeats"))), F.lit(0).cast("long")).alias(f"r{i}")
+          for i in range(len(checks))]
     )
+    findings = [_finding(t, c, "unique", F.col(f"r{i}")) for i, (t, c) in enumerate(checks)]
+    return row.select(F.inline(F.array(*findings)))
 
 
 def quality_report(tables: Mapping[str, DataFrame], kinds: list[str] | None = None) -> DataFrame:
     """One row per check over the given models.
 
-    Give it stored tables: every table is read once for its counts and once
-    per unique column.
+    Every table is read once for its counts and once for its unique columns, so
+    give it stored or cached tables.
     """
     kinds = kinds or _KINDS
     reports: list[DataFrame] = []
@@ -112,6 +134,6 @@ def quality_report(tables: Mapping[str, DataFrame], kinds: list[str] | None = No
         counted = _counted_in_one_pass(tables, table, kinds)
         if counted is not None:
             reports.append(counted)
-        if "unique" in kinds:
-            reports += [_repeats(tables[table], table, c) for c in UNIQUE.get(table, [])]
+    if "unique" in kinds:
+        reports.append(_repeats(tables))
     return reduce(DataFrame.unionAll, reports)

@@ -54,6 +54,8 @@ def pick(
             mart = mart.filter(F.col(column).isin(values))
     if month is not None:
         mart = mart.filter(F.col("flight_month") == stamp(month))
+        if "month_key" in mart.columns:  # a stored mart: other months' folders stay unread
+            mart = mart.filter(F.col("month_key") == str(month)[:7])
     if since is not None:
         mart = mart.filter(F.col("flight_date") >= stamp(since))
     if until is not None:

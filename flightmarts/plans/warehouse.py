@@ -47,17 +47,14 @@ class Models(Mapping[str, DataFrame]):
             "dim_airport": lambda: airport_dimension(self._spark),
             "dim_date": lambda: date_dimension(self._spark, self._as_of),
             "mart_airline_punctuality": lambda: marts.airline_punctuality(
-                self["fct_flights"], self["dim_airline"], self["dim_date"]
+                self["fct_flights"], self["dim_airline"]
             ),
-            "mart_airport_hourly_traffic": lambda: marts.airport_hourly_traffic(*self._star()),
-            "mart_airport_punctuality": lambda: marts.airport_punctuality(*self._star()),
-            "mart_baggage_performance": lambda: marts.baggage_performance(*self._star()),
-            "mart_route_popularity": lambda: marts.route_popularity(*self._star()),
+            "mart_airport_hourly_traffic": lambda: marts.airport_hourly_traffic(self["fct_flights"]),
+            "mart_airport_punctuality": lambda: marts.airport_punctuality(self["fct_flights"]),
+            "mart_baggage_performance": lambda: marts.baggage_performance(self["fct_flights"]),
+            "mart_route_popularity": lambda: marts.route_popularity(self["fct_flights"]),
         }
 
-    def _star(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        return self["fct_flights"], self["dim_airport"], self["dim_date"]
-
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
             self._built[name] = self._keep(name, self._recipes[name]())

@@ -42,11 +42,13 @@ DEPARTURE_FLIGHT = _struct(
 )
 
 
-def payload(flight: T.StructType) -> T.StructType:
+def payload(flight: T.DataType) -> T.StructType:
     """One landed document: a count and the list of flights."""
     return _struct(("numberOfFlights", T.LongType()), ("flights", T.ArrayType(flight, True)))
 
 
+# Flights as their JSON text, whatever they hold.
+UNTYPED_PAYLOAD = payload(_S)
 ARRIVALS_PAYLOAD = payload(ARRIVAL_FLIGHT)
 DEPARTURES_PAYLOAD = payload(DEPARTURE_FLIGHT)
 

@@ -5,8 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # What a deployment should start from. Partition counts and sizes are starting
 # points for adaptive execution, which merges small and splits large partitions.
@@ -43,22 +42,27 @@ def get_session(
     return builder.getOrCreate()
 
 
-def fit_shuffles(spark: SparkSession, path: str, bytes_per_partition: int = 200_000_000) -> int:
-    """Raises the number of shuffle partitions to suit the files under ``path``.
+def fit_shuffles(
+    spark: SparkSession,
+    *inputs: DataFrame,
+    bytes_per_partition: int = 128_000_000,
+    most: int = 40_000,
+) -> int:
+    """Starts shuffles with as many partitions as suit what ``inputs`` read.
 
     Adaptive execution merges small partitions but never adds any, so a shuffle
-    of large input must start with enough. Only file sizes are looked at.
+    of large input must start with enough; each shuffle then shrinks to its own
+    data. Spark's estimate knows pruned folders and columns, so a refresh of one
+    day starts small. ``most`` bounds the map status the driver keeps: beyond it
+    partitions grow (100 TB: 2.5 GB each, which sorts and spills) instead of
+    their number. ``spark.sql.shuffle.partitions`` stays as it is.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(path)
+    total = sum(
+        int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs
     )
-    total = files.agg(F.sum("length")).first()[0] or 0
-    wanted = math.ceil(total / bytes_per_partition)
-    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    partitions = min(most, max(1, math.ceil(total / bytes_per_partition)))
+    partitions = max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     return partitions
 
 
@@ -75,8 +79,9 @@ def scratch_dir(spark: SparkSession) -> str:
     without: it gets a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
+    local = spark.sparkContext.master.startswith("local")
+    if shared and (local or not shared.startswith("file:")):
         return shared
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="flightmarts-")

@@ -1,7 +1,13 @@
-"""Raw tables: append-only, one folder per load date."""
+"""Raw tables: append-only, a folder per load date, flight day, airport and ``timed``.
+
+A load selects airports and days, so it fills folders of its own and replacing
+it touches no others. ``timed`` keeps flights without a scheduled time apart:
+they belong to no day, and a refresh of some days must still find all of them.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +20,13 @@ from flightmarts.sources.landing import ARRIVALS, DEPARTURES, raw_rows, read_lan
 
 TABLES = {ARRIVALS: RAW_ARRIVALS, DEPARTURES: RAW_DEPARTURES}
 _SCHEMAS = {RAW_ARRIVALS: schemas.ARRIVALS_RAW, RAW_DEPARTURES: schemas.DEPARTURES_RAW}
+SCHEDULED = {
+    RAW_ARRIVALS: "arrival_time__scheduled_utc",
+    RAW_DEPARTURES: "departure_time__scheduled_utc",
+}
+# The whole flight as it was landed, beside the typed columns.
+PAYLOAD = "payload"
+PARTITIONS = ["load_date", "flight_day", "timed", "airport"]
 
 
 def append_raw(rows: DataFrame, path: str) -> None:
@@ -23,20 +36,24 @@ def append_raw(rows: DataFrame, path: str) -> None:
     would leave a small file behind.
     """
     (
-        rows.hint("rebalance")
+        rows.hint("rebalance", *PARTITIONS)
         .write.mode("append")
-        .partitionBy("load_date")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
 
 
 def replace_raw(rows: DataFrame, path: str) -> None:
-    """Rewrite exactly the load dates present in ``rows`` (re-run of a backfill)."""
+    """Rewrite the folders present in ``rows`` (re-run of a backfill) and no others.
+
+    A folder is filled by one load date, day and airport. Rows must hold all
+    flights of theirs, as ``ingest`` makes sure by reading whole documents.
+    """
     (
-        rows.hint("rebalance")
+        rows.hint("rebalance", *PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_date")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
 
@@ -50,12 +67,21 @@ def ingest(
     airports: list[str] | None = None,
     dates: list[str] | None = None,
     replace: bool = False,
+    one_per_line: bool = False,
 ) -> None:
-    """Landed documents of both directions into the two raw tables."""
+    """Landed documents of both directions into the two raw tables.
+
+    ``replace`` rewrites what this ``load_date`` holds of the selected airports and
+    days, and leaves its other airports and days alone.
+    """
     for direction, table in TABLES.items():
-        docs = read_landing(spark, landing, direction, airports, dates)
+        docs = read_landing(
+            spark, landing, direction, airports, dates, one_per_line=one_per_line
+        )
         rows = raw_rows(docs, direction, load_id).withColumnRenamed("date", "flight_day")
-        rows = rows.withColumn("load_date", F.lit(load_date))
+        rows = rows.withColumns(
+            {"load_date": F.lit(load_date), "timed": F.col(SCHEDULED[table]).isNotNull()}
+        )
         (replace_raw if replace else append_raw)(rows, f"{bronze}/{table}")
 
 
@@ -77,11 +103,31 @@ def conform_raw(df: DataFrame, table: str) -> DataFrame:
 def read_raw(spark: SparkSession, bronze: str, table: str) -> DataFrame:
     schema = T.StructType(
         _SCHEMAS[table].fields
-        + [T.StructField(c, T.StringType()) for c in ("airport", "flight_day", "load_date")]
+        + [T.StructField(c, T.StringType()) for c in (PAYLOAD, "airport", "flight_day", "load_date")]
+        + [T.StructField("timed", T.BooleanType())]
     )
     return spark.read.schema(schema).parquet(f"{bronze}/{table}")
 
 
+def in_days(raw: DataFrame, table: str, since: dt.date | str, until: dt.date | str) -> DataFrame:
+    """Raw flights scheduled in a span of days, and all without a scheduled time.
+
+    The folders of these days are enough, with one more at either end as the
+    day of a document is a local one; the exact time decides. A raw table
+    without such folders is filtered by time alone.
+    """
+    scheduled = F.col(SCHEDULED[table])
+    first = F.lit(str(since)).cast("timestamp")
+    after = F.lit(str(until)).cast("timestamp") + F.expr("INTERVAL 1 DAY")
+    if {"flight_day", "timed"} <= set(raw.columns):
+        day = dt.timedelta(days=1)
+        low, high = dt.date.fromisoformat(str(since)) - day, dt.date.fromisoformat(str(until)) + day
+        raw = raw.filter(
+            F.col("flight_day").between(low.isoformat(), high.isoformat()) | ~F.col("timed")
+        )
+    return raw.filter(scheduled.isNull() | ((scheduled >= first) & (scheduled < after)))
+
+
 def merge_sources(*frames: DataFrame) -> DataFrame:
     """Many sources into one raw table; a column missing in one becomes NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

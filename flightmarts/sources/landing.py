@@ -26,13 +26,14 @@ from flightmarts.constants import AIRPORT_CODES
 ARRIVALS, DEPARTURES = "arrivals", "departures"
 _PAYLOADS = {ARRIVALS: schemas.ARRIVALS_PAYLOAD, DEPARTURES: schemas.DEPARTURES_PAYLOAD}
 _RAW = {ARRIVALS: schemas.ARRIVALS_RAW, DEPARTURES: schemas.DEPARTURES_RAW}
+_FLIGHTS = {ARRIVALS: schemas.ARRIVAL_FLIGHT, DEPARTURES: schemas.DEPARTURE_FLIGHT}
 
 
 def airport_list(text: str | None = None) -> list[str]:
     """``" arn, Got"`` → ``["ARN", "GOT"]``; all airports by default."""
     if text is None:
         return list(AIRPORT_CODES)
-    return [part.strip().upper() for part in text.split(",")]
+    return [part.strip().upper() for part in text.split(",") if part.strip()]
 
 
 def backfill_dates(days: int = 1, until: dt.date | str | None = None) -> list[str]:
@@ -77,10 +78,15 @@ def read_landing(
 
     A damaged document stops the load by default: skipping it would lose
     flights silently. Missing fields are fine and read as NULL, and a window
-    in which nothing landed is empty.
+    in which nothing landed is empty; a missing landing folder is an error.
+
+    Flights are read as their JSON text and typed afterwards, so that what the
+    schema does not name is still there to be kept.
     """
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no landing folder {path}")
     schema = T.StructType(
-        _PAYLOADS[direction].fields
+        schemas.UNTYPED_PAYLOAD.fields
         + [T.StructField(name, T.StringType()) for name in ("date", "airport", "direction")]
     )
     folders = f"{path}/{_level('date', dates)}/{_level('airport', airports)}/direction={direction}"
@@ -115,12 +121,20 @@ def parse_payload(text: Column, direction: str) -> Column:
     return F.from_json(text, _PAYLOADS[direction], {"mode": "FAILFAST"})
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, in whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def raw_rows(docs: DataFrame, direction: str, load_id: str | Column) -> DataFrame:
     """One raw row per flight of every document.
 
     ``docs`` holds the payload's ``flights`` list; further columns (date,
     airport) are carried along behind the raw ones. A row id is the hash of
-    the row and its load, so re-running a load gives the same ids.
+    the row and its load, so re-running a load gives the same ids. Flights
+    given as JSON text are kept whole as ``payload`` beside the typed columns.
     """
     carried = [c for c in docs.columns if c not in ("numberOfFlights", "flights", "load_id")]
     load = F.lit(load_id) if isinstance(load_id, str) else load_id
@@ -129,6 +143,15 @@ def raw_rows(docs: DataFrame, direction: str, load_id: str | Column) -> DataFram
     flights = docs.select(
         F.explode_outer("flights").alias("flight"), load.alias("load"), *carried
     ).filter(F.col("flight").isNotNull())
+    as_landed = isinstance(flights.schema["flight"].dataType, T.StringType)
+    if as_landed:
+        flights = flights.withColumns(
+            {
+                "payload": F.col("flight"),
+                "flight": F.from_json("flight", _FLIGHTS[direction], {"mode": "FAILFAST"}),
+            }
+        )
+        carried = ["payload", *carried]
     row_id = F.md5(F.concat_ws("|", F.col("load"), F.to_json(F.struct("flight"))))
     flat = flatten(flights.withColumn("row", row_id).select("flight.*", "load", "row", *carried))
     renamed = {"_dlt_load_id": "load", "_dlt_id": "row"}

@@ -1,7 +1,11 @@
 """Raw flight tables derived from the ``lineitem`` test table.
 
 The test data holds no flights, so order lines are read as flights by integer
-arithmetic on their columns: odd lines arrive, even lines depart.
+arithmetic on their columns: odd lines arrive, even lines depart. Day, airline
+and airport come from different digits of the order key, so that none fixes
+another; some flights lack a time, a status or an origin, stop at an airport
+that is not covered, have an unknown status or an airline with a second name, and
+one morning at one airport is very busy.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ _LINEITEM = (
 _AIRLINES = ["SK", "DY", "FR", "LH", "AY", "KL", "BA", "W6", "FI", "EW", "D8", None]
 _OTHER_AIRPORTS = AIRPORT_CODES + ["CPH", "OSL", "HEL", "LHR"]
 _FIRST_DAY = 1767225600  # 2026-01-01 00:00:00 UTC
+_BUSY = "(l_linenumber = 1 AND l_orderkey % 5 = 0)"
 
 
 def _pick(values: list[str | None], position: str) -> str:
@@ -31,14 +36,19 @@ def _pick(values: list[str | None], position: str) -> str:
 # Flight in seconds and codes: name → expression over lineitem.
 _FLIGHT = {
     "arrives": "l_linenumber % 2 = 1",
-    "airline": _pick(_AIRLINES, "l_orderkey % 12"),
-    "flight_id": f"concat(coalesce({_pick(_AIRLINES, 'l_orderkey % 12')}, 'XX'), "
+    "airline": _pick(_AIRLINES, "(l_orderkey div 60) % 12"),
+    "second_name": "l_partkey % 2 = 0",
+    "flight_id": f"concat(coalesce({_pick(_AIRLINES, '(l_orderkey div 60) % 12')}, 'XX'), "
     "string(100 + l_orderkey % 900))",
-    "home": _pick(AIRPORT_CODES, "(l_orderkey div 12) % 10"),
-    "other": _pick(_OTHER_AIRPORTS, "(l_orderkey div 7 + l_linenumber) % 14"),
-    "scheduled": f"{_FIRST_DAY} + (l_orderkey % 60) * 86400"
-    " + ((l_orderkey * 7 + l_linenumber * 131) % 1440) * 60",
-    "status": "CASE WHEN l_partkey % 20 <= 2 THEN 'DEL' WHEN l_partkey % 20 = 3 THEN 'CAN'"
+    "home": f"CASE WHEN l_partkey % 41 = 0 THEN 'SFT' WHEN {_BUSY} THEN 'ARN'"
+    f" ELSE {_pick(AIRPORT_CODES, '(l_orderkey div 720) % 10')} END",
+    "other": "CASE WHEN l_partkey % 67 <> 0 THEN "
+    f"{_pick(_OTHER_AIRPORTS, '(l_orderkey div 7 + l_linenumber) % 14')} END",
+    "scheduled": f"CASE WHEN l_partkey % 61 = 0 THEN NULL WHEN {_BUSY}"
+    f" THEN {_FIRST_DAY} + 20 * 86400 + 8 * 3600 + (l_orderkey % 60) * 60"
+    f" ELSE {_FIRST_DAY} + (l_orderkey % 60) * 86400"
+    " + ((l_orderkey * 7 + l_linenumber * 131) % 1440) * 60 END",
+    "status": "CASE WHEN l_partkey % 53 = 0 THEN NULL WHEN l_partkey % 59 = 0 THEN 'ZZZ' WHEN l_partkey % 20 <= 2 THEN 'DEL' WHEN l_partkey % 20 = 3 THEN 'CAN'"
     " WHEN l_partkey % 20 <= 6 THEN 'SCH' WHEN l_partkey % 20 = 7 THEN 'ACT' ELSE 'LAN' END",
     "late": "((l_partkey * 37 + l_suppkey * 11) % 80) * 60 - 1200",
     "terminal": "string(1 + l_suppkey % 5)",
@@ -63,7 +73,10 @@ def _raw_columns(direction: str, origin: str, destination: str) -> dict[str, str
         "flight_leg_identifier__flight_departure_date_utc": (
             "date_trunc('day', timestamp_seconds(scheduled))"
         ),
-        "airline_operator__name": "concat('Airline ', airline)",
+        "airline_operator__name": (
+            "concat('Airline ', airline, CASE WHEN airline = 'W6' AND second_name"
+            " THEN ' Malta' ELSE '' END)"
+        ),
         "airline_operator__iata": "airline",
         "departure_airport_swedish": f"concat('Airport ', {origin})",
         "departure_airport_english": f"concat('Airport ', {origin})",

@@ -5,7 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from flightmarts.functions import date_key
 from flightmarts.plans.flights import FACT_COLUMNS, UNIFIED_COLUMNS
 from flightmarts.plans.marts import ORDER, in_order
 from flightmarts.plans.warehouse import KEYED_FLIGHTS
@@ -23,6 +26,17 @@ _LAYERS = {
 }
 
 _DAY = "flight_date_key"
+# Marts lie in folders by month and day, named by these.
+_MART_PARTITIONS = ["month_key", "day_key"]
+DAILY_MARTS = [name for name, layer in _LAYERS.items() if layer == "marts"]
+
+
+def with_folders(mart: DataFrame) -> DataFrame:
+    """A mart with the month and day its rows lie under."""
+    day = F.col("flight_date")
+    return mart.withColumns(
+        {"month_key": F.date_format(day, "yyyy-MM"), "day_key": date_key(day)}
+    )
 
 
 @dataclass
@@ -50,35 +64,50 @@ class ParquetStore:
 
     def write(self, name: str, model: DataFrame) -> None:
         """Full refresh of one model."""
-        if name == KEYED_FLIGHTS:
-            self._write_days(model, "static")
+        if name == KEYED_FLIGHTS or name in DAILY_MARTS:
+            self._write_days(name, model, "static")
             return
         ordered = in_order(model, name) if name in ORDER else model
         ordered.write.mode("overwrite").parquet(self.path(name))
 
-    def replace_days(self, flights: DataFrame) -> None:
-        """Rewrites the days ``flights`` holds and leaves all others alone."""
-        self._write_days(flights, "dynamic")
+    def replace_days(self, name: str, model: DataFrame) -> None:
+        """Rewrites the days ``model`` holds and leaves all others alone."""
+        self._write_days(name, model, "dynamic")
 
-    def _write_days(self, flights: DataFrame, overwrite: str) -> None:
+    def _write_days(self, name: str, model: DataFrame, overwrite: str) -> None:
         # Rows of a day meet in few files; a day too big for one file is split,
         # small days share a task.
-        days = flights.hint("rebalance", _DAY).sortWithinPartitions(_DAY, "flight_type")
+        if name == KEYED_FLIGHTS:
+            folders, order = [_DAY], [_DAY, "flight_type"]
+        else:
+            folders = _MART_PARTITIONS
+            model = with_folders(model)
+            order = [*folders, *ORDER[name]]
         (
-            days.write.mode("overwrite")
+            model.hint("rebalance", *folders).sortWithinPartitions(*order)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", overwrite)
-            .partitionBy(_DAY)
-            .parquet(self.path(KEYED_FLIGHTS))
+            .partitionBy(*folders)
+            .parquet(self.path(name))
         )
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
         """The stored model, with known columns so that no file is opened to infer them."""
-        stored = self.spark.read.schema(like.schema).parquet(self.path(name))
+        schema = like.schema
+        if name in DAILY_MARTS:
+            schema = T.StructType([*schema.fields]).add("month_key", "string").add("day_key", "integer")
+        stored = self.spark.read.schema(schema).parquet(self.path(name))
         return stored.select(*like.columns)
 
+    def open_mart(self, name: str) -> DataFrame:
+        """A stored mart with its folder columns, which ``serving.pick`` prunes by."""
+        return self.spark.read.parquet(self.path(name)).withColumn(
+            "month_key", F.col("month_key").cast("string")
+        )
+
     def open(self, name: str) -> DataFrame:
         """A stored model by name, in a later session."""
         columns = {"fct_flights": FACT_COLUMNS, "int_flights": UNIFIED_COLUMNS}.get(name)
         if columns is None:
-            return self.spark.read.parquet(self.path(name))
+            return self.spark.read.parquet(self.path(name)).drop(*_MART_PARTITIONS)
         return self.spark.read.parquet(self.path(KEYED_FLIGHTS)).select(*columns)

@@ -6,6 +6,7 @@ read as flight legs and goes straight to its result.
 
 from __future__ import annotations
 
+# Texts, codes, names and labels that results must agree on.
 NULL_TEXT = "_dbt_utils_surrogate_key_null_"
 
 LISTED = "('ARN','BMA','GOT','MMX','LLA','UME','OSD','VBY','RNB','KRN')"
@@ -14,14 +15,22 @@ LEGS = """
 lines AS (
   SELECT *,
     CASE WHEN l_linenumber % 2 = 1 THEN 'arrival' ELSE 'departure' END AS kind,
-    ['SK','DY','FR','LH','AY','KL','BA','W6','FI','EW','D8',NULL][l_orderkey % 12 + 1] AS airline,
-    ['ARN','BMA','GOT','MMX','LLA','UME','OSD','VBY','RNB','KRN']
-      [(l_orderkey // 12) % 10 + 1] AS home,
-    ['ARN','BMA','GOT','MMX','LLA','UME','OSD','VBY','RNB','KRN','CPH','OSL','HEL','LHR']
-      [(l_orderkey // 7 + l_linenumber) % 14 + 1] AS away,
-    TIMESTAMP '2026-01-01' + to_days(CAST(l_orderkey % 60 AS INTEGER))
-      + to_minutes((l_orderkey * 7 + l_linenumber * 131) % 1440) AS sched,
-    CASE WHEN l_partkey % 20 IN (0, 1, 2) THEN 'DEL' WHEN l_partkey % 20 = 3 THEN 'CAN'
+    ['SK','DY','FR','LH','AY','KL','BA','W6','FI','EW','D8',NULL]
+      [(l_orderkey // 60) % 12 + 1] AS airline,
+    CASE WHEN l_partkey % 41 = 0 THEN 'SFT'
+         WHEN l_linenumber = 1 AND l_orderkey % 5 = 0 THEN 'ARN'
+         ELSE ['ARN','BMA','GOT','MMX','LLA','UME','OSD','VBY','RNB','KRN']
+           [(l_orderkey // 720) % 10 + 1] END AS home,
+    CASE WHEN l_partkey % 67 <> 0 THEN
+      ['ARN','BMA','GOT','MMX','LLA','UME','OSD','VBY','RNB','KRN','CPH','OSL','HEL','LHR']
+        [(l_orderkey // 7 + l_linenumber) % 14 + 1] END AS away,
+    CASE WHEN l_partkey % 61 = 0 THEN NULL
+         WHEN l_linenumber = 1 AND l_orderkey % 5 = 0
+           THEN TIMESTAMP '2026-01-21 08:00:00' + to_minutes(l_orderkey % 60)
+         ELSE TIMESTAMP '2026-01-01' + to_days(CAST(l_orderkey % 60 AS INTEGER))
+           + to_minutes((l_orderkey * 7 + l_linenumber * 131) % 1440) END AS sched,
+    CASE WHEN l_partkey % 53 = 0 THEN NULL WHEN l_partkey % 59 = 0 THEN 'ZZZ'
+         WHEN l_partkey % 20 IN (0, 1, 2) THEN 'DEL' WHEN l_partkey % 20 = 3 THEN 'CAN'
          WHEN l_partkey % 20 IN (4, 5, 6) THEN 'SCH' WHEN l_partkey % 20 = 7 THEN 'ACT'
          ELSE 'LAN' END AS status
   FROM lineitem
@@ -37,7 +46,8 @@ bags AS (
   FROM landed
 ),
 legs AS (
-  SELECT kind, home, away, airline, 'Airline ' || airline AS airline_name,
+  SELECT kind, home, away, airline, 'Airline ' || airline ||
+      CASE WHEN airline = 'W6' AND l_partkey % 2 = 0 THEN ' Malta' ELSE '' END AS airline_name,
     coalesce(airline, 'XX') || CAST(100 + l_orderkey % 900 AS VARCHAR) AS fid,
     CASE WHEN kind = 'arrival' THEN away ELSE home END AS orig,
     CASE WHEN kind = 'arrival' THEN home ELSE away END AS dest,
@@ -65,16 +75,17 @@ newest AS (
 ),
 flights AS (
   SELECT * EXCLUDE (version),
-    status = 'DEL' AS deleted, status = 'CAN' AS cancelled, actual IS NOT NULL AS flown,
-    (CASE WHEN kind = 'arrival' THEN orig ELSE dest END) IN {LISTED} AS domestic,
+    coalesce(status = 'DEL', false) AS deleted, coalesce(status = 'CAN', false) AS cancelled,
+    actual IS NOT NULL AS flown,
+    coalesce((CASE WHEN kind = 'arrival' THEN orig ELSE dest END) IN {LISTED}, false) AS domestic,
     (epoch_us(actual) - epoch_us(sched)) / 60000000.0::DOUBLE AS late,
     (epoch_us(bag_last) - epoch_us(bag_one)) / 60000000.0::DOUBLE AS handling,
     coalesce(actual <= sched + INTERVAL 15 MINUTE, false) AS punctual,
     CAST(hour(sched) AS BIGINT) AS hh,
-    CASE WHEN hour(sched) < 6 OR hour(sched) > 21 THEN 'Night/Red-eye (22:00-05:59)'
-         WHEN hour(sched) < 12 THEN 'Morning (06:00-11:59)'
-         WHEN hour(sched) < 17 THEN 'Midday/Afternoon (12:00-16:59)'
-         ELSE 'Evening (17:00-21:59)' END AS day_part,
+    CASE WHEN hour(sched) BETWEEN 6 AND 11 THEN 'Morning (06:00-11:59)'
+         WHEN hour(sched) BETWEEN 12 AND 16 THEN 'Midday/Afternoon (12:00-16:59)'
+         WHEN hour(sched) BETWEEN 17 AND 21 THEN 'Evening (17:00-21:59)'
+         ELSE 'Night/Red-eye (22:00-05:59)' END AS day_part,
     CAST(isodow(sched) AS BIGINT) AS dow, dayname(sched) AS dow_name,
     CAST(CAST(sched AS DATE) AS TIMESTAMP) AS fday
   FROM newest WHERE version = 1
@@ -150,7 +161,7 @@ _STG_ARRIVALS = f"""SELECT {_STG_HEAD}
   'Airport ' || orig AS origin_airport_swedish, 'Airport ' || orig AS origin_airport_english,
   sched AS scheduled_arrival_utc, CAST(NULL AS TIMESTAMP) AS estimated_arrival_utc,
   actual AS actual_arrival_utc, carousel AS baggage_claim_unit,
-  bag_one AS first_bag_utc, bag_last AS last_bag_utc, status = 'LAN' AS is_landed,
+  bag_one AS first_bag_utc, bag_last AS last_bag_utc, coalesce(status = 'LAN', false) AS is_landed,
   hh AS arrival_hour, dow AS arrival_day_of_week, dow_name AS arrival_day_name,
   fday AS arrival_date, day_part AS arrival_time_period, handling AS baggage_handling_minutes
 FROM flights WHERE kind = 'arrival'"""
@@ -159,7 +170,7 @@ _STG_DEPARTURES = f"""SELECT {_STG_HEAD}
   'Airport ' || dest AS destination_airport_swedish,
   'Airport ' || dest AS destination_airport_english,
   sched AS scheduled_departure_utc, CAST(NULL AS TIMESTAMP) AS estimated_departure_utc,
-  actual AS actual_departure_utc, status = 'SCH' AS is_scheduled,
+  actual AS actual_departure_utc, coalesce(status = 'SCH', false) AS is_scheduled,
   hh AS departure_hour, dow AS departure_day_of_week, dow_name AS departure_day_name,
   fday AS departure_date, day_part AS departure_time_period
 FROM flights WHERE kind = 'departure'"""
@@ -172,7 +183,7 @@ _UNIFIED = """
   cancelled AS is_cancelled, domestic AS is_domestic, late AS delay_minutes,
   hh AS flight_hour, dow AS flight_day_of_week, dow_name AS flight_day_name,
   fday AS flight_date, day_part AS flight_time_period, punctual AS is_on_time,
-  CASE WHEN kind = 'arrival' THEN status = 'LAN' END AS is_landed,
+  CASE WHEN kind = 'arrival' THEN coalesce(status = 'LAN', false) END AS is_landed,
   carousel AS baggage_claim_unit, bag_one AS first_bag_utc, bag_last AS last_bag_utc,
   handling AS baggage_handling_minutes, kind AS flight_type"""
 
@@ -187,6 +198,7 @@ FROM flights"""
 _DIM_AIRLINE = f"""SELECT {key('airline')} AS airline_key, airline AS airline_iata, airline_name
 FROM flights WHERE airline IS NOT NULL GROUP BY airline, airline_name"""
 
+# Fixed values.
 _AIRPORT_NAMES = """names(iata, name) AS (VALUES
   ('ARN', 'Stockholm Arlanda Airport'), ('BMA', 'Bromma Stockholm Airport'),
   ('GOT', 'Göteborg Landvetter Airport'), ('MMX', 'Malmö Airport'), ('LLA', 'Luleå Airport'),
@@ -228,7 +240,7 @@ _DELAYS = """
     count(*) FILTER (WHERE NOT domestic AND NOT deleted) AS international_flights"""
 
 AIRLINE_MART = f"""airline_cells AS (
-  SELECT airline AS airline_iata, airline_name, fday, kind AS flight_type,
+  SELECT airline AS airline_iata, fday, kind AS flight_type,
     domestic AS is_domestic,
     count(*) FILTER (WHERE NOT deleted) AS total_flights,
     count(*) FILTER (WHERE flown AND late >= 0 AND late < 15) AS on_time_flights,
@@ -236,8 +248,8 @@ AIRLINE_MART = f"""airline_cells AS (
     count(*) FILTER (WHERE flown AND late < 0) AS early_flights,
     count(*) FILTER (WHERE cancelled) AS cancelled_flights,
     count(*) FILTER (WHERE flown) AS completed_flights, {_DELAYS}
-  FROM flights WHERE airline IS NOT NULL
-  GROUP BY airline, airline_name, fday, kind, domestic
+  FROM flights WHERE airline IS NOT NULL AND fday IS NOT NULL
+  GROUP BY airline, fday, kind, domestic
 ),
 airline_mart AS (
   SELECT {key('airline_iata', 'fday', 'flight_type', 'is_domestic')} AS airline_punctuality_key,
@@ -247,6 +259,7 @@ airline_mart AS (
     {pct('early_flights', 'completed_flights')} AS early_percentage,
     {pct('cancelled_flights', 'total_flights')} AS cancelled_percentage
   FROM airline_cells
+  JOIN (SELECT DISTINCT airline AS airline_iata, airline_name FROM flights) USING (airline_iata)
 )"""
 
 AIRPORT_MART = f"""airport_cells AS (
@@ -257,7 +270,8 @@ AIRPORT_MART = f"""airport_cells AS (
     count(*) FILTER (WHERE flown AND late < 0) AS ahead_of_schedule_flights,
     count(*) FILTER (WHERE flown AND late <= 15) AS on_time_flights,
     count(*) FILTER (WHERE flown AND late > 15) AS delayed_flights, {_DELAYS}
-  FROM flights GROUP BY home, fday, kind, domestic
+  FROM flights WHERE home IN {LISTED} AND fday IS NOT NULL
+  GROUP BY home, fday, kind, domestic
 ),
 airport_mart AS (
   SELECT {key('airport_iata', 'fday', 'flight_type', 'is_domestic')} AS punctuality_key,
@@ -281,7 +295,8 @@ HOURLY_MART = f"""hourly_mart AS (
     round(avg(late) FILTER (WHERE flown), 2) AS avg_delay_minutes,
     count(*) FILTER (WHERE punctual AND flown) AS on_time_flights,
     count(*) FILTER (WHERE flown) AS completed_flights
-  FROM flights GROUP BY home, fday, hh, day_part, kind
+  FROM flights WHERE home IN {LISTED} AND fday IS NOT NULL
+  GROUP BY home, fday, hh, day_part, kind
 )"""
 
 BAGGAGE_MART = f"""baggage_mart AS (
@@ -300,6 +315,7 @@ BAGGAGE_MART = f"""baggage_mart AS (
     round(quantile_cont(late, 0.5) FILTER (WHERE handling IS NOT NULL), 2)
       AS median_flight_delay_minutes
   FROM flights WHERE kind = 'arrival' AND carousel IS NOT NULL
+    AND home IN {LISTED} AND fday IS NOT NULL
   GROUP BY home, carousel, domestic, fday, hh, day_part, dow, dow_name
 )"""
 
@@ -311,7 +327,7 @@ ROUTE_MART = f"""route_mart AS (
     count(*) FILTER (WHERE NOT deleted) AS flight_count,
     count(DISTINCT coalesce(airline, '?')) AS unique_airlines,
     count(*) FILTER (WHERE cancelled) AS cancelled_flights
-  FROM flights WHERE away IN {LISTED}
+  FROM flights WHERE away IN {LISTED} AND home IN {LISTED} AND fday IS NOT NULL
   GROUP BY home, away, orig, dest, kind, domestic, fday
 )"""
 
@@ -332,11 +348,10 @@ ORDER BY flight_id, departure_time__scheduled_utc, _dlt_load_id, _dlt_id LIMIT 5
     "status_distribution": f"SELECT status, count(*) AS count FROM {_ARR} GROUP BY status",
     "flights_per_hour": f"""SELECT time_bucket(INTERVAL 1 HOUR, sched) AS arrival_hour,
   count(*) AS flight_count, status FROM {_ARR_KEPT} GROUP BY 1, 3""",
-    "flights_per_period": f"""SELECT CASE
-    WHEN hour(sched) < 6 OR hour(sched) > 21 THEN 'Night/Red-eye (22:00-05:59)'
-    WHEN hour(sched) < 12 THEN 'Morning (06:00-11:59)'
-    WHEN hour(sched) < 17 THEN 'Midday/Afternoon (12:00-16:59)'
-    ELSE 'Evening (17:00-21:59)' END AS time_period, count(*) AS flight_count
+    "flights_per_period": f"""SELECT CASE WHEN hour(sched) BETWEEN 6 AND 11 THEN 'Morning (06:00-11:59)'
+         WHEN hour(sched) BETWEEN 12 AND 16 THEN 'Midday/Afternoon (12:00-16:59)'
+         WHEN hour(sched) BETWEEN 17 AND 21 THEN 'Evening (17:00-21:59)'
+         ELSE 'Night/Red-eye (22:00-05:59)' END AS time_period, count(*) AS flight_count
 FROM {_ARR_KEPT} GROUP BY 1""",
     "delay_per_flight": f"""SELECT fid AS flight_id, sched AS arrival_time__scheduled_utc,
   actual AS arrival_time__actual_utc,
@@ -464,6 +479,7 @@ _TABLES = {
     "mart_baggage_performance": "SELECT * FROM baggage_mart",
 }
 _STAGED = "flight_id origin_airport_iata destination_airport_iata flight_status route_key"
+# Columns under check, and what they may hold.
 _FILLED = {
     "stg_flights_arrivals": f"{_STAGED} scheduled_arrival_utc",
     "stg_flights_departures": f"{_STAGED} scheduled_departure_utc",

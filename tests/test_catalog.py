@@ -8,10 +8,11 @@ import duckdb
 import pytest
 from conftest import SF_DIR
 
-import __spark_entry__ as entry_points
+from flightmarts import catalog
+from oracle import sql as twins
 
 TABLES = ["lineitem"]
-NAMES = sorted(entry_points.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -37,13 +38,13 @@ def rows(columns, records):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(catalog.queries()) == set(twins.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_its_twin(spark, duck, name):
-    df = entry_points.queries()[name](spark, SF_DIR)
-    sql = entry_points.oracle_sql()[name]
+    df = catalog.queries()[name](spark, SF_DIR)
+    sql = twins.oracle_sql()[name]
     types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {sql}").fetchall()}
     names = {
         "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",

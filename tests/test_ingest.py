@@ -9,7 +9,7 @@ import pytest
 from py4j.protocol import Py4JJavaError
 
 from flightmarts.constants import AIRPORT_CODES, RAW_ARRIVALS, RAW_DEPARTURES
-from flightmarts.plans import pipeline
+from flightmarts.plans import pipeline, serving
 from flightmarts.plans.warehouse import Models
 from flightmarts.sources import bronze, landing
 from flightmarts.sources.tables import ParquetStore
@@ -225,3 +225,117 @@ def test_refresh_redoes_only_the_given_days(spark, landed, tmp_path):
         assert sorted(map(str, refreshed[name].collect())) == sorted(
             map(str, fresh[name].collect())
         ), name
+
+
+def test_replace_touches_only_what_it_selects(spark, landed, tmp_path):
+    land(landed, "2026-01-25", "GOT", "arrivals", [
+        flight("SK5", "ARN", "GOT", "2026-01-25T10:00:00Z", True),
+    ])
+    path = ingest(spark, landed, tmp_path, "1769300000")
+    ingest(spark, landed, tmp_path, "1769300001", airports=["GOT"], replace=True)
+    ingest(spark, landed, tmp_path, "1769300002", dates=["2026-01-24"], replace=True)
+    loads = {
+        r.flight_id: r._dlt_load_id for r in bronze.read_raw(spark, path, RAW_ARRIVALS).collect()
+    }
+    assert loads == {
+        "SK1": "1769300000", "SK2": "1769300000", "SK3": "1769300002", "SK5": "1769300001",
+    }
+
+
+def test_missing_landing_folder_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="landing"):
+        landing.read_landing(spark, str(tmp_path / "landnig"), "arrivals")
+
+
+def test_the_whole_payload_is_kept(spark, landed, tmp_path):
+    raw = bronze.read_raw(spark, ingest(spark, landed, tmp_path), RAW_ARRIVALS)
+    kept = [json.loads(r.payload) for r in raw.collect()]
+    assert all(p["unknownField"] == {"deep": [1, 2]} for p in kept)
+    built = pipeline.build(spark, pipeline.raw_tables(spark, str(tmp_path / "bronze")), str(tmp_path / "w"))
+    assert built["fct_flights"].count() == 4
+
+
+def test_one_document_per_line_through_ingest(spark, tmp_path):
+    folder = tmp_path / "landing" / "date=2026-01-25" / "airport=ARN" / "direction=arrivals"
+    folder.mkdir(parents=True)
+    lines = [
+        json.dumps({"flights": [flight(n, "GOT", "ARN", "2026-01-25T10:00:00Z", True)]})
+        for n in ("A", "B")
+    ]
+    (folder / "many.json").write_text("\n".join(lines))
+    path = ingest(spark, tmp_path / "landing", tmp_path, one_per_line=True)
+    rows = bronze.read_raw(spark, path, RAW_ARRIVALS).collect()
+    assert sorted(r.flight_id for r in rows) == ["A", "B"]
+
+
+@pytest.fixture()
+def eventful(landed):
+    """Flights without a time, off the stored calendar, and late at night."""
+    land(landed, "2026-01-24", "ARN", "arrivals", [
+        flight("A9", "GOT", "ARN", "2026-01-24T10:00:00Z", True, arrivalTime={}),
+        flight("L1", "GOT", "ARN", "2026-01-25T00:30:00Z", True),
+    ], "odd.json")
+    land(landed, "2031-01-05", "ARN", "arrivals", [
+        flight("F1", "GOT", "ARN", "2031-01-05T10:00:00Z", True, "2031-01-05T10:10:00Z"),
+    ])
+    return landed
+
+
+def test_refresh_equals_build(spark, eventful, tmp_path):
+    bronze_path = ingest(spark, eventful, tmp_path)
+    warehouse = str(tmp_path / "warehouse")
+    pipeline.build(spark, pipeline.raw_tables(spark, bronze_path), warehouse, "2026-01-25")
+    land(eventful, "2026-01-24", "ARN", "arrivals", [
+        flight("B9", "GOT", "ARN", "2026-01-24T10:00:00Z", True, arrivalTime={}),
+        flight("L1", "GOT", "ARN", "2026-01-25T00:30:00Z", True, "2026-01-25T00:40:00Z"),
+    ], "later.json")
+    ingest(spark, eventful, tmp_path, "1769300001", dates=["2026-01-24"])
+    raw = pipeline.raw_tables(spark, bronze_path)
+    refreshed = pipeline.refresh(spark, raw, warehouse, "2026-01-25", "2026-01-25", "2026-01-25")
+    fresh = Models(raw, "2026-01-25")
+    assert {"A9", "B9"} <= {r.flight_id for r in fresh["fct_flights"].collect()}
+    for name in fresh:
+        assert sorted(map(str, refreshed[name].collect())) == sorted(
+            map(str, fresh[name].collect())
+        ), name
+
+
+def test_a_day_off_the_calendar_is_in_the_marts(spark, eventful, tmp_path):
+    built = Models(pipeline.raw_tables(spark, ingest(spark, eventful, tmp_path)), "2026-01-25")
+    for name in ("mart_airport_punctuality", "mart_airline_punctuality", "mart_route_popularity"):
+        assert built[name].filter("flight_year = 2031").count() == 1, name
+
+
+def test_refresh_reads_the_folders_of_its_days_only(spark, eventful, tmp_path):
+    raw = pipeline.raw_tables(spark, ingest(spark, eventful, tmp_path))
+    window = bronze.in_days(raw[RAW_ARRIVALS], RAW_ARRIVALS, "2031-01-05", "2031-01-05")
+    files = {r.f for r in window.selectExpr("input_file_name() AS f").distinct().collect()}
+    assert files and all("flight_day=2031-01-05" in f or "timed=false" in f for f in files)
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((" in plan and "flight_day" in plan.split("PartitionFilters")[1]
+
+
+def test_refresh_leaves_other_days_of_marts_alone(spark, eventful, tmp_path):
+    bronze_path = ingest(spark, eventful, tmp_path)
+    raw, warehouse = pipeline.raw_tables(spark, bronze_path), str(tmp_path / "warehouse")
+    pipeline.build(spark, raw, warehouse, "2026-01-25")
+
+    def files(day):
+        marts = tmp_path / "warehouse" / "marts"
+        return sorted(str(p) for p in marts.rglob(f"day_key={day}/*.parquet"))
+
+    before, changed = files("20260124"), files("20260125")
+    pipeline.refresh(spark, raw, warehouse, "2026-01-25", "2026-01-25", "2026-01-25")
+    assert before and files("20260124") == before
+    assert not set(files("20260125")) & set(changed)
+
+
+def test_a_stored_mart_is_read_by_month(spark, eventful, tmp_path):
+    raw, warehouse = pipeline.raw_tables(spark, ingest(spark, eventful, tmp_path)), str(tmp_path / "w")
+    pipeline.build(spark, raw, warehouse, "2026-01-25")
+    mart = ParquetStore(spark, warehouse).open_mart("mart_airport_hourly_traffic")
+    hours = serving.peak_hours(mart, "ARN", "2026-01-01")
+    plan = hours._jdf.queryExecution().executedPlan().toString()
+    assert "month_key" in plan.split("PartitionFilters")[1].split("]")[0]
+    lazy = serving.peak_hours(Models(raw)["mart_airport_hourly_traffic"], "ARN", "2026-01-01")
+    assert sorted(map(str, hours.collect())) == sorted(map(str, lazy.collect()))

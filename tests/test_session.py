@@ -16,15 +16,21 @@ def restored(spark):
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     yield
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
 
 
-def test_shuffles_grow_with_the_files_and_never_shrink(spark, restored):
+def test_shuffles_start_by_what_is_read_within_bounds(spark, restored):
     before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert fit_shuffles(spark, SF_DIR) == before
-    grown = fit_shuffles(spark, SF_DIR, bytes_per_partition=10_000)
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    assert fit_shuffles(spark, lines) == before
+    grown = fit_shuffles(spark, lines, bytes_per_partition=1_000)
     assert grown > before
-    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == grown
-    assert fit_shuffles(spark, SF_DIR) == grown
+    narrow = fit_shuffles(spark, lines.select("l_orderkey"), bytes_per_partition=1_000)
+    assert before <= narrow < grown
+    assert fit_shuffles(spark, lines, bytes_per_partition=1, most=500) == 500
+    # A later, smaller command starts small again, and the session's own number stays.
+    assert fit_shuffles(spark, lines) == before
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == before
 
 
 def session_like(master, settings):
@@ -38,6 +44,8 @@ def test_scratch_is_the_folder_the_cluster_names():
     assert scratch_dir(shared) == "hdfs:///shared"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(session_like("yarn", {}))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session_like("yarn", {"spark.checkpoint.dir": "file:/tmp/x"}))
     local = session_like("local[4]", {})
     assert scratch_dir(local) != scratch_dir(local)
 
