@@ -34,7 +34,11 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
     A group that holds a third of all rows is counted on the map side; giving
     its rows their result is a join that adaptive execution splits.
     """
-    normed = docs.select("doc_id", normalised().alias("norm"))
+    return _grouped(docs.select("doc_id", "text"), [], with_digest)
+
+
+def _grouped(docs: DataFrame, carried: list[str], with_digest: bool = False) -> DataFrame:
+    normed = docs.select("doc_id", normalised().alias("norm"), *carried)
     sized = {
         "length": F.length("norm"),
         "prefix": F.xxhash64(F.substring("norm", 1, PREFIX)),
@@ -54,7 +58,7 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
     if with_digest:
         seen = seen.withColumn("sha", sha)
         sha = F.col("sha")
-    kept_columns = ["sha"] if with_digest else []
+    kept_columns = [*carried, "sha"] if with_digest else carried
     hashed = stored(
         seen.select(
             "doc_id", "length", F.when(F.col("survives"), sha).alias("full"), *kept_columns,
@@ -75,6 +79,7 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
         F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
         (alone | (F.col("row") == F.col("least.row"))).alias("kept"),
     ]
+    result += [F.col(c) for c in carried]
     if with_digest:
         result.append(F.lower(F.hex("sha")).alias("text_sha256"))
     return found.select(result)
@@ -83,13 +88,19 @@ def exact_groups(docs: DataFrame, with_digest: bool = False) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows that share an id are one document: of them, one stays.
+    A row is found again by its id and a hash of its text, so rows without an id,
+    or under the same one, are told apart; of rows that share both, one stays.
     """
-    kept = exact_groups(docs).filter("kept").select(F.col("doc_id").alias("_stays")).distinct()
-    rank = F.row_number().over(Window.partitionBy("_stays").orderBy(F.xxhash64("text")))
+    mark = F.xxhash64(normalised())
+    kept = (
+        _grouped(docs.withColumn("_mark", mark).select("doc_id", "text", "_mark"), ["_mark"])
+        .filter("kept").select(F.col("doc_id").alias("_stays"), F.col("_mark").alias("_as")).distinct()
+    )
+    rank = F.row_number().over(Window.partitionBy("_stays", "_as").orderBy("_as"))
+    own = docs.withColumn("_mark", mark)
     return (
-        docs.join(kept, docs["doc_id"].eqNullSafe(kept["_stays"]))
-        .withColumn("_copy", rank).filter("_copy = 1").select(docs.columns)
+        own.join(kept, own["doc_id"].eqNullSafe(kept["_stays"]) & (own["_mark"] == kept["_as"]))
+        .withColumn("_nth", rank).filter("_nth = 1").select(docs.columns)
     )
 
 

@@ -286,7 +286,8 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 def representatives(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that name their class, with all their columns.
 
-    Rows without an id have no class and all stay.
+    Rows without an id have no class and all stay; rows that share an id stay
+    or go together.
     """
     heads = classes(docs).filter("doc_id = class_id").select(F.col("doc_id").alias("_head")).distinct()
     kept = docs.join(heads, docs["doc_id"] == heads["_head"]).select(docs.columns)

@@ -209,7 +209,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3)) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The mix of whole documents: each row of ``docs`` as often as the mix begins it."""
+    """The mix of whole documents: each row of ``docs`` as often as the mix begins it.
+
+    Rows that share an id, or have none, are taken as often as the one taken most often.
+    """
     often = (
         mix(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("_id"))
         .agg(F.max("copies").alias("_copies"))

@@ -65,12 +65,12 @@ _PRESENT = """
 """
 
 
-def measured(docs: DataFrame) -> DataFrame:
+def measured(docs: DataFrame, *carried: str) -> DataFrame:
     """Counts per row of ``docs``: the five of the rules, classes, common words."""
     common = sorted({w for own in COMMON_WORDS.values() for w in own})
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(WORD))
     return (
-        docs.select("doc_id", "lang", text_or_empty().alias("t"))
+        docs.select("doc_id", "lang", text_or_empty().alias("t"), *carried)
         .withColumns({"w": words(F.col("t")), "lines": lines})
         .withColumns(
             {
@@ -81,7 +81,7 @@ def measured(docs: DataFrame) -> DataFrame:
         .withColumn("grams", F.expr(_GRAMS))
         .withColumn("in_order", F.expr(_WINDOWS_IN_ORDER))
         .select(
-            "doc_id", "lang",
+            "doc_id", "lang", *carried,
             F.size("w").cast("long").alias("n_words"),
             _kept_chars(F.col("t"), SPACES).alias("word_chars"),
             _kept_chars(F.col("t"), r"[^#*$%&|<>]+").alias("n_symbols"),
@@ -170,7 +170,7 @@ def _nearest(shares: str, known: dict[str, dict[str, float]]) -> Column:
     return F.array_min(F.array(*[_distance(F.col(shares), r) for r in known.values()]))
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, *carried: str) -> DataFrame:
     """The counts, ``base_failed``, ``kept`` and the two distances, a row per row of ``docs``.
 
     A text fails the base rules with under 10 words, or with over 20 % of its
@@ -184,11 +184,12 @@ def judged(docs: DataFrame) -> DataFrame:
 
     Null texts are empty and fail; a null or unknown ``lang`` only keeps a row
     out of the references. Repeated rows are judged alike. Reads ``doc_id``,
-    ``text`` and ``lang`` only; an empty table gives an empty result.
+    ``text`` and ``lang`` only, besides columns to be ``carried`` along; an empty
+    table gives an empty result.
 
     One scan with built-in functions; short passes over its counts.
     """
-    counts = stored(measured(docs), "counts").withColumn(
+    counts = stored(measured(docs, *carried), "counts").withColumn(
         "chars", F.greatest(sum((F.col(c) for c in CLASSES), F.lit(0)), F.lit(1))
     )
     total = F.greatest("n_words", F.lit(1))
@@ -210,20 +211,25 @@ def judged(docs: DataFrame) -> DataFrame:
     return by_words.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         _failed_base().alias("base_failed"), (~_failed_base() & ~odd).alias("kept"),
-        "char_distance", "word_distance",
+        "char_distance", "word_distance", *carried,
     )
 
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns.
 
-    Rows that share an id pass if each of them does.
+    A row is found again by its id and a hash of its text, so that rows without
+    an id, or under the same one, are each judged by their own text.
     """
+    mark = F.xxhash64(text_or_empty())
     passed = (
-        judged(docs).groupBy(F.col("doc_id").alias("_passed")).agg(F.min("kept").alias("_kept"))
-        .filter("_kept").drop("_kept")
+        judged(docs.select("doc_id", "text", "lang", mark.alias("_mark")), "_mark").filter("kept")
+        .select(F.col("doc_id").alias("_passed"), F.col("_mark").alias("_as")).distinct()
     )
-    return docs.join(passed, docs["doc_id"].eqNullSafe(passed["_passed"])).select(docs.columns)
+    own = docs.withColumn("_mark", mark)
+    return own.join(
+        passed, own["doc_id"].eqNullSafe(passed["_passed"]) & (own["_mark"] == passed["_as"])
+    ).select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
