@@ -148,6 +148,26 @@ def calendar_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_order(days, "dim_date")
 
 
+def airline_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = models_sharing_flights(spark, sf_dir)
+    return serving.airline_routes(built["fct_flights"], built["dim_airline"], ["SK", "W6"], k=12)
+
+
+def raw_arrivals_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw arrivals appended to a raw table in scratch and read back."""
+    scheduled = F.col(bronze.SCHEDULED[RAW_ARRIVALS])
+    rows = raw_flights(use_utc(spark), sf_dir)[RAW_ARRIVALS].withColumns(
+        {
+            "load_date": F.lit(AS_OF),
+            "flight_day": F.date_format(scheduled, "yyyy-MM-dd"),
+            "timed": scheduled.isNotNull(),
+        }
+    )
+    folder = f"{scratch_dir(spark)}/raw-{uuid.uuid4().hex}"
+    bronze.append_raw(rows, f"{folder}/{RAW_ARRIVALS}")
+    return bronze.read_raw(spark, folder, RAW_ARRIVALS).drop("payload")
+
+
 def _from_payload(direction: str) -> Query:
     """Payload text → parsed → one raw row per flight."""
 
@@ -184,6 +204,7 @@ def queries() -> dict[str, Query]:
         # Raw layer
         "raw_arrivals_from_payload": _from_payload(landing.ARRIVALS),
         "raw_departures_from_payload": _from_payload(landing.DEPARTURES),
+        "raw_arrivals_stored": raw_arrivals_stored,
         "backfill_window": backfill_window,
         "load_summary": _explore(bronze.load_summary, a, d),
         "airports_loaded": _explore(bronze.airports_loaded, a),
@@ -250,6 +271,15 @@ def queries() -> dict[str, Query]:
         "serve_monthly_trend": _serve(
             "mart_airport_punctuality", serving.trend, period="flight_month"
         ),
+        "serve_worst_airports": _serve(
+            "mart_airport_punctuality", serving.worst_delays, by=["airport_iata"], month=MONTH, k=5
+        ),
+        "serve_worst_airlines": _serve(
+            "mart_airline_punctuality", serving.worst_delays,
+            by=["airline_iata", "airline_name"], month=MONTH, k=5,
+        ),
+        "serve_airline_routes": airline_routes,
+        "serve_route_trend": _serve("mart_route_popularity", serving.route_trend, airport="ARN"),
         # Quality checks
         "quality_not_null": _quality("not_null"),
         "quality_unique": _quality("unique"),

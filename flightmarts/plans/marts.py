@@ -118,7 +118,7 @@ def airline_punctuality(fact: DataFrame, dim_airline: DataFrame) -> DataFrame:
     airline dimension comes from the data, so how to join it is left to its size.
     """
     delay = F.col("delay")
-    flown_by = fact.filter(F.col("airline_iata").isNotNull())
+    flown_by = fact.filter(F.col("airline_key") != surrogate_key(F.lit(None)))
     cells = (
         _delay_tally(flown_by, "airline_key", F.col("airline_key"))
         .agg(

@@ -184,3 +184,55 @@ def trend(
         _rate("on_time_flights", "completed_flights", "on_time_percentage"),
         _rate("cancelled_flights", "total_flights", "cancelled_percentage"),
     ).orderBy(period)
+
+
+def worst_delays(
+    punctuality: DataFrame,
+    by: list[str],
+    month: dt.date | str | None = None,
+    k: int = 10,
+) -> DataFrame:
+    """Airports or airlines with the longest mean delay, from either punctuality mart.
+
+    The mart's means carry two digits and are weighted by completed flights.
+    """
+    sums = pick(punctuality, month=month).groupBy(*by).agg(
+        *_sums("completed_flights", "delayed_flights"),
+        mean_of_rounded("avg_delay_minutes", "completed_flights").alias("avg_delay_minutes"),
+    )
+    rated = sums.select("*", _rate("delayed_flights", "completed_flights", "delayed_percentage"))
+    return top(rated.filter(F.col("avg_delay_minutes").isNotNull()), k, "avg_delay_minutes", by)
+
+
+def airline_routes(
+    fact: DataFrame,
+    dim_airline: DataFrame,
+    airlines: list[str] | None = None,
+    k: int = 10,
+) -> DataFrame:
+    """The routes airlines fly most often, without deleted flights.
+
+    Counted by key first; names are looked up for the counts.
+    """
+    flown = fact.filter(~F.col("is_deleted") & F.col("route_key").isNotNull())
+    counts = flown.groupBy("airline_key", "route_key").agg(F.count("*").alias("flight_count"))
+    named = pick(counts.join(dim_airline, "airline_key"), airlines=airlines)
+    chosen = named.select("airline_iata", "airline_name", "route_key", "flight_count")
+    return top(chosen, k, "flight_count", ["airline_iata", "airline_name", "route_key"])
+
+
+def route_trend(
+    route_popularity: DataFrame,
+    period: str = "flight_week",
+    airport: str | None = None,
+) -> DataFrame:
+    """Routes and flights per ``flight_week``, ``flight_month`` or ``flight_date``."""
+    chosen = pick(route_popularity, airports=None if airport is None else [airport])
+    return (
+        chosen.groupBy(period)
+        .agg(
+            F.count_distinct("route_key").alias("routes"),
+            *_sums("flight_count", "cancelled_flights"),
+        )
+        .orderBy(period)
+    )

@@ -417,6 +417,16 @@ FROM (SELECT {period}, {_total('total_flights', 'cancelled_flights', 'completed_
       FROM airport_mart GROUP BY {period})"""
 
 
+def _worst(mart: str, by: str) -> str:
+    return f"""SELECT {by}, completed_flights, delayed_flights, avg_delay_minutes,
+  {pct('delayed_flights', 'completed_flights')} AS delayed_percentage
+FROM (SELECT {by}, {_total('completed_flights', 'delayed_flights')},
+        round(CAST(sum(CAST(round(avg_delay_minutes * 100) AS BIGINT) * completed_flights) AS DOUBLE)
+          / sum(completed_flights)) / 100 AS avg_delay_minutes
+      FROM {mart} WHERE {_JANUARY} GROUP BY {by} HAVING sum(completed_flights) > 0)
+ORDER BY avg_delay_minutes DESC, {by} LIMIT 5"""
+
+
 SERVE = {
     "peak_hours": (HOURLY_MART, f"""SELECT flight_hour, flight_time_period,
   {_total('flight_count', 'domestic_flights', 'international_flights')}
@@ -457,6 +467,17 @@ ORDER BY avg_baggage_handling_minutes DESC, baggage_claim_unit LIMIT 3"""),
     "traffic_share": (HOURLY_MART, f"""SELECT airport_iata, flight_count,
   {share('flight_count')} AS percentage_of_traffic
 FROM (SELECT airport_iata, {_total('flight_count')} FROM hourly_mart GROUP BY airport_iata)"""),
+    "worst_airports": (AIRPORT_MART, _worst("airport_mart", "airport_iata")),
+    "worst_airlines": (AIRLINE_MART, _worst("airline_mart", "airline_iata, airline_name")),
+    "airline_routes": (AIRPORT_MART, """SELECT airline_iata, airline_name, route_key, flight_count
+FROM (SELECT airline AS airline_iata, orig || '-' || dest AS route_key, count(*) AS flight_count
+      FROM flights WHERE NOT deleted AND orig IS NOT NULL AND dest IS NOT NULL GROUP BY 1, 2)
+JOIN (SELECT DISTINCT airline AS airline_iata, airline_name FROM flights) USING (airline_iata)
+WHERE airline_iata IN ('SK', 'W6')
+ORDER BY flight_count DESC, airline_iata, airline_name, route_key LIMIT 12"""),
+    "route_trend": (ROUTE_MART, f"""SELECT flight_week, count(DISTINCT route_key) AS routes,
+  {_total('flight_count', 'cancelled_flights')}
+FROM route_mart WHERE airport_iata = 'ARN' GROUP BY flight_week"""),
     "weekly_trend": (AIRPORT_MART, _trend("flight_week")),
     "monthly_trend": (AIRPORT_MART, _trend("flight_month")),
 }
@@ -560,6 +581,9 @@ def oracle_sql() -> dict[str, str]:
         "raw_departures_from_payload": with_(
             LEGS, f"SELECT * EXCLUDE (_dlt_id) FROM ({_RAW_DEPARTURES})"
         ),
+        "raw_arrivals_stored": with_(LEGS, f"""SELECT *, '2026-01-25' AS load_date,
+  strftime(arrival_time__scheduled_utc, '%Y-%m-%d') AS flight_day,
+  arrival_time__scheduled_utc IS NOT NULL AS timed FROM ({_RAW_ARRIVALS})"""),
         "backfill_window": with_(LEGS, """SELECT strftime(sched, '%Y-%m-%d') AS date,
   home AS airport, kind || 's' AS direction, count(*) AS documents
 FROM legs WHERE home IN ('ARN', 'GOT', 'UME')
