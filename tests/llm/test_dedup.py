@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from odd_documents import nothing, odd, plain  # noqa: F401
 from plain_operators import SPACE, near_classes, repeated
 
 from flightmarts.llm import exact_dedup, jaccard_join, suffix_dedup

@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pytest
+from odd_documents import nothing, odd, plain  # noqa: F401
 from plain_operators import words
 
 from flightmarts.llm import mixing

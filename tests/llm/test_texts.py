@@ -7,6 +7,7 @@ import unicodedata
 from collections import Counter
 
 import pytest
+from odd_documents import nothing, odd, plain  # noqa: F401
 from plain_operators import base_spans, quality_counts, words
 
 from flightmarts.llm import pii, piece_codec, quality_classifier, quality_rules, token_counts
