@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flightmarts.llm.common import stored, table
+from flightmarts.llm.common import bitmap, flagged, stored, table
 from flightmarts.session import scratch_dir
 
 MAGIC = "WARC/1.0\r\n"
@@ -156,14 +156,14 @@ def reachable(candidates: DataFrame, rounds: int = 64) -> DataFrame:
     )
     count = reached.count()
     for _ in range(rounds):
-        landed = reached.join(jumps, ["file", "offset"]).select("file", F.col("after").alias("offset"))
+        landed = reached.join(jumps.hint("merge"), ["file", "offset"]).select("file", F.col("after").alias("offset"))
         reached = stored(reached.union(landed).distinct(), "reached")
         before, count = count, reached.count()
         if count == before:
             return reached
         further = jumps.select("file", F.col("offset").alias("after"), F.col("after").alias("then"))
         jumps = stored(
-            jumps.join(further, ["file", "after"]).select("file", "offset", F.col("then").alias("after")),
+            jumps.hint("merge").join(further, ["file", "after"]).select("file", "offset", F.col("then").alias("after")),
             "jumps",
         )
     raise RuntimeError(f"records not found in {rounds} rounds")
@@ -178,7 +178,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     segments = _segments(spark, path)
     candidates = stored(_with_offsets(stored(_parsed(segments), "segments")), "candidates")
     chain = reachable(candidates)
-    own = candidates.join(chain, ["file", "offset"], "left_semi")
+    own = candidates.join(chain.hint("merge"), ["file", "offset"], "left_semi")
     ends = own.groupBy("file").agg(F.max("after").alias("end"), F.max("file_size").alias("size"))
     if ends.filter("end IS NULL OR end != size").head(1):
         raise ValueError("an archive does not end with a whole record")
@@ -188,13 +188,16 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     starts = chain.withColumn("record", F.col("offset"))
     so_far = Window.partitionBy("file").orderBy("offset")
     pieces = (
-        candidates.select("file", "offset", "at").join(starts, ["file", "offset"], "left")
+        candidates.select("file", "offset", "at").join(starts.hint("merge"), ["file", "offset"], "left")
         .withColumn("record", F.last("record", ignorenulls=True).over(so_far))
         .select("file", F.col("offset").alias("piece"), F.col("record").alias("offset"), "at")
         .join(cut, ["file", "offset"])
     )
+    # Their bytes are the only ones that are shuffled: a bitmap leaves the rest.
+    pieces = stored(pieces, "pieces")
+    needed = flagged(segments.select("value", "at"), bitmap(pieces, "at"), "needed", "at")
     joined = (
-        segments.select("value", "at").join(pieces, "at")
+        needed.filter("needed").drop("needed").join(pieces.hint("merge"), "at")
         .groupBy("file", "offset", "start", "length")
         .agg(F.sort_array(F.collect_list(F.struct("piece", F.col("value").cast("binary").alias("v")))).alias("p"))
         .select(
@@ -211,7 +214,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     )
     digests = whole.unionByName(joined)
     response = F.col("record_type") == "response"
-    found = own.join(digests, ["file", "offset"]).withColumn(
+    found = own.hint("merge").join(digests, ["file", "offset"]).withColumn(
         "right", ~response | (F.col("read") == F.col("digest"))
     )
     sound = F.when(F.col("right"), F.col("digest")).otherwise(
