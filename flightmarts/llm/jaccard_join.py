@@ -156,7 +156,12 @@ def _verify(threshold: float):
     """Links per document of one unit, and a spanning star of each of its components."""
     up, down = Fraction(str(threshold)).as_integer_ratio()
 
-    def run(group: pa.Table) -> pa.Table:
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        left, right = (k.as_py() for k in key[1:])
+        if left != right and len(group.column("block").unique()) < 2:
+            # One block is empty, and pairs within the other belong to its own unit.
+            none = [pa.array([], kind) for kind in (pa.binary(), pa.int64(), pa.binary())]
+            return pa.table(none, ["node", "links", "root"])
         nodes, first = np.unique(
             np.array(group.column("node").to_pylist(), object), return_index=True
         )
@@ -171,7 +176,7 @@ def _verify(threshold: float):
             hit[i] = shared[i].astype(np.int64) * (up + down) >= up * (size[i] + size)
         del shared
         np.fill_diagonal(hit, False)
-        if len(set(block)) > 1:  # pairs within a block belong to another unit
+        if left != right:  # pairs within a block belong to the block's own unit
             hit &= block[:, None] != block
         root = np.full(len(sets), -1)
         for i in range(len(sets)):

@@ -55,6 +55,18 @@ def test_large_components_are_verified_in_blocks(odd, plain, monkeypatch):
     assert counted((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == counted(expected)
 
 
+def test_links_count_once_if_near_copies_share_one_of_two_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_GRAMS", 100)
+    texts = []
+    for pair in range(8):  # 96 n-grams each: two blocks, and half of the pairs leave one empty
+        words = [f"w{pair}x{k}" for k in range(100)]
+        texts += [" ".join(words), " ".join([*words[:-1], "other"])]
+    rows = list(enumerate(texts))
+    found = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert counted((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == counted(near_classes(rows))
+    assert {r["n_links"] for r in found} == {1}
+
+
 def test_banding_reaches_its_recall():
     bands, rows = jaccard_join.banding(0.8)
     assert bands * rows <= jaccard_join.HASHES
