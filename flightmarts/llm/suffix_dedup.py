@@ -20,6 +20,8 @@ LEAD = LENGTH - REACH + 1  # bytes such a suffix shares with any equal string
 STEP = 32  # strings of a suffix that are compared together
 TOKEN = 50  # bytes of a token
 _CHUNK = 4_000_000  # bytes of content sorted at a time
+# Groups of at most so many rows (431 bytes each) meet in a task; strings of larger ones are counted.
+GROUP_ROWS = 1000
 _WORDS = 1 << 16  # of the bitmaps: 512 KB
 _U = np.uint64
 
@@ -102,7 +104,7 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows of the same step, which share the bytes that all strings of the step
     have: their hash is a second token to deal rows out by.
     """
-    names = ["t1", "t2", "lead", "step", "core", "away", "starts", "content"]
+    names = ["t1", "t2", "lead", "step", "core", "away", "start", "many", "content"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
         for t1, t2, text, found in zip(
@@ -112,9 +114,8 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes = Prefixes(np.frombuffer(data, np.uint8))
             t1, t2 = t1.as_py(), t2.as_py()
             for s in found.as_py():
-                starts = s["starts"]
-                at, low = starts[0] + s["left"], starts[0]
-                high = low + s["strings"] - 1
+                low = s["start"]
+                at, high = low + s["left"], low + s["strings"] - 1
                 for step in range((at - high) // STEP, (at - low) // STEP + 1):
                     from_, to = max(low, at - step * STEP - STEP + 1), min(high, at - step * STEP)
                     core = at - step * STEP
@@ -125,17 +126,43 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     out[3].append(step)
                     out[4].append(int(mark.view(np.int64)[0]))
                     out[5].append(at - from_)
-                    out[6].append([x + from_ - low for x in starts])
-                    out[7].append(data[from_ : to + LENGTH])
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.binary()]
+                    out[6].append(from_)
+                    out[7].append(s["many"])
+                    out[8].append(data[from_ : to + LENGTH])
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types, strict=True)], names)
 
 
 _CONTENT = (
-    "t1 long, t2 long, lead long, step int, core long, away int, starts array<int>, content binary"
+    "t1 long, t2 long, lead long, step int, core long, away int, start int, many boolean,"
+    " content binary"
 )
 
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Suffixes with the hashes of all their strings, whole."""
+    names = ["t1", "t2", "lead", "start", "many", "keys"]
+    for batch in batches:
+        out: list[list] = [[] for _ in names]
+        for t1, t2, text, found in zip(
+            *(batch.column(n) for n in ("t1", "t2", "text", "found")), strict=True
+        ):
+            hashes = Prefixes(np.frombuffer(text.as_buffer(), np.uint8))
+            for s in found.as_py():
+                at = s["start"] + np.arange(s["strings"])
+                row = (
+                    t1.as_py(), t2.as_py(), s["lead"], s["start"], s["many"],
+                    hashes.of(at, at + LENGTH).view(np.int64),
+                )
+                for column, value in zip(out, row, strict=True):
+                    column.append(value)
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.int64())]
+        yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types, strict=True)], names)
+
+
+_KEYS = "t1 long, t2 long, lead long, start int, many boolean, keys array<long>"
+
+
 def equal_strings(group: np.ndarray, starts: np.ndarray, hashes: Prefixes, weight: np.ndarray) -> np.ndarray:
     """Whether each string has an equal in its group (or stands for several itself).
 
@@ -172,18 +199,17 @@ def _compared(rows: list[dict]) -> tuple[list, list, list, list]:
     keys: dict[tuple, int] = {}
     group = np.array([keys.setdefault((r["lead"], r["step"], r["core"]), len(keys)) for r in rows])
     away = np.array([r["away"] for r in rows])[row] - offset
-    weight = np.array([len(r["starts"]) for r in rows])[row]
+    weight = np.array([1 + r["many"] for r in rows])[row]
     hit = equal_strings(group[row] * LENGTH + away, at[row] + offset, hashes, weight)
     edge = np.flatnonzero(np.diff(np.r_[0, hit.astype(np.int8), 0]) | np.r_[0, np.diff(row) != 0, 0])
     t1s, t2s, froms, tos = [], [], [], []
     for a, b in zip(edge[:-1], edge[1:], strict=True):
-        if hit[a]:
-            own = rows[row[a]]
-            for start in own["starts"]:
-                t1s.append(own["t1"])
-                t2s.append(own["t2"])
-                froms.append(start + int(offset[a]))
-                tos.append(start + int(offset[b - 1]) + LENGTH)
+        own = rows[row[a]]
+        if hit[a] and not own["many"]:
+            t1s.append(own["t1"])
+            t2s.append(own["t2"])
+            froms.append(own["start"] + int(offset[a]))
+            tos.append(own["start"] + int(offset[b - 1]) + LENGTH)
     return t1s, t2s, froms, tos
 
 
@@ -248,11 +274,17 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
        and go; if all that share a lead stand for the very same bytes, all of
        their strings are repeated, as identical suffixes lie side by side in
        any order. Leads are counted on the map side first.
-    2. For the rest the bytes are fetched, at most 32 strings to a row. Splitters
-       sampled by Spark deal rows out in ranges of lead, step and core; a lead
-       in a third of all texts is cut apart by what follows it, and equal strings
-       have equal keys, so no range border can lie between them.
-    3. Each range sorts its groups by multikey quicksort and compares neighbours.
+    2. Of the rest, suffixes that stand for the very same bytes as others are
+       repeated likewise, and one of them is compared with those of other bytes.
+       What is compared is distinct, so a lead has as many rows as it has kinds.
+    3. For leads of few kinds the bytes are fetched, at most 32 strings to a row,
+       from one copy of each text. Splitters sampled by Spark deal rows out in
+       ranges of lead, step and core; equal strings have equal keys, so no range
+       border can lie between them. Each range sorts its groups by multikey
+       quicksort and compares neighbours.
+    4. Leads of over ``GROUP_ROWS`` kinds would make groups that outgrow a task.
+       Their strings are counted by the hash of all their bytes, on the map side
+       first, and the counts over one joined back; no group is ever held.
     """
     suffixes = texts.mapInArrow(_suffixes, _SUFFIX)
     leads = stored(
@@ -264,28 +296,61 @@ def repeated_runs(texts: DataFrame) -> DataFrame:
         "leads",
     )
     hits = stored(suffixes.join(leads.hint("merge"), "lead"), "suffixes")
-    same = hits.filter("same").select(
+    kinds = stored(
+        hits.filter("NOT same").groupBy("lead", "whole").agg(
+            (F.sum(F.size("starts")) > 1).alias("many"),
+            F.min(F.struct("t1", "t2", F.col("starts")[0].alias("start"), "strings", "left")).alias("own"),
+        ),
+        "kinds",
+    )
+    again = stored(kinds.filter("many").select("lead", "whole"), "again")
+    alike = hits.filter("NOT same").join(again.hint("merge"), ["lead", "whole"])
+    same = hits.filter("same").select("t1", "t2", "starts", "strings").unionByName(
+        alike.select("t1", "t2", "starts", "strings")
+    ).select(
         "t1", "t2",
         F.transform(
             "starts",
             lambda s: F.struct(s.alias("a"), (s + F.col("strings") - 1 + LENGTH).alias("b")),
         ).alias("runs"),
     ).select("t1", "t2", F.inline("runs"))
-    open_ = hits.filter("NOT same").groupBy("t1", "t2").agg(
-        F.collect_set(F.struct("lead", "starts", "strings", "left")).alias("found")
+    wide = stored(
+        kinds.groupBy("lead").agg(F.count("*").alias("n"))
+        .select("lead", (F.col("n") > GROUP_ROWS).alias("wide")).filter("wide"),
+        "wide",
     )
-    open_ = stored(open_, "open")
-    near = flagged(texts, bitmap(open_, "t1", "t2", words=_WORDS), "near", "t1", "t2", words=_WORDS)
-    contents = (
-        near.filter("near").drop("near").join(open_.hint("merge"), ["t1", "t2"])
-        .mapInArrow(_contents, _CONTENT)
+    open_ = stored(
+        kinds.join(wide, "lead", "left")
+        .select("lead", "many", "own.*", F.col("wide").isNotNull().alias("wide"))
+        .groupBy("t1", "t2", "wide")
+        .agg(F.collect_list(F.struct("lead", "start", "strings", "left", "many")).alias("found")),
+        "open",
     )
+
+    def fetched(some: DataFrame) -> DataFrame:
+        """One copy of each text that ``some`` has suffixes of, with these."""
+        near = flagged(texts, bitmap(some, "t1", "t2", words=_WORDS), "near", "t1", "t2", words=_WORDS)
+        once = near.filter("near").groupBy("t1", "t2").agg(F.first("text").alias("text"))
+        return once.join(some.hint("merge"), ["t1", "t2"])
+
     compared = (
-        contents.repartitionByRange("lead", "step", "core")
+        fetched(open_.filter("NOT wide")).mapInArrow(_contents, _CONTENT)
+        .repartitionByRange("lead", "step", "core")
         .sortWithinPartitions("lead", "step", "core")
         .mapInArrow(_bucket, "t1 long, t2 long, a int, b int")
     )
-    runs = same.unionByName(compared).groupBy("t1", "t2")
+    keys = stored(fetched(open_.filter("wide")).mapInArrow(_keys, _KEYS), "keys")
+    strings = keys.select("t1", "t2", "lead", "start", "many", F.posexplode("keys").alias("nth", "key"))
+    more = stored(
+        strings.groupBy("lead", "key").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n"))
+        .filter("n > 1").select("lead", "key"),
+        "more",
+    )
+    a = F.col("start") + F.col("nth")
+    counted = strings.filter("NOT many").join(more.hint("merge"), ["lead", "key"]).select(
+        "t1", "t2", a.alias("a"), (a + LENGTH).alias("b")
+    )
+    runs = same.unionByName(compared).unionByName(counted).groupBy("t1", "t2")
     return stored(runs.agg(F.collect_set(F.struct("a", "b")).alias("runs")), "runs")
 
 

@@ -103,6 +103,35 @@ def test_short_periods_and_overlaps(spark):
         assert (found[i]["n_removed"], found[i]["n_spans"], bytes(found[i]["kept"])) == (n, runs, rest)
 
 
+def test_a_passage_of_many_texts_never_meets_in_one_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "GROUP_ROWS", 8, raising=False)
+    bucket, sizes = suffix_dedup._bucket, str(tmp_path)
+
+    def watched(batches):
+        groups = Counter()
+
+        def seen():
+            for batch in batches:
+                groups.update(zip(*(batch.column(n).to_pylist() for n in ("lead", "step", "core"))))
+                yield batch
+
+        yield from bucket(seen())
+        for n in set(groups.values()):
+            open(f"{sizes}/{n}", "w").close()
+
+    monkeypatch.setattr(suffix_dedup, "_bucket", watched)
+    words = lambda seed, n: " ".join(hashlib.md5(f"{seed} {k}".encode()).hexdigest()[:7] for k in range(n))
+    passage, other = words("p", 70), words("o", 70)
+    texts = [f"{words(i, 20)} {passage} {words(-i - 1, 60)}" for i in range(40)]
+    texts += [texts[0]] * 12 + [texts[1] + " " + words("end", 70)]  # copies, also within another text
+    texts += [f"{other} {words(i, 30)}" for i in range(100, 103)]  # a passage of few texts
+    rows = list(enumerate(texts))
+    found = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: (r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found.collect()}
+    assert got == dict(enumerate(repeated(texts)))
+    assert 0 < max(int(p.name) for p in tmp_path.iterdir()) <= 8
+
+
 @pytest.mark.parametrize(
     "operator", [exact_dedup.exact_groups, jaccard_join.classes, suffix_dedup.without_repeats]
 )
