@@ -1,7 +1,7 @@
 """Star-schema helpers shared by the marts.
 
-The marts aggregate the fact by its keys first and look the dimensions up on
-the aggregated rows: same rows as joining first, but the joins see cells
+The marts aggregate the fact by its keys first and look airlines up on the
+aggregated rows: same rows as joining first, but the joins see cells
 instead of flights.
 """
 
@@ -48,17 +48,6 @@ def with_periods(cells: DataFrame) -> DataFrame:
     )
 
 
-def with_airport(
-    cells: DataFrame, dim_airport: DataFrame, key: str, name: str, how: str = "inner"
-) -> DataFrame:
-    """Adds the airport code for ``key`` as ``name``; can be applied once per role.
-
-    Carries no hint: Spark broadcasts the fixed list by its size, and nothing larger.
-    """
-    role = dim_airport.select(F.col("airport_key").alias(key), F.col("airport_iata").alias(name))
-    return cells.join(role, key, how)
-
-
 def at_listed_airports(df: DataFrame, *columns: str) -> DataFrame:
     """Rows whose airports are all among those covered; the test can reach a scan."""
     for column in columns:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 from conftest import SF_DIR
@@ -127,3 +128,11 @@ def test_scheduled_time_filter_reaches_the_raw_scan(spark, stored, tmp_path):
 def test_top_k_is_not_a_full_sort(spark):
     text = plan(catalog.queries()["explore_top_routes"](spark, SF_DIR))
     assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+
+
+def test_star_functions_that_coverage_names_are_called_by_the_marts():
+    root = Path(__file__).resolve().parent.parent
+    marts = (root / "flightmarts/plans/marts.py").read_text()
+    named = set(re.findall(r"`star\.(\w+)", (root / "docs/COVERAGE.md").read_text()))
+    assert named
+    assert [n for n in sorted(named) if f"{n}(" not in marts] == []
