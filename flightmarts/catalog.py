@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from flightmarts.plans.dimensions import airport_dimension
 from flightmarts.plans.marts import in_order
 from flightmarts.plans.quality import quality_report
 from flightmarts.plans.warehouse import KEYED_FLIGHTS, Models
-from flightmarts.session import scratch_dir, use_utc
+from flightmarts.session import scratch_path, use_utc
 from flightmarts.sources import bronze, landing
 from flightmarts.sources.lineitem_flights import payload_documents, raw_flights
 from flightmarts.sources.tables import ParquetStore
@@ -34,9 +33,10 @@ def models_on_stored_flights(spark: SparkSession, sf_dir: str) -> Models:
     """Models above one stored copy of the deduplicated flights.
 
     For results that read several models, so that flights are deduplicated
-    once and not once per model.
+    once and not once per model. The copy lies in the scratch folder: no
+    executor's memory holds on to it, and no other query reads it.
     """
-    store = ParquetStore(spark, f"{scratch_dir(spark)}/flights-{uuid.uuid4().hex}")
+    store = ParquetStore(spark, scratch_path(spark, "flights"))
     return Models(
         raw_flights(use_utc(spark), sf_dir),
         AS_OF,
@@ -44,19 +44,6 @@ def models_on_stored_flights(spark: SparkSession, sf_dir: str) -> Models:
     )
 
 
-def models_sharing_flights(spark: SparkSession, sf_dir: str) -> Models:
-    """Models whose deduplicated flights are computed once per query and kept by Spark.
-
-    Nothing runs or is written while the query is put together; blocks go to
-    disk where memory is short, and lost ones are computed again.
-    """
-    return Models(
-        raw_flights(use_utc(spark), sf_dir),
-        AS_OF,
-        lambda name, model: model.persist() if name.startswith("stg_") else model,
-    )
-
-
 def _model(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return lazy_models(spark, sf_dir)[name]
@@ -66,7 +53,7 @@ def _model(name: str) -> Query:
 
 def _models_of_mart(name: str) -> Callable[[SparkSession, str], Models]:
     # The airlines' mart reads the flights twice: for its cells and for the names.
-    return models_sharing_flights if name == "mart_airline_punctuality" else lazy_models
+    return models_on_stored_flights if name == "mart_airline_punctuality" else lazy_models
 
 
 def _mart(name: str) -> Query:
@@ -97,7 +84,7 @@ def _explore(question: Callable[..., DataFrame], *inputs: str, **options: object
 
 def _quality(kind: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return quality_report(models_sharing_flights(spark, sf_dir), [kind])
+        return quality_report(models_on_stored_flights(spark, sf_dir), [kind])
 
     return query
 
@@ -149,7 +136,7 @@ def calendar_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airline_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = models_sharing_flights(spark, sf_dir)
+    built = models_on_stored_flights(spark, sf_dir)
     return serving.airline_routes(built["fct_flights"], built["dim_airline"], ["SK", "W6"], k=12)
 
 
@@ -163,7 +150,7 @@ def raw_arrivals_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
             "timed": scheduled.isNotNull(),
         }
     )
-    folder = f"{scratch_dir(spark)}/raw-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "raw")
     bronze.append_raw(rows, f"{folder}/{RAW_ARRIVALS}")
     return bronze.read_raw(spark, folder, RAW_ARRIVALS).drop("payload")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,3 +86,16 @@ def scratch_dir(spark: SparkSession) -> str:
     if not local:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix="flightmarts-")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the scratch folder, removed when the driver ends.
+
+    Results are read lazily, so what they rest on must outlive the call that
+    wrote it; the file system removes it as the application goes.
+    """
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.deleteOnExit(folder)
+    return path

@@ -91,11 +91,15 @@ def test_routes_are_filtered_before_they_are_grouped(stored):
 
 
 def test_the_airline_mart_deduplicates_once(spark):
+    """Both reads are of one stored copy, and nothing stays cached."""
+    cached = lambda: spark._jsc.sc().getPersistentRDDs().size()
+    before = cached()
     mart = catalog.queries()["mart_airline_punctuality"](spark, SF_DIR)
-    text = mart._jdf.queryExecution().executedPlan().toString()
-    # Both reads are of the same two kept tables.
-    assert text.count("InMemoryTableScan") == 4
-    spark.catalog.clearCache()
+    text = plan(mart)
+    assert text.count("FileScan") == 2 and "lineitem" not in text
+    assert mart.count()
+    assert "InMemoryTableScan" not in text and cached() == before
+    assert "InMemoryTableScan" not in plan(catalog.queries()["fct_flights"](spark, SF_DIR))
 
 
 def test_mart_reads_only_its_columns_and_pushes_its_filter(stored):
