@@ -11,6 +11,7 @@ CLASHING = [
     "row", "size", "n", "first", "word", "_word", "_bit", "norm", "length", "prefix", "kept",
     "t", "t1", "t2", "near", "node", "component", "score", "label", "ids", "base", "email",
     "start", "end", "source_no", "target", "copies", "_copy", "payload", "digest", "value",
+    "w1", "phrase", "rank", "tie", "_tie", "weight", "bucket", "buckets", "counts", "_text", "added", "kind",
 ]
 
 TEXTS = [
