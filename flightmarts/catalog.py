@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightmarts.constants import RAW_ARRIVALS, RAW_DEPARTURES
-from flightmarts.plans import explore, serving
-from flightmarts.plans.dimensions import airport_dimension
+from flightmarts.plans import explore, history, periods, serving, star_joins
+from flightmarts.plans.dimensions import airport_dimension, holiday_dimension
 from flightmarts.plans.marts import in_order
 from flightmarts.plans.quality import quality_report
 from flightmarts.plans.warehouse import KEYED_FLIGHTS, Models
 from flightmarts.session import scratch_path, use_utc
-from flightmarts.sources import bronze, landing
+from flightmarts.sources import bronze, drift, landing
 from flightmarts.sources.lineitem_flights import payload_documents, raw_flights
-from flightmarts.sources.tables import ParquetStore
+from flightmarts.sources.tables import DAILY_STATES, ParquetStore
+from flightmarts.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,42 @@ def models_on_stored_flights(spark: SparkSession, sf_dir: str) -> Models:
     )
 
 
+def models_on_stored_states(spark: SparkSession, sf_dir: str, *names: str) -> Models:
+    """Models of which some daily states are stored, as ``build`` leaves them."""
+    store = ParquetStore(spark, scratch_path(spark, "states"))
+    kept = {*names, "airline_numbers"}
+    if not kept <= {*DAILY_STATES, "airline_numbers"}:
+        raise ValueError(f"no daily states: {kept}")
+    return Models(
+        raw_flights(use_utc(spark), sf_dir),
+        AS_OF,
+        lambda name, model: store.keep(name, model) if name in kept else model,
+    )
+
+
+def _period(state: str, mart: Callable[..., DataFrame], *more: object, **options: object) -> Query:
+    """A mart of longer periods over one stored state; ``more`` may name models."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models = models_on_stored_states(spark, sf_dir, state)
+        inputs = [models[m] if isinstance(m, str) and m in models else m for m in more]
+        return mart(models[state], *inputs, **options)
+
+    return query
+
+
+def _star(question: Callable[..., DataFrame], *dimensions: str, **options: object) -> Query:
+    """A question on the stored fact and joined dimensions."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        models = models_on_stored_flights(spark, sf_dir)
+        tables = {"dim_holiday": holiday_dimension(spark)}
+        inputs = [tables[d] if d in tables else models[d] for d in dimensions]
+        return question(models["fct_flights"], *inputs, **options)
+
+    return query
+
+
 def _model(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return lazy_models(spark, sf_dir)[name]
@@ -155,6 +192,53 @@ def raw_arrivals_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.read_raw(spark, folder, RAW_ARRIVALS).drop("payload")
 
 
+def raw_arrivals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw arrivals, landed as files in two goes and loaded by two runs of the stream."""
+    docs = payload_documents(use_utc(spark), sf_dir, landing.ARRIVALS)
+    docs = docs.select("document", "date", "airport", F.lit(landing.ARRIVALS).alias("direction"))
+    root = scratch_path(spark, "stream")
+    first = F.col("airport").isin("ARN", "GOT", "SFT")
+    for some in (first, ~first):
+        # Documents of an airport and day meet in one file, one per line.
+        docs.filter(some).repartition("date", "airport").write.mode("append").partitionBy(
+            "date", "airport", "direction"
+        ).text(f"{root}/landing")
+        ingest.load_new(
+            spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", one_per_line=True
+        )
+    rows = bronze.read_raw(spark, f"{root}/bronze", RAW_ARRIVALS)
+    # Load ids are the times of the files, row ids follow from them.
+    return rows.drop("payload", "load_date", "_dlt_load_id", "_dlt_id")
+
+
+def drifting_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals as JSON text whose shape changes from load to load, by rule."""
+    docs = payload_documents(use_utc(spark), sf_dir, landing.ARRIVALS)
+    flight, load = F.get_json_object("document", "$.flights[0]"), F.col("load_id")
+    as_number = F.regexp_replace(flight, '"terminal":"([0-9]+)"', '"terminal":$1')
+    as_text = F.regexp_replace(flight, '"arrivalTime":\\{[^}]*\\}', '"arrivalTime":"late"')
+    more = F.concat(F.lit('{"aircraft":{"type":"A320"},'), F.substring(flight, 2, 1 << 30))
+    drifted = (
+        F.when(load.endswith("1"), as_number)
+        .when(load.endswith("2"), more)
+        .when(F.get_json_object(flight, "$.flightId").endswith("7"), as_text)
+        .otherwise(flight)
+    )
+    return docs.select(drifted.alias("flight"), "load_id", "airport")
+
+
+def _drift(question: Callable[[DataFrame], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return question(drifting_flights(spark, sf_dir))
+
+    return query
+
+
+def airline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_flights(use_utc(spark), sf_dir)
+    return history.punctuality_by_period(raw, history.name_periods(history.names_per_load(raw)))
+
+
 def _from_payload(direction: str) -> Query:
     """Payload text → parsed → one raw row per flight."""
 
@@ -267,6 +351,49 @@ def queries() -> dict[str, Query]:
         ),
         "serve_airline_routes": airline_routes,
         "serve_route_trend": _serve("mart_route_popularity", serving.route_trend, airport="ARN"),
+        # Longer periods, from stored daily states
+        "period_airport_punctuality_quarter": _period(
+            "tally_airport_delays", periods.airport_punctuality, period="quarter"
+        ),
+        "period_airport_punctuality_year": _period(
+            "tally_airport_delays", periods.airport_punctuality, period="year"
+        ),
+        "period_airline_punctuality_year": _period(
+            "tally_airline_delays", periods.airline_punctuality, "dim_airline", period="year"
+        ),
+        "period_baggage_month": _period("tally_baggage", periods.baggage_performance, period="month"),
+        "period_hourly_airlines_month": _period(
+            "state_hourly_airlines", periods.distinct_airlines,
+            ["airport_iata", "flight_hour", "flight_type"], period="month",
+        ),
+        "period_airport_airlines_year": _period(
+            "state_hourly_airlines", periods.distinct_airlines, ["airport_iata"], period="year"
+        ),
+        "period_route_airlines_year": _period(
+            "state_route_airlines", periods.distinct_airlines,
+            ["route_key", "flight_type"], period="year",
+        ),
+        # Star joins on the stored fact
+        "star_week_punctuality": _star(
+            star_joins.week_punctuality, "dim_date", "dim_airport", year=2026, week=4
+        ),
+        "star_weekend_baggage": _star(
+            star_joins.weekend_baggage, "dim_date", "dim_airport", year=2026, month=2
+        ),
+        "star_holiday_traffic": _star(
+            star_joins.holiday_traffic, "dim_holiday", "dim_date", "dim_airport", year=2026
+        ),
+        "star_named_routes": _star(
+            star_joins.named_routes, "dim_date", "dim_airport", year=2026, quarter=1
+        ),
+        # Loading as a stream, and payloads that change
+        "raw_arrivals_streamed": raw_arrivals_streamed,
+        "drift_report_arrivals": _drift(lambda f: drift.drift_report(f, landing.ARRIVALS)),
+        "drift_versions_arrivals": _drift(lambda f: drift.schema_versions(f).drop("fields")),
+        "drift_typed_arrivals": _drift(
+            lambda f: drift.typed_flights(f, landing.ARRIVALS).drop("payload", "_dlt_id")
+        ),
+        "airline_history": airline_history,
         # Quality checks
         "quality_not_null": _quality("not_null"),
         "quality_unique": _quality("unique"),

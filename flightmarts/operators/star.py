@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightmarts.constants import AIRPORT_CODES, ARRIVAL, DEPARTURE
+from flightmarts.constants import (
+    AIRPORT_CODES,
+    ARRIVAL,
+    CALENDAR_FIRST_DAY,
+    CALENDAR_LAST_DAY,
+    DEPARTURE,
+)
 
 PERIOD_COLUMNS = [
     "flight_date", "flight_week", "flight_month", "flight_year", "week_number", "month_number",
@@ -29,14 +35,16 @@ def other_airport(at_destination: str, at_origin: str) -> Column:
 
 
 def with_periods(cells: DataFrame) -> DataFrame:
-    """Adds day, week, month and year; cells without a day drop out.
+    """Adds day, week, month and year; cells without a day on the calendar drop out.
 
-    All of them follow from the day, so they are computed and not looked up: a
-    day off the stored calendar loses no flights.
+    All of them follow from the day, so they are computed and not looked up; the
+    calendar's first and last day are those of ``dim_date``. A comparison of the
+    date key can reach the scan and prune its folders.
     """
     key, day = F.col("flight_date_key"), F.col("flight_date")
     date = F.make_date(F.floor(key / 10000).cast("int"), F.floor(key / 100).cast("int") % 100, key % 100)
-    dated = cells.filter(key.isNotNull()).withColumn("flight_date", date.cast("timestamp"))
+    first, last = (int(d.replace("-", "")) for d in (CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY))
+    dated = cells.filter(key.between(first, last)).withColumn("flight_date", date.cast("timestamp"))
     return dated.withColumns(
         {
             "flight_week": F.date_trunc("week", day),

@@ -76,3 +76,53 @@ def date_dimension(
         on.between(F.trunc(today, "month"), today).alias("is_current_month"),
         on.between(F.trunc(today, "year"), today).alias("is_current_year"),
     )
+
+
+# Holidays on a fixed day (month, day), and counted from Easter Sunday.
+_FIXED_HOLIDAYS = {
+    "New Year's Day": (1, 1), "Epiphany": (1, 6), "May Day": (5, 1), "National Day": (6, 6),
+    "Christmas Day": (12, 25), "Second Day of Christmas": (12, 26),
+}
+_FROM_EASTER = {
+    "Good Friday": -2, "Easter Sunday": 0, "Easter Monday": 1, "Ascension Day": 39, "Whit Sunday": 49,
+}
+# The Saturday from a day (month, day) on.
+_SATURDAYS = {"Midsummer Day": (6, 20), "All Saints' Day": (10, 31)}
+
+
+def easter_sunday(year: Column) -> Column:
+    """Easter of the Gregorian calendar, from the year's golden number and century."""
+    def over(x: Column, n: int) -> Column:
+        return F.floor(x / n).cast("int")
+
+    golden, century, rest = year % 19, over(year, 100), year % 100
+    moon = century - over(century, 4) - over(century - over(century + 8, 25) + 1, 3)
+    epact = (19 * golden + moon + 15) % 30
+    weekday = (32 + 2 * (century % 4) + 2 * over(rest, 4) - epact - rest % 4) % 7
+    days = epact + weekday - 7 * over(golden + 11 * epact + 22 * weekday, 451) + 114
+    return F.make_date(year, over(days, 31), days % 31 + 1)
+
+
+def holiday_dimension(
+    spark: SparkSession, first_day: str = CALENDAR_FIRST_DAY, last_day: str = CALENDAR_LAST_DAY
+) -> DataFrame:
+    """``date_key, holiday_name`` of the public holidays in the calendar's years, one row per day.
+
+    Where two fall on one day, the name that comes first in the alphabet stays.
+    """
+    year = F.col("year")
+    years = spark.range(int(first_day[:4]), int(last_day[:4]) + 1, 1, 1).select(
+        F.col("id").cast("int").alias("year")
+    )
+
+    def on(month: int, day: int) -> Column:
+        return F.make_date(year, F.lit(month), F.lit(day))
+
+    dates = {name: on(*day) for name, day in _FIXED_HOLIDAYS.items()}
+    dates |= {name: F.date_add(easter_sunday(year), n) for name, n in _FROM_EASTER.items()}
+    # The Saturday on or after a day is the one after the day before.
+    dates |= {name: F.next_day(F.date_sub(on(*day), 1), "Sat") for name, day in _SATURDAYS.items()}
+    rows = F.array(
+        *[F.struct(date_key(d.cast("timestamp")).alias("date_key"), F.lit(n).alias("name")) for n, d in dates.items()]
+    )
+    return years.select(F.inline(rows)).groupBy("date_key").agg(F.min("name").alias("holiday_name"))

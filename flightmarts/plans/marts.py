@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from flightmarts.constants import ARRIVAL, ON_TIME_MINUTES
+from flightmarts.constants import ON_TIME_MINUTES
 from flightmarts.functions import (
     day_name,
     iso_weekday,
@@ -31,6 +31,8 @@ from flightmarts.operators.star import (
     with_periods,
 )
 from flightmarts.operators.stats import ranked_percentile, tally_mean_minutes, with_ranks
+from flightmarts.plans import tallies
+from flightmarts.plans.tallies import flown_delay, is_active, is_flown
 
 # Column → descending?
 ORDER: dict[str, dict[str, bool]] = {
@@ -56,19 +58,6 @@ def in_order(df: DataFrame, model: str) -> DataFrame:
     return df.orderBy(*[F.desc(c) if descending else F.asc(c) for c, descending in order.items()])
 
 
-def _is_flown() -> Column:
-    return F.col("actual_time_utc").isNotNull()
-
-
-def _is_active() -> Column:
-    return ~F.col("is_deleted")
-
-
-def _flown_delay() -> Column:
-    """Delay of flights with an actual time, else NULL."""
-    return F.when(_is_flown(), F.col("delay_minutes"))
-
-
 def _sum(name: str) -> Column:
     return F.sum(name).alias(name)
 
@@ -87,18 +76,9 @@ def _split_by_domestic(total: str) -> dict[str, Column]:
     }
 
 
-def _delay_tally(fact: DataFrame, key: str, at: Column) -> GroupedData:
-    """Flights counted per cell *and delay*, ready to be put together per cell.
-
-    A cell is ``at`` (named ``key``), day, direction and domestic.
-    """
+def _delay_cells(tally: DataFrame, key: str) -> GroupedData:
+    """A tally of delays with its ranks, ready to be put together per cell."""
     cell = [key, "flight_date_key", "flight_type", "is_domestic"]
-    tally = fact.groupBy(at.alias(key), *cell[1:], _flown_delay().alias("delay")).agg(
-        F.count_if(_is_active()).alias("total_flights"),
-        F.count_if("is_cancelled").alias("cancelled_flights"),
-        F.count_if(_is_flown()).alias("completed_flights"),
-        F.count_if(F.col("is_on_time") & _is_flown()).alias("within_limit_flights"),
-    )
     return with_ranks(tally, cell, "delay", "completed_flights").groupBy(*cell)
 
 
@@ -118,9 +98,8 @@ def airline_punctuality(fact: DataFrame, dim_airline: DataFrame) -> DataFrame:
     airline dimension comes from the data, so how to join it is left to its size.
     """
     delay = F.col("delay")
-    flown_by = fact.filter(F.col("airline_key") != surrogate_key(F.lit(None)))
     cells = (
-        _delay_tally(flown_by, "airline_key", F.col("airline_key"))
+        _delay_cells(tallies.airline_delays(fact), "airline_key")
         .agg(
             _sum("total_flights"),
             _sum_where(
@@ -160,7 +139,7 @@ def airport_punctuality(fact: DataFrame) -> DataFrame:
     """
     delay = F.col("delay")
     cells = (
-        _delay_tally(at_own_airport(fact), "airport_iata", F.col("airport_iata"))
+        _delay_cells(tallies.airport_delays(fact), "airport_iata")
         .agg(
             _sum("total_flights"),
             _sum("cancelled_flights"),
@@ -201,13 +180,13 @@ def airport_hourly_traffic(fact: DataFrame) -> DataFrame:
     cells = at_own_airport(fact).groupBy(
         "airport_iata", "flight_date_key", "flight_hour", "flight_type"
     ).agg(
-        F.count_if(_is_active()).alias("flight_count"),
-        F.count_if(domestic & _is_active()).alias("domestic_flights"),
-        F.count_if(~domestic & _is_active()).alias("international_flights"),
+        F.count_if(is_active()).alias("flight_count"),
+        F.count_if(domestic & is_active()).alias("domestic_flights"),
+        F.count_if(~domestic & is_active()).alias("international_flights"),
         F.count_distinct("airline_key").alias("unique_airlines"),
-        round2(F.avg(_flown_delay())).alias("avg_delay_minutes"),
-        F.count_if(F.col("is_on_time") & _is_flown()).alias("on_time_flights"),
-        F.count_if(_is_flown()).alias("completed_flights"),
+        round2(F.avg(flown_delay())).alias("avg_delay_minutes"),
+        F.count_if(F.col("is_on_time") & is_flown()).alias("on_time_flights"),
+        F.count_if(is_flown()).alias("completed_flights"),
     )
     return with_periods(cells).select(
         surrogate_key("airport_iata", "flight_date", "flight_hour", "flight_type").alias(
@@ -222,25 +201,8 @@ def airport_hourly_traffic(fact: DataFrame) -> DataFrame:
 
 def baggage_performance(fact: DataFrame) -> DataFrame:
     """Airport, carousel, day, hour, domestic; arrivals with a known carousel."""
-    cell = [
-        "airport_iata", "baggage_claim_unit", "is_domestic", "flight_date_key", "flight_hour",
-    ]
-    minutes = F.col("baggage_handling_minutes")
-    tally = (
-        at_listed_airports(
-            fact.filter(
-                (F.col("flight_type") == ARRIVAL) & F.col("baggage_claim_unit").isNotNull()
-            ),
-            "destination_airport_iata",
-        )
-        .withColumnRenamed("destination_airport_iata", "airport_iata")
-        .groupBy(
-            *cell,
-            minutes.alias("handling"),
-            F.when(minutes.isNotNull(), F.col("delay_minutes")).alias("delay"),
-        )
-        .agg(F.count("*").alias("flights"))
-    )
+    cell = tallies.BAGGAGE_CELL
+    tally = tallies.baggage(fact)
     tally = with_ranks(tally, cell, "handling", "flights")
     tally = with_ranks(tally, cell, "delay", "flights")
     cells = tally.groupBy(*cell).agg(
@@ -285,7 +247,7 @@ def route_popularity(fact: DataFrame) -> DataFrame:
     cells = at_listed_airports(fact, origin, destination).groupBy(
         origin, destination, "route_key", "flight_type", "is_domestic", "flight_date_key",
     ).agg(
-        F.count_if(_is_active()).alias("flight_count"),
+        F.count_if(is_active()).alias("flight_count"),
         F.count_distinct("airline_key").alias("unique_airlines"),
         F.count_if("is_cancelled").alias("cancelled_flights"),
     )

@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightmarts.constants import RAW_ARRIVALS, RAW_DEPARTURES
+from flightmarts.plans import tallies
 from flightmarts.plans.dimensions import airline_dimension
 from flightmarts.plans.quality import quality_report
 from flightmarts.plans.warehouse import KEYED_FLIGHTS, Models
 from flightmarts.session import use_utc
 from flightmarts.sources import bronze as raw_layer
-from flightmarts.sources.tables import DAILY_MARTS, ParquetStore
+from flightmarts.sources.tables import DAILY_MARTS, DAILY_STATES, ParquetStore
 
 def load(
     spark: SparkSession,
@@ -76,6 +77,7 @@ def refresh(
 
     A mart's rows belong to a day too. Only the airlines' mart also depends on
     all names of an airline, so it is rebuilt whole when those have changed.
+    The daily states of longer periods are replaced day by day too.
     """
     use_utc(spark)
     window = {table: raw_layer.in_days(rows, table, since, until) for table, rows in raw.items()}
@@ -88,12 +90,16 @@ def refresh(
     changed = known.exceptAll(airlines).union(airlines.exceptAll(known)).head(1)
     first, last = (int(str(day).replace("-", "")) for day in (since, until))
     some = flights.filter(F.col("flight_date_key").between(first, last))
-    partial = Models(raw, as_of, lambda name, model: some if name == KEYED_FLIGHTS else model)
+    # Airlines keep their numbers, which states of all days share; new ones get the next.
+    known = store.read("airline_numbers", Models(raw)["airline_numbers"])
+    store.append("airline_numbers", tallies.new_airlines(some, known))
+    redone = {KEYED_FLIGHTS: some, "airline_numbers": store.read("airline_numbers", known)}
+    partial = Models(raw, as_of, lambda name, model: redone.get(name, model))
 
     def keep(name: str, model: DataFrame) -> DataFrame:
-        if name == KEYED_FLIGHTS:
+        if name in redone:
             return store.read(name, model)
-        if name in DAILY_MARTS and not (name == "mart_airline_punctuality" and changed):
+        if name in DAILY_STATES or name in DAILY_MARTS and not (name == "mart_airline_punctuality" and changed):
             store.replace_days(name, partial[name])
             model = store.read(name, model)
             model.createOrReplaceTempView(name)
@@ -107,7 +113,7 @@ def _stored(store: ParquetStore, staged: Models, name: str) -> DataFrame:
     if name.startswith("stg_"):
         return staged[name]
     # A mart without rows has no files to tell its columns.
-    return store.read(name, staged[name]) if name in DAILY_MARTS else store.open(name)
+    return store.read(name, staged[name]) if name in DAILY_MARTS or name in DAILY_STATES else store.open(name)
 
 
 def check(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame
 
 from flightmarts.constants import RAW_ARRIVALS, RAW_DEPARTURES
-from flightmarts.plans import marts
+from flightmarts.plans import marts, tallies
 from flightmarts.plans.dimensions import airline_dimension, airport_dimension, date_dimension
 from flightmarts.plans.flights import UNIFIED_COLUMNS, fact, unify, with_keys
 from flightmarts.plans.staging import stage_arrivals, stage_departures
@@ -53,6 +53,16 @@ class Models(Mapping[str, DataFrame]):
             "mart_airport_punctuality": lambda: marts.airport_punctuality(self["fct_flights"]),
             "mart_baggage_performance": lambda: marts.baggage_performance(self["fct_flights"]),
             "mart_route_popularity": lambda: marts.route_popularity(self["fct_flights"]),
+            "airline_numbers": lambda: tallies.new_airlines(self["fct_flights"]),
+            "tally_airport_delays": lambda: tallies.airport_delays(self["fct_flights"]),
+            "tally_airline_delays": lambda: tallies.airline_delays(self["fct_flights"]),
+            "tally_baggage": lambda: tallies.baggage(self["fct_flights"]),
+            "state_hourly_airlines": lambda: tallies.hourly_airlines(
+                self["fct_flights"], self["airline_numbers"]
+            ),
+            "state_route_airlines": lambda: tallies.route_airlines(
+                self["fct_flights"], self["airline_numbers"]
+            ),
         }
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -23,12 +23,20 @@ _LAYERS = {
     "mart_airport_punctuality": "marts",
     "mart_baggage_performance": "marts",
     "mart_route_popularity": "marts",
+    "airline_numbers": "dimensions",
+    "tally_airport_delays": "states",
+    "tally_airline_delays": "states",
+    "tally_baggage": "states",
+    "state_hourly_airlines": "states",
+    "state_route_airlines": "states",
 }
 
 _DAY = "flight_date_key"
 # Marts lie in folders by month and day, named by these.
 _MART_PARTITIONS = ["month_key", "day_key"]
 DAILY_MARTS = [name for name, layer in _LAYERS.items() if layer == "marts"]
+# States lie in a folder per day, as the flights do.
+DAILY_STATES = [name for name, layer in _LAYERS.items() if layer == "states"]
 
 
 def with_folders(mart: DataFrame) -> DataFrame:
@@ -64,7 +72,7 @@ class ParquetStore:
 
     def write(self, name: str, model: DataFrame) -> None:
         """Full refresh of one model."""
-        if name == KEYED_FLIGHTS or name in DAILY_MARTS:
+        if name == KEYED_FLIGHTS or name in DAILY_MARTS or name in DAILY_STATES:
             self._write_days(name, model, "static")
             return
         ordered = in_order(model, name) if name in ORDER else model
@@ -79,6 +87,10 @@ class ParquetStore:
         # small days share a task.
         if name == KEYED_FLIGHTS:
             folders, order = [_DAY], [_DAY, "flight_type"]
+        elif name in DAILY_STATES:
+            # What belongs to no day is in no period.
+            folders, order = [_DAY], [_DAY, *model.columns[:1]]
+            model = model.filter(F.col(_DAY).isNotNull())
         else:
             folders = _MART_PARTITIONS
             model = with_folders(model)
@@ -91,6 +103,10 @@ class ParquetStore:
             .parquet(self.path(name))
         )
 
+    def append(self, name: str, rows: DataFrame) -> None:
+        """Adds rows to a model that is kept whole and only ever grows."""
+        rows.write.mode("append").parquet(self.path(name))
+
     def read(self, name: str, like: DataFrame) -> DataFrame:
         """The stored model, with known columns so that no file is opened to infer them."""
         schema = like.schema

@@ -572,6 +572,216 @@ def _quality_queries() -> dict[str, str]:
     }
 
 
+# ---------------------------------------------------------------- longer periods
+
+_LATE_STATS = """
+    round(avg(late) FILTER (WHERE flown), 2) AS avg_delay_minutes,
+    round(min(late) FILTER (WHERE flown), 2) AS min_delay_minutes,
+    round(max(late) FILTER (WHERE flown), 2) AS max_delay_minutes,
+    round(quantile_cont(late, 0.5) FILTER (WHERE flown), 2) AS median_delay_minutes,
+    round(quantile_cont(late, 0.9) FILTER (WHERE flown), 2) AS p90_delay_minutes"""
+
+
+def _since(period: str) -> str:
+    return f"CAST(date_trunc('{period}', fday) AS TIMESTAMP) AS period_start"
+
+
+def _airport_period(period: str) -> str:
+    return f"""SELECT *,
+  {pct('on_time_flights', 'completed_flights')} AS on_time_percentage,
+  {pct('cancelled_flights', 'total_flights')} AS cancelled_percentage,
+  {pct('completed_flights', 'total_flights')} AS completion_rate
+FROM (SELECT home AS airport_iata, {_since(period)}, kind AS flight_type, domestic AS is_domestic,
+    count(*) FILTER (WHERE NOT deleted) AS total_flights,
+    count(*) FILTER (WHERE cancelled) AS cancelled_flights,
+    count(*) FILTER (WHERE flown) AS completed_flights,
+    count(*) FILTER (WHERE flown AND late < 0) AS ahead_of_schedule_flights,
+    count(*) FILTER (WHERE flown AND late <= 15) AS on_time_flights,
+    count(*) FILTER (WHERE flown AND late > 15) AS delayed_flights, {_LATE_STATS}
+  FROM flights WHERE home IN {LISTED} AND fday IS NOT NULL GROUP BY ALL)"""
+
+
+def _distinct_airlines(columns: str, period: str, where: str) -> str:
+    return f"""SELECT {columns}, {_since(period)},
+  count(DISTINCT coalesce(airline, '?')) AS unique_airlines
+FROM flights WHERE {where} AND fday IS NOT NULL GROUP BY ALL"""
+
+
+_AT_LISTED = f"home IN {LISTED}"
+_BOTH_LISTED = f"home IN {LISTED} AND away IN {LISTED}"
+
+PERIOD_TWINS = {
+    "airport_punctuality_quarter": _airport_period("quarter"),
+    "airport_punctuality_year": _airport_period("year"),
+    "airline_punctuality_year": f"""SELECT *,
+  {pct('on_time_flights', 'completed_flights')} AS on_time_percentage,
+  {pct('cancelled_flights', 'total_flights')} AS cancelled_percentage
+FROM (SELECT airline AS airline_iata, {_since('year')}, kind AS flight_type, domestic AS is_domestic,
+    count(*) FILTER (WHERE NOT deleted) AS total_flights,
+    count(*) FILTER (WHERE cancelled) AS cancelled_flights,
+    count(*) FILTER (WHERE flown) AS completed_flights,
+    count(*) FILTER (WHERE flown AND late < 0) AS early_flights,
+    count(*) FILTER (WHERE flown AND late >= 0 AND late < 15) AS on_time_flights,
+    count(*) FILTER (WHERE flown AND late >= 15) AS delayed_flights, {_LATE_STATS}
+  FROM flights WHERE airline IS NOT NULL AND fday IS NOT NULL GROUP BY ALL)""",
+    "baggage_month": f"""SELECT home AS airport_iata, carousel AS baggage_claim_unit, {_since('month')},
+  domestic AS is_domestic, count(handling) AS flights_with_baggage_data, count(*) AS total_arrivals,
+  round(avg(handling), 2) AS avg_baggage_handling_minutes,
+  round(quantile_cont(handling, 0.5), 2) AS median_baggage_handling_minutes,
+  round(quantile_cont(handling, 0.9), 2) AS p90_baggage_handling_minutes,
+  round(quantile_cont(handling, 0.95), 2) AS p95_baggage_handling_minutes,
+  round(quantile_cont(late, 0.5) FILTER (WHERE handling IS NOT NULL), 2) AS median_flight_delay_minutes
+FROM flights WHERE kind = 'arrival' AND carousel IS NOT NULL AND home IN {LISTED} AND fday IS NOT NULL
+GROUP BY ALL""",
+    "hourly_airlines_month": _distinct_airlines(
+        "home AS airport_iata, hh AS flight_hour, kind AS flight_type", "month", _AT_LISTED
+    ),
+    "airport_airlines_year": _distinct_airlines("home AS airport_iata", "year", _AT_LISTED),
+    "route_airlines_year": _distinct_airlines(
+        "orig || '-' || dest AS route_key, kind AS flight_type", "year", _BOTH_LISTED
+    ),
+}
+
+# ---------------------------------------------------------------- star joins
+
+# Easter by the rule of remainders that holds from 1900 to 2099.
+_HOLIDAYS = """
+easters AS (
+  SELECT y, d, e, CAST(make_date(y, 3, 22) + to_days(CAST(d + e
+      - CASE WHEN d = 29 AND e = 6 OR d = 28 AND e = 6 AND y % 19 > 10 THEN 7 ELSE 0 END AS INTEGER)) AS DATE) AS easter
+  FROM (SELECT y, d, (2 * (y % 4) + 4 * (y % 7) + 6 * d + 5) % 7 AS e
+        FROM (SELECT y, (19 * (y % 19) + 24) % 30 AS d FROM range(2020, 2031) AS r(y)))
+),
+feasts AS (
+  SELECT make_date(y, 1, 1) AS day, 'New Year''s Day' AS feast FROM easters
+  UNION ALL SELECT make_date(y, 1, 6), 'Epiphany' FROM easters
+  UNION ALL SELECT make_date(y, 5, 1), 'May Day' FROM easters
+  UNION ALL SELECT make_date(y, 6, 6), 'National Day' FROM easters
+  UNION ALL SELECT make_date(y, 12, 25), 'Christmas Day' FROM easters
+  UNION ALL SELECT make_date(y, 12, 26), 'Second Day of Christmas' FROM easters
+  UNION ALL SELECT easter - 2, 'Good Friday' FROM easters
+  UNION ALL SELECT easter, 'Easter Sunday' FROM easters
+  UNION ALL SELECT easter + 1, 'Easter Monday' FROM easters
+  UNION ALL SELECT easter + 39, 'Ascension Day' FROM easters
+  UNION ALL SELECT easter + 49, 'Whit Sunday' FROM easters
+  UNION ALL SELECT make_date(y, 6, 20) + CAST((13 - isodow(make_date(y, 6, 20))) % 7 AS INTEGER), 'Midsummer Day' FROM easters
+  UNION ALL SELECT make_date(y, 10, 31) + CAST((13 - isodow(make_date(y, 10, 31))) % 7 AS INTEGER), 'All Saints'' Day' FROM easters
+),
+holidays AS (SELECT day, min(feast) AS holiday_name FROM feasts GROUP BY day),
+busy AS (
+  SELECT home, iata_name, CAST(fday AS DATE) AS day, count(*) AS n
+  FROM flights JOIN (SELECT iata, name AS iata_name FROM names) ON iata = home
+  WHERE NOT deleted AND year(fday) = 2026 GROUP BY ALL
+),
+plain_days AS (
+  SELECT home, month(day) AS m, isodow(day) AS w, round(avg(n), 2) AS usual
+  FROM busy WHERE day NOT IN (SELECT day FROM holidays) GROUP BY ALL
+)"""
+
+STAR_TWINS = {
+    "week_punctuality": """SELECT home AS airport_iata, name AS airport_name, dow AS day_of_week,
+  dow_name AS day_name, kind AS flight_type, count(*) FILTER (WHERE NOT deleted) AS total_flights,
+  count(*) FILTER (WHERE flown) AS completed_flights,
+  round(avg(late) FILTER (WHERE flown), 2) AS avg_delay_minutes,
+  round(CASE WHEN count(*) FILTER (WHERE flown) > 0 THEN
+    count(*) FILTER (WHERE flown AND punctual) * 100.0::DOUBLE / count(*) FILTER (WHERE flown) END, 2)
+    AS on_time_percentage
+FROM flights JOIN names ON iata = home
+WHERE year(fday) = 2026 AND weekofyear(fday) = 4 GROUP BY ALL""",
+    "weekend_baggage": """SELECT home AS airport_iata, name AS airport_name,
+  carousel AS baggage_claim_unit, fday AS date_day, CAST(weekofyear(fday) AS BIGINT) AS week_number,
+  count(*) AS total_arrivals, count(handling) AS flights_with_baggage_data,
+  round(avg(handling), 2) AS avg_baggage_handling_minutes
+FROM flights JOIN names ON iata = home
+WHERE kind = 'arrival' AND carousel IS NOT NULL AND year(fday) = 2026 AND month(fday) = 2 AND dow > 5
+GROUP BY ALL""",
+    "named_routes": """SELECT orig || '-' || dest AS route_key, o.name AS origin_airport_name,
+  d.name AS destination_airport_name, count(*) FILTER (WHERE NOT deleted) AS flight_count,
+  count(*) FILTER (WHERE cancelled) AS cancelled_flights,
+  round(CASE WHEN count(*) FILTER (WHERE NOT deleted) > 0 THEN count(*) FILTER (WHERE cancelled)
+    * 100.0::DOUBLE / count(*) FILTER (WHERE NOT deleted) END, 2) AS cancellation_ratio
+FROM flights JOIN names o ON o.iata = orig JOIN names d ON d.iata = dest
+WHERE year(fday) = 2026 AND quarter(fday) = 1 GROUP BY ALL""",
+}
+_HOLIDAY_TRAFFIC = """
+SELECT b.home AS airport_iata, b.iata_name AS airport_name, h.holiday_name,
+  CAST(b.day AS TIMESTAMP) AS date_day, b.n AS flight_count, p.usual AS usual_flights
+FROM busy b JOIN holidays h ON h.day = b.day
+LEFT JOIN plain_days p ON p.home = b.home AND p.m = month(b.day) AND p.w = isodow(b.day)"""
+
+# ---------------------------------------------------------------- drift and history
+
+_DRIFT = """
+shaped AS (
+  SELECT *, right(load_id, 1) = '0' AND right(fid, 1) = '7' AS timeless FROM legs WHERE kind = 'arrival'
+)"""
+# Declared path → what fills it; as JSON text leaves nulls out, a path is there if a value is.
+_DECLARED = {
+    "flightId": "fid", "flightLegIdentifier.flightId": "fid",
+    "flightLegIdentifier.departureAirportIata": "orig", "flightLegIdentifier.arrivalAirportIata": "dest",
+    "flightLegIdentifier.flightDepartureDateUtc": "sched", "airlineOperator.name": "airline_name",
+    "airlineOperator.iata": "airline", "departureAirportSwedish": "orig", "departureAirportEnglish": "orig",
+    "locationAndStatus.flightLegStatus": "status", "locationAndStatus.terminal": "terminal",
+    "locationAndStatus.gate": "gate", "baggage.baggageClaimUnit": "carousel",
+    "baggage.firstBagUtc": "bag_one", "baggage.lastBagUtc": "bag_last",
+}
+_OF_TIMES = {"arrivalTime.scheduledUtc": "sched", "arrivalTime.estimatedUtc": "NULL", "arrivalTime.actualUtc": "actual"}
+
+
+def _drift_report() -> str:
+    missing = [
+        f"SELECT load_id, '{path}' AS path, CAST(NULL AS VARCHAR) AS observed_type, 'STRING' AS declared_type,"
+        f" 'missing' AS status FROM shaped GROUP BY load_id HAVING count({filled}) = 0"
+        for path, filled in _DECLARED.items()
+    ]
+    missing += [
+        f"SELECT load_id, '{path}', NULL, 'STRING', 'missing' FROM shaped GROUP BY load_id"
+        f" HAVING count({filled}) = 0 AND count(*) FILTER (WHERE timeless) = 0"
+        for path, filled in _OF_TIMES.items()
+    ]
+    changed = [
+        "SELECT DISTINCT load_id, 'locationAndStatus.terminal', 'BIGINT', 'STRING', 'retyped' FROM shaped"
+        " WHERE right(load_id, 1) = '1'",
+        "SELECT DISTINCT load_id, 'aircraft.type', 'STRING', NULL, 'added' FROM shaped WHERE right(load_id, 1) = '2'",
+        "SELECT load_id, 'arrivalTime', CASE WHEN bool_and(timeless) THEN 'STRING' ELSE 'VARIANT' END, NULL,"
+        " 'retyped' FROM shaped GROUP BY load_id HAVING bool_or(timeless)",
+    ]
+    return with_(f"{LEGS},{_DRIFT}", " UNION ALL ".join(missing + changed))
+
+
+_DRIFT_TYPED = f"""SELECT * EXCLUDE (timeless, _dlt_id) REPLACE (
+    CASE WHEN NOT timeless THEN arrival_time__scheduled_utc END AS arrival_time__scheduled_utc,
+    CASE WHEN NOT timeless THEN arrival_time__actual_utc END AS arrival_time__actual_utc),
+  CASE WHEN timeless THEN 'arrivalTime' ELSE '' END AS drifted
+FROM ({_RAW_ARRIVALS.replace('SELECT', 'SELECT timeless,', 1).replace('FROM legs', 'FROM shaped')})"""
+
+_HISTORY = """
+per_load AS (
+  SELECT airline, load_id, airline_name, count(*) AS n FROM legs WHERE airline IS NOT NULL
+  GROUP BY airline, load_id, airline_name
+  QUALIFY row_number() OVER (PARTITION BY airline, load_id ORDER BY n DESC, airline_name) = 1
+),
+runs AS (
+  SELECT *, row_number() OVER (PARTITION BY airline ORDER BY load_id)
+      - row_number() OVER (PARTITION BY airline, airline_name ORDER BY load_id) AS island FROM per_load
+),
+spans AS (
+  SELECT airline, airline_name, min(load_id) AS valid_from FROM runs GROUP BY airline, airline_name, island
+),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY airline ORDER BY valid_from) AS period_no,
+    lead(valid_from) OVER (PARTITION BY airline ORDER BY valid_from) AS valid_before FROM spans
+)"""
+_HISTORY_BODY = """SELECT n.airline AS airline_iata, n.airline_name, n.period_no, n.valid_from, n.valid_before,
+  count(*) FILTER (WHERE NOT deleted) AS total_flights, count(*) FILTER (WHERE cancelled) AS cancelled_flights,
+  count(late) AS completed_flights, round(avg(late), 2) AS avg_delay_minutes,
+  round(CASE WHEN count(*) FILTER (WHERE NOT deleted) > 0 THEN count(*) FILTER (WHERE cancelled)
+    * 100.0::DOUBLE / count(*) FILTER (WHERE NOT deleted) END, 2) AS cancelled_percentage
+FROM flights f JOIN numbered n ON n.airline = f.airline AND f.load_id >= n.valid_from
+  AND (n.valid_before IS NULL OR f.load_id < n.valid_before)
+GROUP BY ALL"""
+
+
 def oracle_sql() -> dict[str, str]:
     named = f"{LEGS},\n{_AIRPORT_NAMES}"
     twins = {
@@ -615,5 +825,20 @@ GROUP BY 1, 2, 3"""),
         twins[f"explore_{name}"] = with_(named, body)
     for name, (mart, body) in SERVE.items():
         twins[f"serve_{name}"] = with_(f"{FLIGHTS},\n{mart}", body)
+    for name, body in PERIOD_TWINS.items():
+        twins[f"period_{name}"] = with_(FLIGHTS, body)
+    starred = f"{FLIGHTS},\n{_AIRPORT_NAMES}"
+    for name, body in STAR_TWINS.items():
+        twins[f"star_{name}"] = with_(starred, body)
+    twins["star_holiday_traffic"] = with_(f"{starred},{_HOLIDAYS}", _HOLIDAY_TRAFFIC)
+    twins["raw_arrivals_streamed"] = with_(LEGS, f"""SELECT * EXCLUDE (_dlt_load_id, _dlt_id),
+  strftime(arrival_time__scheduled_utc, '%Y-%m-%d') AS flight_day,
+  arrival_time__scheduled_utc IS NOT NULL AS timed FROM ({_RAW_ARRIVALS})""")
+    twins["drift_report_arrivals"] = _drift_report()
+    twins["drift_versions_arrivals"] = with_(f"{LEGS},{_DRIFT}", """SELECT
+  row_number() OVER (ORDER BY load_id) AS version, load_id AS first_load, load_id AS last_load,
+  CAST(1 AS BIGINT) AS loads, count(*) AS flights FROM shaped GROUP BY load_id""")
+    twins["drift_typed_arrivals"] = with_(f"{LEGS},{_DRIFT}", _DRIFT_TYPED)
+    twins["airline_history"] = with_(f"{FLIGHTS},{_HISTORY}", _HISTORY_BODY)
     twins.update(_quality_queries())
     return twins
