@@ -18,7 +18,9 @@ from flightmarts.llm.hashing import Prefixes, mix, word_bounds
 LONGEST, LEAST, FIRST = 5, 100, 2000
 SCALE, COVERED = 1000, 100  # of the score, and percent of a phrase that a longer one must hold
 BITS = 27  # of the hash that words and pairs are counted by before they are spelled out
-_CHUNK = 4 << 20  # bytes of text taken together
+_PAGE_BITS = 16  # buckets counted side by side
+_CHUNK = 16 << 20  # bytes of text taken together
+_HELD = 1 << 20  # counted windows that a task holds back to add the next ones up with
 
 _U = np.uint64
 # What ends a piece, and what parts words.
@@ -28,22 +30,28 @@ _FOLD = bytes.maketrans(
 )
 
 
-def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
-    """Folded texts of a batch, put together by language and cut between pieces only."""
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    """Folded texts of a task, put together by language and cut between pieces only."""
     open_: dict[str, list[bytes]] = defaultdict(list)
-    size: dict[str, int] = defaultdict(int)
-    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
-        text = text.as_py().translate(_FOLD)
-        at = 0
-        while len(text) - at > _CHUNK and (end := text.find(b"\n", at + _CHUNK)) >= 0:
-            yield lang, text[at:end]
-            at = end
-        open_[lang].append(text[at:])
-        size[lang] += len(text) - at
-        if size[lang] > _CHUNK:
-            yield lang, b"\n".join(open_.pop(lang))
-            size[lang] = 0
-    for lang, texts in open_.items():
+    held = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
+            text = text.as_py().translate(_FOLD)
+            at = 0
+            while len(text) - at > _CHUNK and (end := text.find(b"\n", at + _CHUNK)) >= 0:
+                yield lang, text[at:end]
+                at = end
+            open_[lang].append(text[at:])
+            held += len(text) - at
+            if held > _CHUNK:
+                yield from _joined(open_)
+                held = 0
+    yield from _joined(open_)
+
+
+def _joined(open_: dict[str, list[bytes]]) -> Iterator[tuple[str, bytes]]:
+    while open_:
+        lang, texts = open_.popitem()
         yield lang, b"\n".join(texts)
 
 
@@ -76,13 +84,31 @@ class Words:
         seed = _U(zlib.crc32(lang.encode()) << 17 | 1)
         self.hashes = mix(_hashes(self.distinct) ^ seed)
 
-    def word_buckets(self) -> np.ndarray:
-        """A bucket per distinct word."""
-        return (mix(self.hashes) >> _U(64 - BITS)).astype(np.int64)
-
-    def pair_buckets(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        both = self.hashes[first] * _U(0x9E3779B97F4A7C15) + self.hashes[second]
-        return (mix(both) >> _U(64 - BITS)).astype(np.int64)
+    def runs(
+        self, packed: np.ndarray, counted: int, upto: int
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """``k``, places and buckets of the runs of ``k`` words that may be frequent, by ``k``.
+
+        Runs of up to ``counted`` words are looked up in ``packed``, a bit per
+        bucket, and only frequent ones are left. A longer run may be frequent if
+        what it is without its last and without its first word may be.
+        """
+        own = self.hashes[self.codes]
+        hashes, alive = own.copy(), np.ones(len(own), bool)
+        for k in range(1, upto + 1):
+            if k > 1:
+                # Both parts lie within their piece, and with three words they overlap.
+                alive = alive[:-1] & alive[1:] & (self.adjacent if k == 2 else True)
+                alive = np.append(alive, False)
+            at = np.flatnonzero(alive)
+            if k > 1:
+                hashes[at] = mix(hashes[at] * _U(0x9E3779B97F4A7C15) + own[at + k - 1])
+            buckets = (mix(hashes[at] + _U(k)) >> _U(64 - BITS)).astype(np.int64)
+            if k <= counted:
+                frequent = (packed[buckets >> 3] >> (buckets & 7).astype(np.uint8) & 1).astype(bool)
+                alive[at] = frequent
+                at, buckets = at[frequent], buckets[frequent]
+            yield k, at, buckets
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -93,87 +119,121 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_buckets(docs: DataFrame, least: int = LEAST) -> np.ndarray:
-    """A bit per bucket: whether its words and pairs, of all documents, add up to ``least``.
+def frequent_buckets(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -> np.ndarray:
+    """A bit per bucket: whether its runs of words, of all documents, add up to ``least``.
 
-    A word or pair that occurs so often sets its bit; the few others that share
-    a bucket do no harm, as they are counted by their spelling afterwards. What
-    comes to the driver, and is broadcast, is 2^27 bits or 16 MB, whatever the input.
+    Single words first; then pairs of frequent words; then longer runs of
+    frequent pairs: a run is no more frequent than any part of it, so ever fewer
+    are left to count. A run that occurs so often sets its bit; the few others
+    that share a bucket do no harm, as they are counted by their spelling
+    afterwards. What comes to the driver, and is broadcast, is 2^27 bits or 16 MB,
+    whatever the input.
     """
+    packed = np.zeros(1 << (BITS - 3), np.uint8)
+    counted = 0
+    for upto in sorted({1, min(2, longest), longest}):
+        packed |= _counted_buckets(docs, packed, counted, upto, least)
+        counted = upto
+    return packed
+
+
+def _counted_buckets(
+    docs: DataFrame, packed: np.ndarray, counted: int, upto: int, least: int
+) -> np.ndarray:
+    """Bits of the frequent buckets of runs of ``counted + 1`` to ``upto`` words."""
+    shared = docs.sparkSession.sparkContext.broadcast(packed)
+    entry = np.dtype([("at", "<u2"), ("n", "u1" if least < 256 else "<u4")])
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, text in _chunks(batches):
+            runs = Words(lang, text).runs(shared.value, counted, upto)
+            buckets = np.concatenate([own for k, _, own in runs if k > counted])
+            buckets, often = np.unique(buckets.astype(np.int32), return_counts=True)
+            entries = np.empty(len(buckets), entry)
+            entries["at"] = buckets & ((1 << _PAGE_BITS) - 1)
+            entries["n"] = np.minimum(often, least)
+            pages, first = np.unique(buckets >> _PAGE_BITS, return_index=True)
+            parts = [p.tobytes() for p in np.split(entries, first[1:])] if len(pages) else []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(pages, pa.int32()), pa.array(parts, pa.binary())], ["page", "entries"]
+            )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for lang, text in _chunks(batch):
-                words = Words(lang, text)
-                codes, n = words.codes, np.int64(len(words.distinct))
-                pairs = codes[:-1][words.adjacent] * n + codes[1:][words.adjacent]
-                pairs, often = np.unique(pairs, return_counts=True)
-                first, second = np.divmod(pairs, max(n, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([words.word_buckets(), words.pair_buckets(first, second)]).astype(np.int32)),
-                        pa.array(np.concatenate([np.bincount(codes, minlength=n), often]).astype(np.int64)),
-                    ],
-                    ["bucket", "n"],
-                )
-
-    bits = (
-        _texts(docs).mapInArrow(run, "bucket int, n long")
-        .groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        .groupBy(F.shiftright("bucket", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, bucket & 63))").alias("bits"))
-        .toArrow()
+            for page, own in zip(batch.column("page").to_pylist(), batch.column("entries")):
+                own = np.frombuffer(own.as_py(), entry)
+                if page not in total:
+                    total[page] = np.zeros(1 << _PAGE_BITS, np.uint32)
+                so_far = total[page][own["at"]] + own["n"]
+                total[page][own["at"]] = np.minimum(so_far, least)
+        for page, counts in total.items():
+            bits = np.packbits(counts >= least, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "bits": [bits]})
+
+    # Counts travel as pages of counters, three bytes an entry. A task adds its pages up as
+    # they come: all counters together are 512 MB, over however many tasks.
+    pages = (
+        _texts(docs).mapInArrow(found, "page int, entries binary")
+        .repartition("page").mapInArrow(summed, "page int, bits binary")
     )
-    table_ = np.zeros(1 << (BITS - 6), np.int64)
-    table_[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
-    return table_.view(np.uint8)
+    bits = np.zeros(1 << (BITS - 3), np.uint8)
+    size = 1 << (_PAGE_BITS - 3)
+    for row in pages.toArrow().to_pylist():
+        own = np.frombuffer(row["bits"], np.uint8)[: len(bits)]
+        bits[row["page"] * size :][: len(own)] = own
+    return bits
 
 
 def _lead(k: int) -> str:
     return f"w{k}"
 
 
+def _summed(tables: list[pa.Table], columns: list[str]) -> pa.Table:
+    """Counted windows, each once."""
+    keys = ["lang", *columns]
+    summed = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+    return summed.rename_columns({"n_sum": "n"}).select([*keys, "n"])
+
+
 def windows(docs: DataFrame, frequent: Broadcast, longest: int = LONGEST) -> DataFrame:
     """``lang, w1, ..., n``: how often each longest window begins at a word.
 
     A window is a word and the words that lead it, padded with nulls from the
-    end of its piece on, and from the first pair on that is not frequent. Words
-    that are not frequent themselves give windows of nulls alone.
+    end of its piece on, and from where it is no longer frequent. Words that
+    are not frequent themselves give windows of nulls alone.
     """
     columns = [_lead(k) for k in range(1, longest + 1)]
     schema = ", ".join(["lang string", *[f"{c} string" for c in columns], "n long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = frequent.value
-        is_frequent = lambda b: (packed[b >> 3] >> (b & 7).astype(np.uint8) & 1).astype(bool)
-        for batch in batches:
-            for lang, text in _chunks(batch):
-                words = Words(lang, text)
-                codes = words.codes
-                if not len(codes):
-                    continue
-                known = is_frequent(words.word_buckets())[codes]
-                goes_on = words.adjacent & known[:-1] & known[1:]
-                at = np.flatnonzero(goes_on)
-                goes_on[at] = is_frequent(words.pair_buckets(codes[at], codes[at + 1]))
-                goes_on = np.append(goes_on, False)
-                # Windows of one word need no sorting.
-                alone = np.bincount(codes[known & ~goes_on], minlength=len(words.distinct))
-                single = np.flatnonzero(alone)
-                starts = np.flatnonzero(goes_on)
-                led, open_ = [codes[starts]], np.ones(len(starts), bool)
-                for k in range(1, longest):
-                    # Past the end ``open_`` is false already.
-                    open_ &= goes_on[np.minimum(starts + k - 1, len(codes) - 1)]
-                    led.append(np.where(open_, codes[np.minimum(starts + k, len(codes) - 1)], -1))
-                counted = pa.table(dict(zip(columns, map(pa.array, led)))).group_by(
-                    columns, use_threads=False
-                ).aggregate([([], "count_all")])
-                rows = [np.concatenate([[-1], single, counted.column("w1").to_numpy()])]
-                pad = np.full(1 + len(single), -1)
-                rows += [np.concatenate([pad, counted.column(c).to_numpy()]) for c in columns[1:]]
-                n = np.concatenate([[(~known).sum()], alone[single], counted.column("count_all").to_numpy()])
-                yield pa.RecordBatch.from_arrays(
+        tables: list[pa.Table] = []
+        for lang, text in _chunks(batches):
+            words = Words(lang, text)
+            codes = words.codes
+            if not len(codes):
+                continue
+            # Windows of no word and of one need no sorting.
+            reach = np.zeros(len(codes), np.int8)
+            for k, at, _ in words.runs(frequent.value, longest, longest):
+                reach[at] = k
+            alone = np.bincount(codes[reach == 1], minlength=len(words.distinct))
+            single = np.flatnonzero(alone)
+            starts = np.flatnonzero(reach > 1)
+            led = [codes[starts]]
+            for k in range(1, longest):
+                held = reach[starts] > k
+                led.append(np.full(len(starts), -1))
+                led[k][held] = codes[starts[held] + k]
+            counted = pa.table(dict(zip(columns, map(pa.array, led)))).group_by(
+                columns, use_threads=False
+            ).aggregate([([], "count_all")])
+            rows = [np.concatenate([[-1], single, counted.column("w1").to_numpy()])]
+            pad = np.full(1 + len(single), -1)
+            rows += [np.concatenate([pad, counted.column(c).to_numpy()]) for c in columns[1:]]
+            n = np.concatenate([[(reach == 0).sum()], alone[single], counted.column("count_all").to_numpy()])
+            tables.append(
+                pa.table(
                     [
                         pa.array([lang] * len(n), pa.string()),
                         *(words.distinct.take(pa.array(r, mask=r < 0)) for r in rows),
@@ -181,6 +241,14 @@ def windows(docs: DataFrame, frequent: Broadcast, longest: int = LONGEST) -> Dat
                     ],
                     ["lang", *columns, "n"],
                 )
+            )
+            # Added up whenever they have doubled, and handed on when they are many.
+            if sum(map(len, tables)) > max(2 * len(tables[0]), _HELD // 8):
+                tables = [_summed(tables, columns)]
+                if len(tables[0]) > _HELD:
+                    yield from tables.pop().to_batches()
+        if tables:
+            yield from _summed(tables, columns).to_batches()
 
     return (
         _texts(docs).mapInArrow(run, schema)
@@ -196,7 +264,7 @@ def phrase_counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST) -
     a phrase is the prefix of just those windows that begin where it occurs.
     """
     columns = [_lead(k) for k in range(1, longest + 1)]
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_buckets(docs, least))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_buckets(docs, longest, least))
     rolled = (
         windows(docs, shared, longest).rollup("lang", *columns)
         .agg(F.sum("n").alias("f"), F.grouping_id().cast("int").alias("rolled"))
@@ -260,10 +328,10 @@ def collocations(
     text has no words; repeated rows count each; an empty table gives an empty
     result. Ties in score go by ``a``, then by the phrase's bytes.
 
-    Two scans. The first finds which buckets of words and pairs are frequent, so
-    that in the second only windows travel that may matter; counts are summed
-    in map tasks before both shuffles, and a phrase with a third of all
-    occurrences is a row per task. Beyond some 10^10 words the buckets fill up
+    Four scans. Three find which buckets of words, pairs and longer runs are
+    frequent, so that in the last only windows travel that may matter; counts
+    are summed in map tasks before each shuffle, and a phrase with a third of
+    all occurrences is a row per task. Beyond some 10^10 words the buckets fill up
     and more windows travel, without a change in the result.
     """
     found = phrase_counts(docs, longest, least)

@@ -27,6 +27,14 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, SPACES), lambda w: w != "")
 
 
+def row_key(doc_id: Column, mark: Column) -> Column:
+    """A text that names a row by its id (null apart from all others) and a hash of its text.
+
+    Keys of whole numbers from 0 on are in the order of the ids, null behind them.
+    """
+    return F.concat_ws(":", F.coalesce(F.lpad(doc_id.cast("string"), 20, "0"), F.lit("~")), F.hex(mark))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Rows reach Python workers in batches that fit beside an executor's heap."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

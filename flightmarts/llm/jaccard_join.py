@@ -7,11 +7,19 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightmarts.llm.common import bitmap, flagged, small_batches, stored, table, text_or_empty
+from flightmarts.llm.common import (
+    bitmap,
+    flagged,
+    row_key,
+    small_batches,
+    stored,
+    table,
+    text_or_empty,
+)
 from flightmarts.llm.graph import components
 from flightmarts.llm.hashing import fold, mix, shingle_set
 
@@ -289,14 +297,21 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their class, with all their columns.
+    """One row of ``docs`` per class, with all its columns: that of the least id.
 
-    Rows without an id have no class and all stay; rows that share an id stay
-    or go together.
+    Rows are told apart by id and text, so that those without an id, or under
+    one, have classes as all others; of rows that share both, one stays.
     """
-    heads = classes(docs).filter("doc_id = class_id").select(F.col("doc_id").alias("_head")).distinct()
-    kept = docs.join(heads, docs["doc_id"] == heads["_head"]).select(docs.columns)
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    named = docs.withColumn("_key", row_key(F.col("doc_id"), F.xxhash64(text_or_empty())))
+    heads = (
+        classes(named.select(F.col("_key").alias("doc_id"), "text")).filter("doc_id = class_id")
+        .select(F.col("doc_id").alias("_key")).distinct()
+    )
+    first = Window.partitionBy("_key").orderBy("_key")
+    return (
+        named.join(heads, "_key").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
+        .select(docs.columns)
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,9 @@ def test_odd_documents(odd, plain, options):
 def test_few_buckets_change_nothing(spark, odd, plain, monkeypatch):
     """With buckets that nearly all fill up, windows travel whole and the counts are the same."""
     monkeypatch.setattr(collocations, "BITS", 8)
+    monkeypatch.setattr(collocations, "_PAGE_BITS", 5)
     monkeypatch.setattr(collocations, "_CHUNK", 300)
+    monkeypatch.setattr(collocations, "_HELD", 40)
     expected = sorted(plain_collocations([(lang, text) for _, text, lang, _ in plain], least=20))
     assert result(collocations.collocations(odd, least=20)) == expected
 
@@ -99,7 +101,7 @@ def test_chunks_are_cut_between_pieces_only(monkeypatch):
     for text in texts:
         for piece in pieces(text):
             whole.update(zip(piece, piece[1:]))
-    for lang, text in collocations._chunks(batch):
+    for lang, text in collocations._chunks(iter([batch])):
         words = collocations.Words(lang, text)
         spelled = [words.distinct[int(c)].as_py() for c in words.codes]
         cut.update((spelled[i], spelled[i + 1]) for i in np.flatnonzero(words.adjacent))

@@ -137,3 +137,16 @@ def test_a_passage_of_many_texts_never_meets_in_one_task(spark, tmp_path, monkey
 )
 def test_empty_table(operator, nothing):
     assert operator(nothing).count() == 0
+
+
+def test_one_row_of_each_class_stays_without_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (None, base, 1), (None, base + " end", 2), (None, "quite another text of seven words", 3),
+        (5, base + " tail", 4), (5, "something else under the same id five", 5), (5, base + " tail", 6), (None, None, 7),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _nth long")
+    kept = jaccard_join.representatives(docs).collect()
+    assert sorted((str(r["doc_id"]), (r["text"] or "")[-5:]) for r in kept) == sorted(
+        [("5", " tail"), ("None", "words"), ("5", " five"), ("None", "")]
+    )

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
-from collections import defaultdict
+import math
+import struct
+from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from odd_documents import nothing, odd, plain  # noqa: F401
 from plain_operators import words
 
@@ -23,55 +26,135 @@ def reshared(sizes, weights, cap=3.0):
         capped |= over
 
 
+def hashed(*parts):
+    """Spark's hash of longs and texts, nulls left out."""
+    h = 42
+    for part in parts:
+        if part is not None:
+            data = part.encode() if isinstance(part, str) else struct.pack("<q", part)
+            h = xxhash.xxh64(data, seed=h).intdigest()
+    return h - (1 << 64) if h >> 63 else h
+
+
+def plain_mix(rows):
+    """``(id, size, source size, target, taken, copies)`` of ``(id, text, source)``, slot by slot."""
+    names = sorted({s for *_, s in rows if s is not None}) + [None] * any(s is None for *_, s in rows)
+    size = Counter({n: 0 for n in names})
+    for _, text, source in rows:
+        size[source] += len(words(text))
+    targets = dict(zip(names, reshared([size[n] for n in names], [1 + i % 3 for i in range(len(names))])))
+    block = {n: next(b for b in mixing.BLOCKS if b == 1 or targets[n] >= 1024 * b) for n in names}
+    passes = defaultdict(Counter)
+    for b in set(block.values()):
+        own = [n for n in names if block[n] == b and targets[n] > 0]
+        total = sum(targets[n] for n in own)
+        rank, ends, so_far = Counter(), [], 0.0
+        for n in own:
+            so_far += targets[n]
+            ends.append(so_far / total)
+        for t in range(round(total / b) if own else 0):
+            point = (t + 1) * mixing.GOLDEN
+            point -= math.floor(point)
+            n = own[next((i for i, e in enumerate(ends[:-1]) if point < e), len(own) - 1)]
+            blocks = -(-size[n] // b)
+            if rank[n] < 3 * blocks:
+                passes[n][rank[n] % blocks] += 1
+            rank[n] += 1
+    for n in names:
+        marked = [(i, hashed(text), len(words(text))) for i, text, s in rows if s == n]
+        order = lambda r: hashed(r[0], r[1], "mix")
+        marked.sort(key=lambda r: (order(r) % 4096, order(r), r[0] is not None, r[0] or 0, r[1]))
+        at = 0
+        for i, _, length in marked:
+            taken = sum(passes[n][k // block[n]] for k in range(at, at + length))
+            copies = passes[n][at // block[n]] if length else 0
+            yield i, length, size[n], round(targets[n], 6), taken, copies
+            at += length
+
+
+def found(df):
+    return Counter(
+        (r["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["taken"], r["copies"]) for r in df.collect()
+    )
+
+
 @pytest.mark.parametrize(
-    "sizes", [[10, 10, 10], [1, 1000, 5, 7, 300], [0, 5, 0], [100], [1, 1, 1, 1, 10_000], [3, 0, 900, 2, 2, 2]]
+    "sizes", [[10, 10, 10], [1, 1000, 5, 7, 300], [0, 5, 0], [100], [1, 1, 1, 1, 10_000], [3, 0, 900, 2, 2, 2], [0, 0]]
 )
-def test_targets(sizes):
-    weights = [1.0 + i % 3 for i in range(len(sizes))]
-    assert mixing.fill(sizes, weights) == pytest.approx(reshared(sizes, weights))
-
-
-def test_schedule_is_the_plain_loop(spark):
-    sources = [mixing.Source("a", 100, 50.0), mixing.Source("b", 40, 120.0), mixing.Source(None, 400, 370.0)]
-    found = {(r["source_no"], r["block_no"]): r["passes"] for r in mixing.schedule(spark, sources, 7).collect()}
-    ends, blocks = [50 / 540, 170 / 540, 1.0], [15, 6, 58]
-    expected, rank = defaultdict(int), [0, 0, 0]
-    for t in range(round(540 / 7)):
-        point = (t + 1) * mixing.GOLDEN % 1
-        own = next(i for i in range(3) if point < ends[i])
-        if rank[own] < 3 * blocks[own]:
-            expected[own, rank[own] % blocks[own]] += 1
-        rank[own] += 1
-    assert found == expected
-
-
-def test_mix_reaches_targets(odd, plain):
-    rows = mixing.mix(odd).collect()
-    assert len(rows) == len(plain)
-    size = defaultdict(int)
-    for _, text, _, source in plain:
-        size[source] += len(words(text))
-    names = sorted(s for s in size if s is not None) + [None]
-    targets = dict(zip(names, reshared([size[s] for s in names], [1 + i % 3 for i in range(len(names))])))
-    assert sorted({(r["source_size"], round(r["target"], 6)) for r in rows}) == sorted(
-        {(size[s], round(targets[s], 6)) for s in names}
+def test_targets(spark, sizes):
+    sized = spark.createDataFrame([(f"s{i}", size, 1) for i, size in enumerate(sizes)], "source string, size long, n long")
+    rows = sorted(mixing.sources_of(sized).collect(), key=lambda r: r["source"])
+    assert [r["target"] for r in rows] == pytest.approx(reshared(sizes, [1.0 + i % 3 for i in range(len(sizes))]))
+
+
+def test_mix_is_the_plain_version(odd, plain):
+    rows = list(plain_mix([(i, text, source) for i, text, _, source in plain]))
+    assert found(mixing.mix(odd)) == Counter(rows)
+    taken, targets = Counter(), {}
+    for _, _, size, target, own, _ in rows:
+        taken[size, target] += own
+    for (size, target), own in taken.items():
+        assert own == pytest.approx(target, rel=0.02, abs=30)
+    assert all(own <= 3 * length for _, length, _, _, own, _ in rows)
+
+
+def test_reruns_agree_under_other_splits(spark, odd):
+    first = found(mixing.mix(odd))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        assert odd.rdd.getNumPartitions() > 3
+        assert found(mixing.mix(odd)) == first
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_small_source_makes_no_slots_for_others(spark):
+    """Sources of 30 million words and of ten: blocks, slots and pieces stay few."""
+    sized = spark.createDataFrame(
+        [("big", i, i, 30_000, 1) for i in range(1000)] + [("small", -1, 0, 10, 1)],
+        "source string, doc_id long, mark long, size long, n long",
     )
-    assert sum(r["size"] for r in rows) == sum(size.values())
-    assert all(r["taken"] <= 3 * r["size"] and (r["taken"] == 0 or r["size"] > 0) for r in rows)
-    taken = defaultdict(int)
-    for r in rows:
-        taken[round(r["target"], 6)] += r["taken"]
-    for target, words_taken in taken.items():
-        same = sum(1 for t in targets.values() if round(t, 6) == target)
-        assert words_taken == pytest.approx(target * same, rel=0.02, abs=30)
-    assert sorted(map(str, mixing.mix(odd).collect())) == sorted(map(str, rows))
-
-
-def test_mixed_repeats_whole_documents(odd):
+    sources = mixing.sources_of(sized)
+    rows = {r["source"]: r for r in sources.collect()}
+    assert (rows["big"]["block"], rows["small"]["block"]) == (4096, 1)
+    slots = mixing.schedule(spark, sources).agg({"passes": "sum"}).first()[0]
+    assert 7_000 <= slots <= 7_400
+
+
+def test_many_sources(spark):
+    rows = [(i, "one two three four", f"s{i % 11_000:05d}") for i in range(22_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).collect()
+    assert len(got) == 22_000 and {r["source_size"] for r in got} == {8}
+    assert sum(r["taken"] for r in got) == pytest.approx(88_000, rel=0.01)
+
+
+def test_rows_without_id_are_spread_and_equal_rows_told_apart(spark):
+    rows = [(None, f"text of number {i}", "a") for i in range(3000)] + [(None, "the same", "a")] * 9000
+    rows += [(7, "other words", "b")] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert found(mixing.mix(docs)) == Counter(plain_mix(rows))
+    sized = mixing.sized_documents(docs)
+    assert sized.count() == 3002
+    placed = mixing._streamed(sized, mixing.sources_of(sized))
+    assert placed.selectExpr("pmod(h, 4096) AS p").distinct().count() > 1500
+
+
+def test_mixed_repeats_whole_documents(spark, odd):
     mixed = mixing.mixed(odd)
     assert mixed.columns == odd.columns
-    copies = mixed.groupBy("doc_id", "n_chars").count().filter("doc_id < 1000000")
-    assert 1 <= copies.agg({"count": "max"}).first()[0] <= 3
+    want = Counter()
+    for r in mixing.mix(odd).collect():
+        want[r["doc_id"], r["mark"]] += r["copies"]
+    got = Counter(
+        (r["doc_id"], r["mark"]) for r in mixed.selectExpr("doc_id", "xxhash64(coalesce(text, '')) AS mark").collect()
+    )
+    assert got == +want
+    rows = [(None, f"text of number {i % 5}", "a", i) for i in range(50)] + [(1, "x y z", "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long")
+    often = Counter(r["text"] for r in mixing.mixed(docs).collect())
+    assert sum(often.values()) == sum(r["copies"] for r in mixing.mix(docs).collect()) and often["x y z"] == 3
 
 
 def test_empty_table(nothing):
