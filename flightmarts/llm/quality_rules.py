@@ -1,19 +1,12 @@
-"""Quality rules: counts of repetition and symbols, and divergence from the language's reference."""
+"""Quality rules: counts of repetition and symbols, and divergence from the language's references."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flightmarts.llm.common import SPACES, WORD, stored, table, text_or_empty, words
 
-# Frequent words of the four languages.
-COMMON_WORDS = {
-    "en": ["the", "of", "and", "to", "in", "is", "that", "it", "was", "for", "on", "are", "with", "as", "at", "be", "this", "by", "an", "not"],
-    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "une", "du", "que", "est", "pour", "qui", "dans", "par", "sur", "au", "pas", "plus"],
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf", "ist", "im", "dem", "nicht", "ein", "eine", "als", "auch"],
-    "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por", "con", "no", "una", "su", "para", "es", "al", "lo"],
-}
 # Character classes of a text, each as the pattern of what is *not* in it. Digits are
 # left out: a phone number in a short text says nothing about its quality.
 CLASSES = {
@@ -22,10 +15,14 @@ CLASSES = {
     "stop": r"[^.,;:!?'\"()-]+",
     "symbol": r"[\p{L}\p{N}\s.,;:!?'\"()-]+",
 }
-MIN_CHARS, MIN_WORDS = 120, 100
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.19, 0.325
-
-
+# The most frequent words of a language that its reference counts one by one.
+COMMON = 40
+# Documents that a reference, and a limit for one length of text, must rest on at least.
+MIN_DOCS = 30
+# Lengths of texts, in words, from each number on; limits are set for each.
+LENGTHS = (10, 20, 50, 100, 300)
+# A limit lies so many quartile ranges above the upper quartile of a reference's own distances.
+FENCE = 4.0
 
 
 def _kept_chars(text: Column, other: str) -> Column:
@@ -65,19 +62,32 @@ _PRESENT = """
 """
 
 
-def measured(docs: DataFrame, *carried: str) -> DataFrame:
+def common_words(docs: DataFrame) -> DataFrame:
+    """``lang, word``: the ``COMMON`` most frequent words of each language with enough documents.
+
+    Words of all documents are counted in map tasks first; ties go by the word.
+    """
+    counted = (
+        docs.filter("lang IS NOT NULL")
+        .select("lang", F.explode(F.split(text_or_empty(), SPACES)).alias("word"))
+        .filter("word != ''").groupBy("lang", "word").agg(F.count("*").alias("n"))
+    )
+    best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    spoken = docs.groupBy("lang").agg(F.count("*").alias("docs")).filter(F.col("docs") >= MIN_DOCS)
+    return (
+        counted.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= COMMON)
+        .join(spoken, "lang").select("lang", "word")
+    )
+
+
+def measured(docs: DataFrame, common: list[str], *carried: str) -> DataFrame:
     """Counts per row of ``docs``: the five of the rules, classes, common words."""
-    common = sorted({w for own in COMMON_WORDS.values() for w in own})
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(WORD))
+    listed = F.filter("w", lambda w: w.isin(common)) if common else F.array().cast("array<string>")
     return (
         docs.select("doc_id", "lang", text_or_empty().alias("t"), *carried)
         .withColumns({"w": words(F.col("t")), "lines": lines})
-        .withColumns(
-            {
-                "hashes": F.transform("w", lambda w: F.xxhash64(w)),
-                "common": F.filter("w", lambda w: w.isin(common)),
-            }
-        )
+        .withColumns({"hashes": F.transform("w", lambda w: F.xxhash64(w)), "common": listed})
         .withColumn("grams", F.expr(_GRAMS))
         .withColumn("in_order", F.expr(_WINDOWS_IN_ORDER))
         .select(
@@ -93,18 +103,16 @@ def measured(docs: DataFrame, *carried: str) -> DataFrame:
     )
 
 
-def _distance(shares: Column, reference: dict[str, float]) -> Column:
-    """Jensen-Shannon distance (0 to 1) of ``array<struct<word, p>>`` from a reference.
+def _distance(shares: Column, reference: Column) -> Column:
+    """Jensen-Shannon distance (0 to 1) of ``array<struct<word, p>>`` from a map of shares.
 
-    What the text lacks adds ln 2 times its share of the reference.
+    What the text lacks adds ln 2 times its share of the reference. Null without a reference.
     """
-    known = F.create_map(*[F.lit(x) for pair in reference.items() for x in pair])
-
     def part(x: Column, m: Column) -> Column:
         return F.when(x > 0, x * F.ln(2 * x / m)).otherwise(0.0)
 
     def add(total: Column, e: Column) -> Column:
-        p, q = e["p"], F.coalesce(F.element_at(known, e["word"]), F.lit(0.0))
+        p, q = e["p"], F.coalesce(F.try_element_at(reference, e["word"]), F.lit(0.0))
         return F.struct(
             (total["js"] + part(p, p + q) + part(q, p + q)).alias("js"),
             (total["seen"] + q).alias("seen"),
@@ -114,60 +122,67 @@ def _distance(shares: Column, reference: dict[str, float]) -> Column:
     doubled = F.aggregate(
         shares, start, add, lambda t: t["js"] + F.lit(0.6931471805599453) * (1 - t["seen"])
     )
-    return F.sqrt(F.greatest(doubled, F.lit(0.0)) / (2 * 0.6931471805599453))
+    found = F.sqrt(F.greatest(doubled, F.lit(0.0)) / (2 * 0.6931471805599453))
+    return F.when(reference.isNotNull(), found)
 
 
 def _failed_base() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def _known_language() -> Column:
-    return F.col("lang").isin(*COMMON_WORDS) & ~_failed_base()
+def char_references(counts: DataFrame) -> DataFrame:
+    """``lang, chars_of``: per language the median share of each character class, over its documents.
 
-
-def char_references(counts: DataFrame) -> dict[str, dict[str, float]]:
-    """Per language the median share of each character class, over all its documents.
-
-    Medians, so that junk in under half of the documents moves nothing. Four
-    rows of four numbers come to the driver, whatever the input.
+    Medians, so that junk in under half of the documents moves nothing. Of all
+    documents that pass the base rules; languages with few have no reference.
     """
-    medians = (
-        counts.filter(_known_language() & (F.col("word_chars") >= MIN_CHARS))
-        .groupBy("lang")
-        .agg(*[F.percentile_approx(F.col(c) / F.col("chars"), 0.5, 1000).alias(c) for c in CLASSES])
+    medians = counts.filter(~_failed_base()).groupBy("lang").agg(
+        *[F.percentile_approx(F.col(c) / F.col("chars"), 0.5, 1000).alias(c) for c in CLASSES],
+        F.count("*").alias("docs"),
     )
-    found = {}
-    for row in sorted(medians.collect(), key=lambda r: r["lang"]):
-        total = sum(row[c] for c in CLASSES)
-        found[row["lang"]] = {c: row[c] / total for c in CLASSES}
-    return found
+    total = F.greatest(sum((F.col(c) for c in CLASSES), F.lit(0.0)), F.lit(1e-9))
+    entries = [x for c in CLASSES for x in (F.lit(c), F.col(c) / total)]
+    return medians.filter(F.col("docs") >= MIN_DOCS).select("lang", F.create_map(*entries).alias("chars_of"))
 
 
-def word_references(counts: DataFrame) -> dict[str, dict[str, float]]:
-    """Per language the share of each common word in all words, the rest under ``""``.
+def word_references(counts: DataFrame, common: DataFrame) -> DataFrame:
+    """``lang, words_of``: per language the share of each of its common words in all, the rest under ``""``.
 
-    Sums over all documents of the language that keep to its characters. At
-    most 80 numbers per language come to the driver, whatever the input.
+    Sums over all documents of the language that pass the base rules and keep
+    to its characters.
     """
-    own = counts.filter(
-        _known_language() & (F.col("n_words") >= MIN_WORDS)
-        & (F.col("char_distance") <= MAX_CHAR_DISTANCE)
+    own = counts.filter(~_failed_base() & (F.col("char_distance") <= F.col("char_limit")))
+    totals = own.groupBy("lang").agg(F.sum("n_words").alias("total"), F.count("*").alias("docs"))
+    by_word = (
+        own.select("lang", F.inline("present")).groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        .join(common, ["lang", "word"]).join(totals.filter(F.col("docs") >= MIN_DOCS), "lang")
+    )
+    shares = by_word.groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("p")))).alias("known")
     )
-    totals = {r["lang"]: r["n"] for r in own.groupBy("lang").agg(F.sum("n_words").alias("n")).collect()}
-    found: dict[str, dict[str, float]] = {lang: {} for lang in sorted(totals)}
-    by_word = own.select("lang", F.inline("present")).groupBy("lang", "word")
-    for row in by_word.agg(F.sum("n").alias("n")).orderBy("word").collect():
-        found[row["lang"]][row["word"]] = row["n"] / totals[row["lang"]]
-    for shares in found.values():
-        shares[""] = 1 - sum(shares.values())
-    return found
+    rest = F.greatest(1 - F.aggregate("known", F.lit(0.0), lambda a, e: a + e["p"]), F.lit(0.0))
+    entries = F.concat(F.array(F.struct(F.lit("").alias("word"), rest.alias("p"))), F.col("known"))
+    return shares.select("lang", F.map_from_entries(entries).alias("words_of"))
+
+
+def _length_class() -> Column:
+    return sum(((F.col("n_words") >= n).cast("int") for n in LENGTHS), F.lit(0))
+
 
+def _limits(counts: DataFrame, distance: str, limit: str) -> DataFrame:
+    """``lang, length_class``, and the limit that a reference's own distances set.
 
-def _nearest(shares: str, known: dict[str, dict[str, float]]) -> Column:
-    """Distance from the nearest reference; 0 if there is none."""
-    if not known:
-        return F.lit(0.0)
-    return F.array_min(F.array(*[_distance(F.col(shares), r) for r in known.values()]))
+    The upper quartile and ``FENCE`` quartile ranges: where up to a quarter of the
+    documents are junk, the rest decide. Lengths with few documents have none.
+    """
+    own = counts.filter(~_failed_base() & F.col(distance).isNotNull())
+    quartiles = own.groupBy("lang", "length_class").agg(
+        F.percentile_approx(distance, [0.25, 0.75], 1000).alias("q"), F.count("*").alias("docs")
+    )
+    low, high = F.col("q")[0], F.col("q")[1]
+    return quartiles.filter(F.col("docs") >= MIN_DOCS).select(
+        "lang", "length_class", (high + FENCE * (high - low)).alias(limit)
+    )
 
 
 def judged(docs: DataFrame, *carried: str) -> DataFrame:
@@ -175,40 +190,61 @@ def judged(docs: DataFrame, *carried: str) -> DataFrame:
 
     A text fails the base rules with under 10 words, or with over 20 % of its
     words in repeated 5-word windows. Of the others it is rejected if its
-    character classes (from ``MIN_CHARS`` characters on) or its common words
-    (from ``MIN_WORDS`` words on) are further from *every* language reference
-    than the limits; a language is never taken from the row that is judged.
-    References are medians and sums over all documents of a language, so a
-    language of which most is junk would set its own standard. Without any reference (an empty table, no
-    known language) the base rules decide alone.
-
-    Null texts are empty and fail; a null or unknown ``lang`` only keeps a row
-    out of the references. Repeated rows are judged alike. Reads ``doc_id``,
-    ``text`` and ``lang`` only, besides columns to be ``carried`` along; an empty
-    table gives an empty result.
-
-    One scan with built-in functions; short passes over its counts.
+    character classes or its common words are further from the reference of
+    its language than that reference's limit for texts of its length. Each
+    language that enough documents are in has references, taken from the
+    documents: medians of class shares, and sums over its most frequent words.
+    A limit follows from the distances of the language's own documents, so that
+    it suits any language and length. A language of which most is junk would
+    set its own standard.
+
+    Where there is no reference or limit (a null, unknown or rare ``lang``, an
+    empty table) the base rules decide alone. Null texts are empty and fail.
+    Repeated rows are judged alike. Reads ``doc_id``, ``text`` and ``lang`` only,
+    besides columns to be ``carried`` along; an empty table gives an empty result.
+
+    Two scans with built-in functions; short passes over the counts. References
+    and limits, a few rows per language, are joined, broadcast or not as their
+    size asks; the driver gets the common words.
     """
-    counts = stored(measured(docs, *carried), "counts").withColumn(
-        "chars", F.greatest(sum((F.col(c) for c in CLASSES), F.lit(0)), F.lit(1))
+    common = stored(common_words(docs), "common")
+    listed = sorted({r["word"] for r in common.select("word").distinct().collect()})
+    counts = stored(measured(docs, listed, *carried), "counts").withColumns(
+        {
+            "chars": F.greatest(sum((F.col(c) for c in CLASSES), F.lit(0)), F.lit(1)),
+            "length_class": _length_class(),
+        }
     )
-    total = F.greatest("n_words", F.lit(1))
     of_chars = F.array(
         *[F.struct(F.lit(c).alias("word"), (F.col(c) / F.col("chars")).alias("p")) for c in CLASSES]
     )
-    listed = F.transform(
-        "present", lambda e: F.struct(e["word"].alias("word"), (e["n"] / F.col("total")).alias("p"))
+    by_chars = counts.join(char_references(counts), "lang", "left").withColumn(
+        "char_distance", _distance(of_chars, F.col("chars_of"))
+    ).drop("chars_of")
+    by_chars = stored(by_chars, "distances")
+    key = ["lang", "length_class"]
+    limited = by_chars.join(_limits(by_chars, "char_distance", "char_limit"), key, "left")
+
+    # Words that are common in another language only count as any other.
+    total = F.greatest("n_words", F.lit(1))
+    own_words = F.filter("present", lambda e: F.map_contains_key(F.col("words_of"), e["word"]))
+    listed_shares = F.transform(
+        "own", lambda e: F.struct(e["word"].alias("word"), (e["n"] / F.col("total")).alias("p"))
+    )
+    rest = 1 - F.aggregate("own", F.lit(0.0), lambda a, e: a + e["n"] / F.col("total"))
+    of_words = F.concat(listed_shares, F.array(F.struct(F.lit("").alias("word"), rest.alias("p"))))
+    by_words = (
+        limited.join(word_references(limited, common), "lang", "left")
+        .withColumns({"own": own_words, "total": total})
+        .withColumn("word_distance", F.when(F.col("words_of").isNotNull(), _distance(of_words, F.col("words_of"))))
+        .drop("words_of", "own", "total", "present")
     )
-    rest = 1 - F.aggregate("present", F.lit(0.0), lambda a, e: a + e["n"] / F.col("total"))
-    of_words = F.concat(listed, F.array(F.struct(F.lit("").alias("word"), rest.alias("p"))))
-    shaped = counts.withColumns({"of_chars": of_chars, "total": total}).withColumn("of_words", of_words)
-    by_chars = shaped.withColumn("char_distance", _nearest("of_chars", char_references(counts)))
-    by_words = by_chars.withColumn("word_distance", _nearest("of_words", word_references(by_chars)))
-    odd = (
-        ((F.col("word_chars") >= MIN_CHARS) & (F.col("char_distance") > MAX_CHAR_DISTANCE))
-        | ((F.col("n_words") >= MIN_WORDS) & (F.col("word_distance") > MAX_WORD_DISTANCE))
+    by_words = stored(by_words, "distances")
+    all_limits = by_words.join(_limits(by_words, "word_distance", "word_limit"), key, "left")
+    odd = F.coalesce(F.col("char_distance") > F.col("char_limit"), F.lit(False)) | F.coalesce(
+        F.col("word_distance") > F.col("word_limit"), F.lit(False)
     )
-    return by_words.select(
+    return all_limits.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         _failed_base().alias("base_failed"), (~_failed_base() & ~odd).alias("kept"),
         "char_distance", "word_distance", *carried,
