@@ -19,6 +19,9 @@ CLASSES = {
 COMMON = 40
 # Documents that a reference, and a limit for one length of text, must rest on at least.
 MIN_DOCS = 30
+_REST = 0  # stands for all words that are not common
+# References and limits of up to so many rows, a few per language, are broadcast.
+_BROADCAST_ROWS = 10_000
 # Lengths of texts, in words, from each number on; limits are set for each.
 LENGTHS = (10, 20, 50, 100, 300)
 # A limit lies so many quartile ranges above the upper quartile of a reference's own distances.
@@ -65,12 +68,13 @@ _PRESENT = """
 def common_words(docs: DataFrame) -> DataFrame:
     """``lang, word``: the ``COMMON`` most frequent words of each language with enough documents.
 
-    Words of all documents are counted in map tasks first; ties go by the word.
+    A word goes by its 64-bit hash, which its text's windows need too. Words of all
+    documents are counted in map tasks first; ties go by the hash.
     """
     counted = (
         docs.filter("lang IS NOT NULL")
-        .select("lang", F.explode(F.split(text_or_empty(), SPACES)).alias("word"))
-        .filter("word != ''").groupBy("lang", "word").agg(F.count("*").alias("n"))
+        .select("lang", F.explode(F.split(text_or_empty(), SPACES)).alias("w")).filter("w != ''")
+        .select("lang", F.xxhash64("w").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
     )
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     spoken = docs.groupBy("lang").agg(F.count("*").alias("docs")).filter(F.col("docs") >= MIN_DOCS)
@@ -80,15 +84,15 @@ def common_words(docs: DataFrame) -> DataFrame:
     )
 
 
-def measured(docs: DataFrame, common: list[str], *carried: str) -> DataFrame:
+def measured(docs: DataFrame, common: list[int], *carried: str) -> DataFrame:
     """Counts per row of ``docs``: the five of the rules, classes, common words."""
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(WORD))
-    listed = F.filter("w", lambda w: w.isin(common)) if common else F.array().cast("array<string>")
+    listed = F.filter("hashes", lambda h: h.isin(common)) if common else F.array().cast("array<long>")
     return (
         docs.select("doc_id", "lang", text_or_empty().alias("t"), *carried)
         .withColumns({"w": words(F.col("t")), "lines": lines})
-        .withColumns({"hashes": F.transform("w", lambda w: F.xxhash64(w)), "common": listed})
-        .withColumn("grams", F.expr(_GRAMS))
+        .withColumn("hashes", F.transform("w", lambda w: F.xxhash64(w)))
+        .withColumns({"common": listed, "grams": F.expr(_GRAMS)})
         .withColumn("in_order", F.expr(_WINDOWS_IN_ORDER))
         .select(
             "doc_id", "lang", *carried,
@@ -146,7 +150,7 @@ def char_references(counts: DataFrame) -> DataFrame:
 
 
 def word_references(counts: DataFrame, common: DataFrame) -> DataFrame:
-    """``lang, words_of``: per language the share of each of its common words in all, the rest under ``""``.
+    """``lang, words_of``: per language the share of each of its common words in all, the rest under ``_REST``.
 
     Sums over all documents of the language that pass the base rules and keep
     to its characters.
@@ -161,7 +165,7 @@ def word_references(counts: DataFrame, common: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("p")))).alias("known")
     )
     rest = F.greatest(1 - F.aggregate("known", F.lit(0.0), lambda a, e: a + e["p"]), F.lit(0.0))
-    entries = F.concat(F.array(F.struct(F.lit("").alias("word"), rest.alias("p"))), F.col("known"))
+    entries = F.concat(F.array(F.struct(F.lit(_REST).alias("word"), rest.alias("p"))), F.col("known"))
     return shares.select("lang", F.map_from_entries(entries).alias("words_of"))
 
 
@@ -185,6 +189,19 @@ def _limits(counts: DataFrame, distance: str, limit: str) -> DataFrame:
     )
 
 
+def _looked_up(rows: DataFrame, small: DataFrame, key: list[str]) -> DataFrame:
+    """``rows`` with what ``small`` has for their language, if anything.
+
+    ``small`` is stored and counted first: the few rows of ordinary tables are
+    broadcast, so that a language with most documents meets in no task; of a table
+    with very many languages none has most of them, and the join is Spark's choice.
+    """
+    small = stored(small, "language")
+    if small.count() <= _BROADCAST_ROWS:
+        small = F.broadcast(small)
+    return rows.join(small, key, "left")
+
+
 def judged(docs: DataFrame, *carried: str) -> DataFrame:
     """The counts, ``base_failed``, ``kept`` and the two distances, a row per row of ``docs``.
 
@@ -204,8 +221,8 @@ def judged(docs: DataFrame, *carried: str) -> DataFrame:
     besides columns to be ``carried`` along; an empty table gives an empty result.
 
     Two scans with built-in functions; short passes over the counts. References
-    and limits, a few rows per language, are joined, broadcast or not as their
-    size asks; the driver gets the common words.
+    and limits, a few rows per language, are looked up; the driver gets the
+    hashes of the common words.
     """
     common = stored(common_words(docs), "common")
     listed = sorted({r["word"] for r in common.select("word").distinct().collect()})
@@ -218,12 +235,11 @@ def judged(docs: DataFrame, *carried: str) -> DataFrame:
     of_chars = F.array(
         *[F.struct(F.lit(c).alias("word"), (F.col(c) / F.col("chars")).alias("p")) for c in CLASSES]
     )
-    by_chars = counts.join(char_references(counts), "lang", "left").withColumn(
+    by_chars = _looked_up(counts, char_references(counts), ["lang"]).withColumn(
         "char_distance", _distance(of_chars, F.col("chars_of"))
     ).drop("chars_of")
-    by_chars = stored(by_chars, "distances")
     key = ["lang", "length_class"]
-    limited = by_chars.join(_limits(by_chars, "char_distance", "char_limit"), key, "left")
+    limited = _looked_up(by_chars, _limits(by_chars, "char_distance", "char_limit"), key)
 
     # Words that are common in another language only count as any other.
     total = F.greatest("n_words", F.lit(1))
@@ -232,15 +248,15 @@ def judged(docs: DataFrame, *carried: str) -> DataFrame:
         "own", lambda e: F.struct(e["word"].alias("word"), (e["n"] / F.col("total")).alias("p"))
     )
     rest = 1 - F.aggregate("own", F.lit(0.0), lambda a, e: a + e["n"] / F.col("total"))
-    of_words = F.concat(listed_shares, F.array(F.struct(F.lit("").alias("word"), rest.alias("p"))))
+    of_words = F.concat(listed_shares, F.array(F.struct(F.lit(_REST).alias("word"), rest.alias("p"))))
     by_words = (
-        limited.join(word_references(limited, common), "lang", "left")
+        _looked_up(limited, word_references(limited, common), ["lang"])
         .withColumns({"own": own_words, "total": total})
         .withColumn("word_distance", F.when(F.col("words_of").isNotNull(), _distance(of_words, F.col("words_of"))))
         .drop("words_of", "own", "total", "present")
     )
     by_words = stored(by_words, "distances")
-    all_limits = by_words.join(_limits(by_words, "word_distance", "word_limit"), key, "left")
+    all_limits = _looked_up(by_words, _limits(by_words, "word_distance", "word_limit"), key)
     odd = F.coalesce(F.col("char_distance") > F.col("char_limit"), F.lit(False)) | F.coalesce(
         F.col("word_distance") > F.col("word_limit"), F.lit(False)
     )

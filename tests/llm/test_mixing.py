@@ -1,13 +1,11 @@
 from __future__ import annotations
 
 import math
-import struct
 from collections import Counter, defaultdict
 
 import pytest
-import xxhash
 from odd_documents import nothing, odd, plain  # noqa: F401
-from plain_operators import words
+from plain_operators import hashed, words
 
 from flightmarts.llm import mixing
 
@@ -26,16 +24,6 @@ def reshared(sizes, weights, cap=3.0):
         capped |= over
 
 
-def hashed(*parts):
-    """Spark's hash of longs and texts, nulls left out."""
-    h = 42
-    for part in parts:
-        if part is not None:
-            data = part.encode() if isinstance(part, str) else struct.pack("<q", part)
-            h = xxhash.xxh64(data, seed=h).intdigest()
-    return h - (1 << 64) if h >> 63 else h
-
-
 def plain_mix(rows):
     """``(id, size, source size, target, taken, copies)`` of ``(id, text, source)``, slot by slot."""
     names = sorted({s for *_, s in rows if s is not None}) + [None] * any(s is None for *_, s in rows)

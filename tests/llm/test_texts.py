@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 from odd_documents import nothing, odd, plain  # noqa: F401
-from plain_operators import base_spans, quality_counts, words
+from plain_operators import base_spans, hashed, quality_counts, words
 
 from flightmarts.llm import pii, piece_codec, quality_classifier, quality_rules, token_counts
 
@@ -50,7 +50,7 @@ def plain_verdicts(plain):
     spoken = Counter(lang for _, _, lang, _ in plain if lang is not None)
     spoken = {lang for lang, n in spoken.items() if n >= least}
     tallies = {lang: Counter(w for _, t, own, _ in plain if own == lang for w in words(t)) for lang in spoken}
-    common = {lang: set(sorted(c, key=lambda w: (-c[w], w))[: quality_rules.COMMON]) for lang, c in tallies.items()}
+    common = {lang: set(sorted(c, key=lambda w: (-c[w], hashed(w)))[: quality_rules.COMMON]) for lang, c in tallies.items()}
     rows = []
     for i, text, lang, _ in plain:
         classes = Counter()
