@@ -38,9 +38,14 @@ def flown_delay() -> Column:
     return F.when(is_flown(), F.col("delay_minutes"))
 
 
+def on_a_day(flights: DataFrame) -> DataFrame:
+    """Flights without a scheduled time belong to no day and so to no period."""
+    return flights.filter(F.col(DAY).isNotNull())
+
+
 def delay_tally(fact: DataFrame, key: str, at: Column) -> DataFrame:
     """Flights counted per cell *and delay*; a cell is ``at`` (named ``key``), day, direction, domestic."""
-    return fact.groupBy(
+    return on_a_day(fact).groupBy(
         at.alias(key), DAY, "flight_type", "is_domestic", flown_delay().alias("delay")
     ).agg(
         F.count_if(is_active()).alias("total_flights"),
@@ -64,7 +69,7 @@ def airline_delays(fact: DataFrame) -> DataFrame:
 def baggage(fact: DataFrame) -> DataFrame:
     """Arrivals with a known carousel, per cell, handling minutes and delay."""
     minutes = F.col("baggage_handling_minutes")
-    arrivals = fact.filter((F.col("flight_type") == ARRIVAL) & F.col("baggage_claim_unit").isNotNull())
+    arrivals = on_a_day(fact).filter((F.col("flight_type") == ARRIVAL) & F.col("baggage_claim_unit").isNotNull())
     return (
         at_listed_airports(arrivals, "destination_airport_iata")
         .withColumnRenamed("destination_airport_iata", "airport_iata")
@@ -95,7 +100,7 @@ def new_airlines(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 def _airlines_in(flights: DataFrame, cell: list[str], numbers: DataFrame) -> DataFrame:
     """Airlines of each cell as bits, ``_BITS`` to a ``word``; each airline of a cell is looked up once."""
-    present = flights.select(*cell, "airline_key").distinct().join(numbers, "airline_key")
+    present = on_a_day(flights).select(*cell, "airline_key").distinct().join(numbers, "airline_key")
     bit = F.expr(f"shiftleft(1L, CAST(number % {_BITS} AS INT))")
     return present.groupBy(*cell, F.floor(F.col("number") / _BITS).alias("word")).agg(
         F.bit_or(bit).alias("bits")

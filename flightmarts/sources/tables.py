@@ -88,9 +88,7 @@ class ParquetStore:
         if name == KEYED_FLIGHTS:
             folders, order = [_DAY], [_DAY, "flight_type"]
         elif name in DAILY_STATES:
-            # What belongs to no day is in no period.
             folders, order = [_DAY], [_DAY, *model.columns[:1]]
-            model = model.filter(F.col(_DAY).isNotNull())
         else:
             folders = _MART_PARTITIONS
             model = with_folders(model)
