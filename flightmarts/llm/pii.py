@@ -387,8 +387,8 @@ def train(docs: DataFrame) -> Model:
     in two folds. A threshold is the least score at which held-out candidates of its kind
     reach the wanted precision; without any, nothing of the kind is chosen.
     """
-    seeds = [(text, secret) for secret, texts in SEEDS.items() for text in texts]
-    given = docs.sparkSession.createDataFrame(seeds, "text string, seed boolean")
+    seeds = ", ".join(f"('{text}', {secret})" for secret, texts in SEEDS.items() for text in texts)
+    given = docs.sparkSession.sql(f"SELECT * FROM VALUES {seeds} AS seeds(text, seed)")
     df = with_candidates(
         docs.select("doc_id", "text", F.lit(None).cast("boolean").alias("seed")).unionByName(
             given.withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType))
