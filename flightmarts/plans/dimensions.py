@@ -113,13 +113,13 @@ def holiday_dimension(
     year = F.col("year")
     years = spark.range(int(first_day[:4]), int(last_day[:4]) + 1, 1, 1).select(
         F.col("id").cast("int").alias("year")
-    )
+    ).withColumn("easter", easter_sunday(year))
 
     def on(month: int, day: int) -> Column:
         return F.make_date(year, F.lit(month), F.lit(day))
 
     dates = {name: on(*day) for name, day in _FIXED_HOLIDAYS.items()}
-    dates |= {name: F.date_add(easter_sunday(year), n) for name, n in _FROM_EASTER.items()}
+    dates |= {name: F.date_add("easter", n) for name, n in _FROM_EASTER.items()}
     # The Saturday on or after a day is the one after the day before.
     dates |= {name: F.next_day(F.date_sub(on(*day), 1), "Sat") for name, day in _SATURDAYS.items()}
     rows = F.array(
