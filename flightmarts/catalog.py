@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightmarts.constants import RAW_ARRIVALS, RAW_DEPARTURES
-from flightmarts.plans import explore, history, periods, serving, star_joins
+from flightmarts.plans import explore, history, periods, serving, star_joins, surroundings
 from flightmarts.plans.dimensions import airport_dimension, holiday_dimension
 from flightmarts.plans.marts import in_order
 from flightmarts.plans.quality import quality_report
 from flightmarts.plans.warehouse import KEYED_FLIGHTS, Models
 from flightmarts.session import scratch_path, use_utc
 from flightmarts.sources import bronze, drift, landing
+from flightmarts.sources.event_weather import memberships, observations
 from flightmarts.sources.lineitem_flights import payload_documents, raw_flights
 from flightmarts.sources.tables import DAILY_STATES, ParquetStore
 from flightmarts.streaming import ingest
@@ -239,6 +240,32 @@ def airline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.punctuality_by_period(raw, history.name_periods(history.names_per_load(raw)))
 
 
+def _weather(question: Callable[..., DataFrame], **options: object) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fact = lazy_models(spark, sf_dir)["fct_flights"]
+        return question(fact, observations(spark, sf_dir), **options)
+
+    return query
+
+
+def alliance_punctuality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    built = models_on_stored_flights(spark, sf_dir)
+    return surroundings.alliance_punctuality(
+        built["fct_flights"], built["dim_airline"], memberships(spark, sf_dir)
+    )
+
+
+def _local(question: Callable[[DataFrame], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return question(lazy_models(spark, sf_dir)["fct_flights"])
+
+    return query
+
+
+def flights_by_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.flights_by_load_date(raw_flights(use_utc(spark), sf_dir))
+
+
 def _from_payload(direction: str) -> Query:
     """Payload text → parsed → one raw row per flight."""
 
@@ -394,6 +421,13 @@ def queries() -> dict[str, Query]:
             lambda f: drift.typed_flights(f, landing.ARRIVALS).drop("payload", "_dlt_id")
         ),
         "airline_history": airline_history,
+        "flights_by_load_date": flights_by_load_date,
+        # Beside weather, alliances and the local clock
+        "weather_punctuality": _weather(surroundings.weather_punctuality),
+        "weather_strong_wind": _weather(surroundings.windy_hours, limit=20.0),
+        "alliance_punctuality": alliance_punctuality,
+        "local_hourly_traffic": _local(surroundings.local_hourly_traffic),
+        "local_night_movements": _local(surroundings.night_movements),
         # Quality checks
         "quality_not_null": _quality("not_null"),
         "quality_unique": _quality("unique"),

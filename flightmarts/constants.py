@@ -45,6 +45,10 @@ MONTHS = [
     "July", "August", "September", "October", "November", "December",
 ]
 
+# Where the covered airports lie, and the first and last hour of the night there.
+LOCAL_ZONE = "Europe/Stockholm"
+NIGHT_HOURS = (22, 5)
+
 # Raw table names.
 RAW_ARRIVALS = "flights_arrivals_raw"
 RAW_DEPARTURES = "flights_departures_raw"

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flightmarts.constants import RAW_ARRIVALS, RAW_DEPARTURES
+from flightmarts.constants import ARRIVAL, DEPARTURE, RAW_ARRIVALS, RAW_DEPARTURES
 from flightmarts.functions import percent, round2
 from flightmarts.plans.staging import stage_arrivals, stage_departures
 from flightmarts.plans.tallies import is_active
@@ -83,3 +83,26 @@ def punctuality_by_period(raw: dict[str, DataFrame], periods: DataFrame) -> Data
             percent(F.sum("cancelled"), F.sum("total")).alias("cancelled_percentage"),
         )
     )
+
+
+def flights_by_load_date(raw: dict[str, DataFrame]) -> DataFrame:
+    """Latest versions of flights by the day of the load that brought them, and direction.
+
+    ``data_load_date`` is the day of the load id, which counts seconds; null for
+    ids that are no number. ``ahead_flights`` were still to come when loaded.
+    """
+    loaded = F.timestamp_seconds(F.col("_dlt_load_id").try_cast("double"))
+    staged = [
+        stage(raw[table]).select(
+            F.date_trunc("day", loaded).alias("data_load_date"), F.lit(direction).alias("flight_type"),
+            (F.col(f"scheduled_{direction}_utc") > loaded).alias("ahead"),
+            F.col(f"actual_{direction}_utc").isNotNull().alias("flown"),
+        )
+        for table, direction, stage in (
+            (RAW_ARRIVALS, ARRIVAL, stage_arrivals), (RAW_DEPARTURES, DEPARTURE, stage_departures),
+        )
+    ]
+    return reduce(DataFrame.unionAll, staged).groupBy("data_load_date", "flight_type").agg(
+        F.count("*").alias("flights"), F.count_if("flown").alias("completed_flights"),
+        F.count_if("ahead").alias("ahead_flights"),
+    )

@@ -782,6 +782,81 @@ FROM flights f JOIN numbered n ON n.airline = f.airline AND f.load_id >= n.valid
 GROUP BY ALL"""
 
 
+# Beside weather, alliances and the local clock.
+
+_FIGURES = """count(*) FILTER (WHERE NOT deleted) AS total_flights,
+  count(*) FILTER (WHERE cancelled) AS cancelled_flights, count(late) AS completed_flights,
+  round(avg(late), 2) AS avg_delay_minutes,
+  round(CASE WHEN count(late) > 0 THEN
+    count(*) FILTER (WHERE flown AND punctual) * 100.0::DOUBLE / count(late) END, 2) AS on_time_percentage"""
+
+_WEATHER = f"""
+observed AS (
+  SELECT {LISTED.replace('(', '[').replace(')', ']')}[user_id % 10 + 1] AS place,
+    date_trunc('minute', ts) + INTERVAL 731 DAY AS seen_at, event_type AS sky, value AS wind
+  FROM events
+  QUALIFY row_number() OVER (PARTITION BY place, seen_at ORDER BY sky DESC NULLS LAST, wind DESC NULLS LAST) = 1
+),
+skies AS (
+  SELECT f.*, CASE WHEN f.sched - o.seen_at <= INTERVAL 3 HOUR THEN o.sky END AS sky,
+    CASE WHEN f.sched - o.seen_at <= INTERVAL 3 HOUR THEN o.wind END AS wind
+  FROM flights f ASOF LEFT JOIN observed o ON o.place = f.home AND f.sched >= o.seen_at
+  WHERE f.home IN {LISTED} AND f.sched IS NOT NULL
+)"""
+
+_MEMBERS = """
+memberships AS (
+  SELECT 'Group ' || CAST(1 + o_orderkey % 5 AS VARCHAR) AS alliance,
+    ['SK','DY','FR','LH','AY','KL','BA','W6','FI','EW','D8'][o_custkey % 11 + 1] AS member,
+    DATE '2025-12-20' + CAST(o_custkey % 80 AS INTEGER) AS since,
+    CASE WHEN o_orderkey % 97 <> 0 THEN
+      DATE '2025-12-20' + CAST(o_custkey % 80 AS INTEGER) + CAST(o_orderkey % 4 AS INTEGER) END AS before
+  FROM orders
+),
+days AS (
+  SELECT DISTINCT alliance, member, CAST(fday AS DATE) AS d FROM memberships
+  JOIN (SELECT DISTINCT fday FROM flights) ON fday >= since AND (before IS NULL OR fday < before)
+)"""
+
+# Summer time from the last Sunday of March to that of October, at 01:00 UTC.
+_LOCAL = f"""
+clocks AS (
+  SELECT *, make_timestamp(year(sched), 3, 31, 1, 0, 0)
+      - to_days(CAST(isodow(make_date(year(sched), 3, 31)) % 7 AS INTEGER)) AS spring,
+    make_timestamp(year(sched), 10, 31, 1, 0, 0)
+      - to_days(CAST(isodow(make_date(year(sched), 10, 31)) % 7 AS INTEGER)) AS autumn
+  FROM flights WHERE home IN {LISTED}
+),
+local_flights AS (
+  SELECT *, CASE WHEN sched >= spring AND sched < autumn THEN 120 ELSE 60 END AS ahead,
+    CASE WHEN actual >= spring AND actual < autumn THEN 120 ELSE 60 END AS moved_ahead,
+    sched + to_minutes(ahead) AS wall, actual + to_minutes(moved_ahead) AS moved
+  FROM clocks
+)"""
+
+SURROUNDED = {
+    "weather_punctuality": (_WEATHER, f"""SELECT home AS airport_iata,
+  coalesce(sky, 'unknown') AS condition, {_FIGURES} FROM skies GROUP BY 1, 2"""),
+    "weather_strong_wind": (_WEATHER, f"""SELECT home AS airport_iata,
+  CASE WHEN wind >= 20 THEN 'strong' WHEN wind < 20 THEN 'light' ELSE 'unknown' END AS wind_class,
+  {_FIGURES} FROM skies GROUP BY 1, 2"""),
+    "alliance_punctuality": (_MEMBERS, f"""SELECT alliance,
+  CAST(date_trunc('month', fday) AS TIMESTAMP) AS flight_month, count(DISTINCT airline) AS airlines, {_FIGURES}
+FROM flights JOIN days ON member = airline AND d = CAST(fday AS DATE) GROUP BY 1, 2"""),
+    "local_hourly_traffic": (_LOCAL, f"""SELECT home AS airport_iata,
+  CAST(date_trunc('day', wall) AS TIMESTAMP) AS local_date, CAST(hour(wall) AS BIGINT) AS local_hour,
+  CAST(CASE WHEN sched >= autumn AND sched < autumn + INTERVAL 1 HOUR THEN 2 ELSE 1 END AS BIGINT) AS hour_pass,
+  CAST(ahead AS BIGINT) AS utc_offset_minutes, kind AS flight_type, {_FIGURES}
+FROM local_flights WHERE sched IS NOT NULL GROUP BY ALL"""),
+    "local_night_movements": (_LOCAL, """SELECT home AS airport_iata,
+  CAST(date_trunc('month', moved) AS TIMESTAMP) AS local_month, count(*) AS movements,
+  count(*) FILTER (WHERE hour(moved) >= 22 OR hour(moved) <= 5) AS night_movements,
+  round(count(*) FILTER (WHERE hour(moved) >= 22 OR hour(moved) <= 5) * 100.0::DOUBLE / count(*), 2)
+    AS night_percentage
+FROM local_flights WHERE flown AND NOT deleted AND NOT cancelled GROUP BY 1, 2"""),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     named = f"{LEGS},\n{_AIRPORT_NAMES}"
     twins = {
@@ -840,5 +915,12 @@ GROUP BY 1, 2, 3"""),
   CAST(1 AS BIGINT) AS loads, count(*) AS flights FROM shaped GROUP BY load_id""")
     twins["drift_typed_arrivals"] = with_(f"{LEGS},{_DRIFT}", _DRIFT_TYPED)
     twins["airline_history"] = with_(f"{FLIGHTS},{_HISTORY}", _HISTORY_BODY)
+    twins["flights_by_load_date"] = with_(FLIGHTS, """SELECT
+  CAST(date_trunc('day', TIMESTAMP '1970-01-01' + to_seconds(CAST(load_id AS BIGINT))) AS TIMESTAMP) AS data_load_date,
+  kind AS flight_type, count(*) AS flights, count(*) FILTER (WHERE flown) AS completed_flights,
+  count(*) FILTER (WHERE sched > TIMESTAMP '1970-01-01' + to_seconds(CAST(load_id AS BIGINT))) AS ahead_flights
+FROM flights GROUP BY 1, 2""")
+    for name, (ctes, body) in SURROUNDED.items():
+        twins[name] = with_(f"{FLIGHTS},{ctes}", body)
     twins.update(_quality_queries())
     return twins

@@ -12,7 +12,7 @@ from conftest import SF_DIR
 from flightmarts import catalog
 from oracle import sql as twins
 
-TABLES = ["lineitem"]
+TABLES = ["lineitem", "events", "orders"]
 NAMES = sorted(catalog.queries())
 
 
