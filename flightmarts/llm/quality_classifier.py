@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightmarts.llm.common import small_batches, table, text_or_empty
+from flightmarts.llm.common import small_batches, stored, table, text_or_empty
 from flightmarts.llm.hashing import Prefixes, mix, word_bounds
 
 BITS = 18  # buckets of hashed n-grams: 2^18
@@ -19,6 +19,8 @@ DIMENSIONS, RATE = 12, 0.8
 STEPS = 24_000  # of descent at least, in whole passes over the examples
 # Labelled documents that a model is fitted on at most, the first by a hash of their id.
 TRAIN_DOCS = 4_000
+# Distinct buckets of these documents together at most, 400 MB on the driver; further ones are left out.
+TRAIN_BUCKETS = 50_000_000
 THRESHOLD = 0.3
 FOLDS = 5
 _SAME, _AGAIN, _WORD = 0, 1, 2  # buckets of their own
@@ -114,12 +116,15 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_examples(
-    docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS
+    docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, buckets: int = TRAIN_BUCKETS
 ) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """Counted buckets of at most ``limit`` labelled documents outside the held-out fold.
 
-    The one thing brought to the driver, of a size the limit bounds: a document
-    has no more distinct buckets than the model. The labels' ids are broadcast.
+    The one thing brought to the driver, of a size that both limits bound: the
+    first documents by a hash of their id that have no more than ``buckets``
+    distinct buckets together. The labels' ids are broadcast. Of rows that share a
+    chosen id one is learnt from, the first by a hash of the text; map tasks find
+    it, so however many there are, one per task is shuffled.
     """
     chosen = (
         labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -142,11 +147,18 @@ def training_examples(
 
     small_batches(docs.sparkSession)
     schema = T.StructType([docs.schema["doc_id"]]).add("label", "integer")
-    rows = (
-        texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-        .mapInArrow(run, schema.add("buckets", "binary").add("counts", "binary"))
-        .toArrow().to_pylist()
+    one = F.min(F.struct(F.xxhash64("text"), "text"))
+    examples = stored(
+        texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(one.alias("one"))
+        .select("doc_id", "label", "one.text")
+        .mapInArrow(run, schema.add("buckets", "binary").add("counts", "binary")),
+        "examples",
     )
+    # A row of two numbers per chosen document.
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id")
+    sizes = examples.select("doc_id", (F.octet_length("buckets") / 4).alias("n"))
+    first = sizes.withColumn("sum", F.sum("n").over(so_far)).filter(F.col("sum") <= buckets).select("doc_id")
+    rows = examples.join(F.broadcast(first), "doc_id").select(*examples.columns).toArrow().to_pylist()
     rows.sort(key=lambda r: (r["doc_id"], r["buckets"]))
     return [
         (np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.int32), r["label"])
@@ -154,9 +166,11 @@ def training_examples(
     ]
 
 
-def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS, buckets: int = TRAIN_BUCKETS
+) -> Model:
     """A model of ``labels.quality``, from texts alone."""
-    return fit(training_examples(docs, labels, limit))
+    return fit(training_examples(docs, labels, limit, buckets))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -18,6 +18,7 @@ LIMIT = 1024
 # The frequent pre-tokens come from about so many documents; all others are counted exactly too.
 SAMPLE_DOCS, FREQUENT = 5_000, 50_000
 CACHE = 150_000  # further pre-tokens a worker remembers
+KNOWN_LENGTH = 200  # characters of the longest pre-token that either of them holds
 
 # White space as the tokenizer's pattern understands it.
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -26,12 +27,15 @@ _PATTERN = (
     rf"| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 # Characters whose class has been the same in every version of Unicode tables in
-# use; a text with others is left to the tokenizer as a whole.
+# use; a stretch between spaces with others is left to the tokenizer undivided.
 _SETTLED = (
     r"\x00-\u036f\u0391-\u03a1\u03a3-\u03ce\u0400-\u045f\u2010-\u2027\u2030-\u205e\u20ac"
     r"\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
 )
 
+# A space between two characters that are none begins a pre-token, whatever their class.
+_SEAM = rf"(?<=[^{_SPACE}\u180e])(?= [^{_SPACE}\u180e])"
+
 
 def default_model() -> str:
     import public_tokenizers
@@ -62,43 +66,53 @@ class Counters:
         self.special = regex.compile("|".join(map(regex.escape, own))) if own else None
         self.cut = regex.compile(_PATTERN)
         self.odd = regex.compile(f"[^{_SETTLED}]")
+        self.seam = regex.compile(_SEAM, regex.V1)
         self.frequent, self.seen = frequent, {}
 
     def _encoded(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def pre_tokens(self, text: str) -> list[str]:
+        """What merges never cross; a stretch with odd characters may hold several."""
         parts = self.special.split(text) if self.special else [text]
-        return [p for part in parts for p in self.cut.findall(part)]
+        found = []
+        for part in parts:
+            if not self.odd.search(part):
+                found += self.cut.findall(part)
+                continue
+            for stretch in self.seam.split(part):
+                found += [stretch] if self.odd.search(stretch) else self.cut.findall(stretch)
+        return found
 
     def count(self, text: str) -> int:
-        if self.odd.search(text):
-            return self._encoded([text])[0]
         specials = len(self.special.findall(text)) if self.special else 0
         frequent, seen = self.frequent, self.seen
         lengths = [frequent.get(p) or seen.get(p) or p for p in self.pre_tokens(text)]
         missed = sorted({p for p in lengths if p.__class__ is str})
         if missed:
-            if len(seen) + len(missed) > CACHE:
-                seen.clear()
             new = dict(zip(missed, self._encoded(missed), strict=True))
-            seen.update(new)
+            kept = {p: n for p, n in new.items() if len(p) <= KNOWN_LENGTH}
+            if len(seen) + len(kept) > CACHE:
+                seen.clear()
+            seen.update(kept)
             lengths = [new[p] if p.__class__ is str else p for p in lengths]
         return specials + sum(lengths)
 
 
 def frequent_lengths(docs: DataFrame, definition: str) -> dict[str, int]:
-    """Token counts of the most frequent pre-tokens of a sample by hash: at most ``FREQUENT``."""
+    """Token counts of the most frequent pre-tokens of sampled rows: at most ``FREQUENT``.
+
+    Rows are drawn one by one, so that neither their number nor a repeated id
+    changes how many there are. Counts of tokens do not depend on them.
+    """
     spark = docs.sparkSession
-    total = docs.count()
-    part = int(min(1.0, SAMPLE_DOCS / max(total, 1)) * 1_000_000)
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(6)), F.lit(1_000_000)) < part)
+    sample = docs.sample(min(1.0, SAMPLE_DOCS / max(docs.count(), 1)), seed=6)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, found = Counters(definition, {}), Counter()
         for batch in batches:
             for text in batch.column(0):
-                found.update(counters.pre_tokens(text.as_py()))
+                found.update(p for p in counters.pre_tokens(text.as_py()) if len(p) <= KNOWN_LENGTH)
         if found:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found)), pa.array(list(found.values()), pa.int64())], ["p", "n"]
@@ -125,6 +139,8 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT)
     pre-tokens together. Two tiers know their lengths: a broadcast table of the
     frequent ones, of at most 50,000 entries, and each worker's cache, which
     encodes what it meets first and is emptied when full. Nothing is shuffled.
+    Where Unicode versions may differ on a character's class, the stretch from
+    one single space to the next is looked up and encoded as a whole.
     """
     spark = docs.sparkSession
     with open(model or default_model(), encoding="utf-8") as file:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 
 import pytest
@@ -286,6 +287,23 @@ def test_classifier_handles_odd_rows(spark, odd, nothing):
 # --- tokens and pieces
 
 
+def test_one_example_per_chosen_id_and_a_bound_on_their_buckets(spark):
+    docs = spark.createDataFrame(
+        [(1, f"text number {n} of many") for n in range(50)] + [(2, "another text"), (3, None), (4, "a b c d e")],
+        "doc_id long, text string",
+    )
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, quality int")
+    chosen = [i for i in range(1, 5) if zlib.crc32(str(i).encode()) % 5]
+    found = quality_classifier.training_examples(docs, labels)
+    assert [label for _, _, label in found] == [i % 2 for i in chosen]
+    assert quality_classifier.training_examples(docs.repartition(7), labels)[0][0].tolist() == found[0][0].tolist()
+    sizes = [len(b) for b, _, _ in found]
+    for bound in (0, max(sizes), sum(sizes) - 1, sum(sizes)):
+        kept = quality_classifier.training_examples(docs, labels, buckets=bound)
+        assert sum(len(b) for b, _, _ in kept) <= bound
+        assert (len(kept) == len(found)) == (bound >= sum(sizes))
+
+
 def test_token_counts_are_the_library_s(odd, plain, monkeypatch):
     from tokenizers import Tokenizer
 
@@ -299,6 +317,29 @@ def test_token_counts_are_the_library_s(odd, plain, monkeypatch):
     assert by_row((r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in found) == expected
 
 
+def test_rare_scripts_and_symbols_count_as_the_library_does():
+    import random
+
+    from tokenizers import Tokenizer
+
+    with open(token_counts.default_model(), encoding="utf-8") as file:
+        counters = token_counts.Counters(file.read(), {})
+    tokenizer = Tokenizer.from_file(token_counts.default_model())
+    parts = [
+        "well", "don't", "'s", "42", "!?", "\U0001f600", "\U0001f469\u200d\U0001f52c", "\u0645\u0631\u062d\u0628\u0627", "\u0e2a\u0e27\u0e31", "\u0928\u092e\u0938\u094d\u0924\u0947",
+        "\u180e", "\u200b", "\ufeff", "\u0660", "\u2167", "\U0001e900", "e\u0301", "\u4f60\u597d", "\x1c", "\x85", "\xa0", "\u2009", "\u3000",
+        "\n", "\t", "\r\n", "<|endoftext|>", "\U0010ffff", "\u0378",
+    ]
+    pick = random.Random(5)
+    texts = ["".join(pick.choice(parts) + " " * pick.choice([0, 1, 1, 1, 2]) for _ in range(pick.randint(1, 25)))
+             for _ in range(3000)]
+    assert [counters.count(t) for t in texts] == [len(tokenizer.encode(t, add_special_tokens=False)) for t in texts]
+    # Words of any script are looked up one by one.
+    assert len(counters.pre_tokens("\u0645\u0631 \u062d\u0628 ok \U0001f600 fine")) == 5
+    long = "\u0e2a" * 500
+    assert counters.count(long) == len(tokenizer.encode(long, add_special_tokens=False)) and long not in counters.seen
+
+
 def test_full_caches_change_nothing(monkeypatch):
     monkeypatch.setattr(token_counts, "CACHE", 3)
     with open(token_counts.default_model(), encoding="utf-8") as file:
