@@ -100,31 +100,29 @@ def _sketches(bands: int, rows: int):
     return run
 
 
-_UNIT = ["component", "left", "right"]
+_UNIT = ["unit", "left", "right"]
+_MEMBER = "block int, node binary, copies long, home binary, bands array<long>, grams binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to their sets, repeated for each unit of work the document is part of."""
+    names = ["unit", "left", "right", "block", "node", "copies", "home", "bands", "grams"]
+    types = [pa.binary(), *[pa.int32()] * 3, pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary()]
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in ("component", "blocks", "block", "node", "copies")]
-        for text, component, blocks, own, node, copies in zip(
-            batch.column("text"), *columns, strict=True
-        ):
+        columns = [batch.column(n) for n in ("text", "node", "copies", "home", "bands", "units")]
+        for text, *own in zip(*columns, strict=True):
+            node, copies, home, bands, units = (value.as_py() for value in own)
             grams = shingle_set(text.as_py())
             if not len(grams) or _name(grams) != node:
                 continue  # another row under the same id
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([component] * blocks, pa.binary()),
-                    pa.array([min(own, k) for k in range(blocks)], pa.int32()),
-                    pa.array([max(own, k) for k in range(blocks)], pa.int32()),
-                    pa.array([own] * blocks, pa.int32()),
-                    pa.array([node] * blocks, pa.binary()),
-                    pa.array([copies] * blocks, pa.int64()),
-                    pa.array([grams.tobytes()] * blocks, pa.binary()),
-                ],
-                [*_UNIT, "block", "node", "copies", "grams"],
-            )
+            for unit in units:
+                blocks, block = unit["blocks"], unit["block"]
+                shared = [block, node, copies, home, bands if len(unit["unit"]) == 8 else None, grams.tobytes()]
+                out = [[unit["unit"]] * blocks, [min(block, k) for k in range(blocks)],
+                       [max(block, k) for k in range(blocks)], *[[value] * blocks for value in shared]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(o, t) for o, t in zip(out, types, strict=True)], names
+                )
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -160,20 +158,34 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
+def _of_first_bucket(hit: np.ndarray, home: np.ndarray, bands: np.ndarray, key: int) -> np.ndarray:
+    """Of the hits in the bucket of ``key``: pairs of two homes that share no earlier band."""
+    hit &= home[:, None] != home
+    for i in np.flatnonzero(hit.any(axis=1)):
+        others = np.flatnonzero(hit[i])
+        first = (bands[others] == bands[i]).argmax(axis=1)
+        hit[i, others] = bands[i, first] == key
+    return hit
+
+
 def _verify(threshold: float):
-    """Links per document of one unit, and a spanning star of each of its components."""
+    """Links per linked document of one unit, and a spanning star of each of its components."""
     up, down = Fraction(str(threshold)).as_integer_ratio()
+    kinds = (pa.binary(), pa.int64(), pa.binary())
+    none = pa.table([pa.array([], kind) for kind in kinds], ["node", "links", "root"])
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        left, right = (k.as_py() for k in key[1:])
+        unit, left, right = (k.as_py() for k in key)
+        bucket = len(unit) == 8
         if left != right and len(group.column("block").unique()) < 2:
-            # One block is empty, and pairs within the other belong to its own unit.
-            none = [pa.array([], kind) for kind in (pa.binary(), pa.int64(), pa.binary())]
-            return pa.table(none, ["node", "links", "root"])
+            return none  # one block is empty, and pairs within the other belong to its own unit
         nodes, first = np.unique(
             np.array(group.column("node").to_pylist(), object), return_index=True
         )
         group = group.take(first)
+        home = np.unique(np.array(group.column("home").to_pylist(), object), return_inverse=True)[1]
+        if len(nodes) < 2 or bucket and home.max() == 0:
+            return none
         copies = group.column("copies").to_numpy()
         block = group.column("block").to_numpy()
         sets = [np.frombuffer(g.as_py(), np.uint64) for g in group.column("grams")]
@@ -186,6 +198,9 @@ def _verify(threshold: float):
         np.fill_diagonal(hit, False)
         if left != right:  # pairs within a block belong to the block's own unit
             hit &= block[:, None] != block
+        if bucket:
+            bands = np.array(group.column("bands").to_pylist(), np.int64)
+            hit = _of_first_bucket(hit, home, bands, int.from_bytes(unit, "big", signed=True))
         root = np.full(len(sets), -1)
         for i in range(len(sets)):
             if root[i] < 0:
@@ -194,11 +209,10 @@ def _verify(threshold: float):
                     near = hit[front].any(axis=0) & (root < 0)
                     root[near] = i
                     front = np.flatnonzero(near)
-        links = [int(copies[row].sum()) for row in hit]
-        return pa.table(
-            [pa.array(nodes, pa.binary()), pa.array(links, pa.int64()), pa.array(nodes[root], pa.binary())],
-            ["node", "links", "root"],
-        )
+        linked = np.flatnonzero(hit.any(axis=1))
+        links = [int(copies[hit[i]].sum()) for i in linked]
+        found = (nodes[linked], links, nodes[root[linked]])
+        return pa.table([pa.array(f, k) for f, k in zip(found, kinds, strict=True)], none.column_names)
 
     return run
 
@@ -217,14 +231,19 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     1. MinHash signatures in bands, chosen for a recall of 99.5 % at the threshold.
     2. Rows with the very same set are one from here on, with a count.
-    3. Shuffled by band key, each document is tied to the least in its bucket;
-       components of these ties hold every candidate pair (and more).
-    4. Each component's full sets meet and all its pairs are verified exactly.
+    3. Shuffled by band key, each document learns the least one of each of its
+       buckets; the least of these is its home. Nothing is closed transitively:
+       a home and its documents share a bucket.
+    4. Full sets meet per home, and all pairs of a home are verified exactly.
+       Pairs of two homes are verified in the first bucket they share; buckets of
+       one home have none and send nothing. So a set travels once and once more
+       for each bucket on a border between homes, however long chains of near
+       copies grow, and each candidate pair is verified in one place.
        A bitmap of fixed size, broadcast, keeps most other texts in place.
-       A large component is cut into blocks by hash, and a task verifies two
+       A large home or bucket is cut into blocks by hash, and a task verifies two
        blocks: memory is bounded by the block, work is spread, and pairs are
        only ever counted, never emitted. Out come a link count per document
-       and a spanning star per block pair, again joined into components.
+       and a spanning star per block pair; components are of verified links.
     """
     small_batches(docs.sparkSession)
     rows = stored(
@@ -247,30 +266,41 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
         keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n"))
         .filter("n > 1").drop("n")
     )
-    ties = components(keyed.join(least, "key").filter("node != least").select("node", "least"))
-    members = ties.union(ties.select("root", "root").distinct()).withColumnRenamed(
-        "root", "component"
+    tied = stored(keyed.join(least, "key"), "tied")
+    homes = stored(tied.groupBy("node").agg(F.min("least").alias("home")), "homes")
+    placed = tied.select("key", "node").join(homes, "node")
+    borders = (
+        placed.groupBy("key").agg(F.min("home").alias("low"), F.max("home").alias("high"))
+        .filter("low != high").select("key")
     )
-    members = stored(members.join(nodes.drop("bands"), "node"), "members")
-    blocks = members.groupBy("component").agg(
+    at_borders = tied.select("key", "node").join(borders, "key")
+    # Units are named by a home's 16 bytes or a bucket's eight.
+    parts = stored(
+        homes.select(F.col("home").alias("unit"), "node")
+        .union(at_borders.select(F.unhex(F.lpad(F.hex("key"), 16, "0")), "node"))
+        .join(nodes.select("node", "size"), "node"),
+        "parts",
+    )
+    blocks = parts.groupBy("unit").agg(
         F.ceil(F.greatest(F.sum("size") / BLOCK_GRAMS, F.count("*") / BLOCK_DOCS))
-        .cast("int").alias("blocks")
+        .cast("int").alias("blocks"),
+        F.count("*").alias("n"),
+    ).filter("n > 1").drop("n")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    # A document is in one home and at most as many buckets as there are bands.
+    members = stored(
+        parts.join(blocks, "unit").groupBy("node")
+        .agg(F.collect_list(F.struct("unit", "blocks", block)).alias("units"))
+        .join(homes, "node").join(nodes.select("node", "copies", "first", "bands"), "node"),
+        "members",
     )
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # Few documents have a candidate: a bitmap keeps most texts out of the shuffle.
     texts = flagged(
         docs.select(F.col("doc_id").alias("first"), text_or_empty().cast("binary").alias("text")),
         bitmap(members, "first", words=_WORDS), "near", "first", words=_WORDS,
     ).filter("near").drop("near")
-    units = (
-        members.join(blocks, "component")
-        .select("component", "blocks", block.alias("block"), "node", "copies", "first")
-        .hint("merge").join(texts, "first")
-        .mapInArrow(
-            _sets,
-            "component binary, left int, right int, block int, node binary, copies long,"
-            " grams binary",
-        )
+    units = members.hint("merge").join(texts, "first").mapInArrow(
+        _sets, f"unit binary, left int, right int, {_MEMBER}"
     )
     verified = stored(
         units.groupBy(*_UNIT).applyInArrow(_verify(threshold), "node binary, links long, root binary"),

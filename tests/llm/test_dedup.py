@@ -150,3 +150,41 @@ def test_one_row_of_each_class_stays_without_ids(spark):
     assert sorted((str(r["doc_id"]), (r["text"] or "")[-5:]) for r in kept) == sorted(
         [("5", " tail"), ("None", "words"), ("5", " five"), ("None", "")]
     )
+
+
+def chain(length: int, words: int = 120, step: int = 2) -> list[tuple[int, str]]:
+    """Texts of which each shares all but ``step`` words with the next."""
+    line = [f"c{k * 7919 % 104729}" for k in range(words + step * length)]
+    return [(i, " ".join(line[i * step : i * step + words])) for i in range(length)]
+
+
+@pytest.mark.parametrize("block_docs", [2000, 5])
+def test_chains_of_near_copies(spark, monkeypatch, block_docs):
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", block_docs)
+    rows = chain(60) + [(1000 + i, t + " tail") for i, t in chain(60)[::3]]
+    found = jaccard_join.classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in found.collect()}
+    expected = {i: (c, n) for i, c, n in near_classes(rows)}
+    assert {c for c, _ in got.values()} == {0}
+    assert {c for c, _ in expected.values()} == {0}
+    # No pair twice, and no more missed than the banding allows at the threshold.
+    assert all(got[i][1] <= n for i, (_, n) in expected.items())
+    assert sum(n for _, n in got.values()) >= 0.98 * sum(n for _, n in expected.values())
+
+
+def test_a_chain_ships_sets_in_proportion_to_its_length(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 4)
+    shipped, run = [], jaccard_join.stored
+
+    def counting(df, name):
+        out = run(df, name)
+        if name == "members":
+            shipped.append(
+                out.selectExpr("sum(aggregate(units, 0, (a, u) -> a + u.blocks)) AS n").first()["n"]
+            )
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counting)
+    for length in (40, 160):
+        jaccard_join.classes(spark.createDataFrame(chain(length, step=6), "doc_id long, text string"))
+    assert shipped[1] < 1.5 * 4 * shipped[0]
