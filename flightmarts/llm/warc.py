@@ -83,7 +83,9 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
     """The bytes after each magic, up to the next, in file order by ``at``.
 
     Spark cuts files into splits of bytes and each split at the magic, wherever
-    it stands; so what is inside a payload is cut there as well.
+    it stands; so what is inside a payload is cut there as well. ``at`` holds
+    for one reading only, as splits may be packed otherwise in the next; ``m1``
+    and ``m2`` name the bytes themselves.
     """
     return spark.read.option("lineSep", MAGIC).text(path).select(
         "value",
@@ -91,6 +93,8 @@ def _segments(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("split"),
         F.col("_metadata.file_size").alias("file_size"),
         F.monotonically_increasing_id().alias("at"),
+        F.xxhash64("value").alias("m1"),
+        F.xxhash64(F.lit("b"), "value").alias("m2"),
     )
 
 
@@ -109,7 +113,7 @@ def _parsed(segments: DataFrame) -> DataFrame:
     payload = F.substring(F.col("raw"), F.col("start") + 1, F.col("length").cast("int"))
     page = r"<urn:page:(-?[0-9]+)>"
     return sized.select(
-        "file", "split", "file_size", "at",
+        "file", "split", "file_size", "at", "m1", "m2",
         F.octet_length("raw").cast("long").alias("size"),
         "start", "length", F.coalesce("whole", F.lit(False)).alias("whole"),
         F.when(F.col("whole"), F.sha2(payload, 256)).alias("read_digest"),
@@ -188,16 +192,20 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     starts = chain.withColumn("record", F.col("offset"))
     so_far = Window.partitionBy("file").orderBy("offset")
     pieces = (
-        candidates.select("file", "offset", "at").join(starts.hint("merge"), ["file", "offset"], "left")
+        candidates.select("file", "offset", "m1", "m2").join(starts.hint("merge"), ["file", "offset"], "left")
         .withColumn("record", F.last("record", ignorenulls=True).over(so_far))
-        .select("file", F.col("offset").alias("piece"), F.col("record").alias("offset"), "at")
+        .select("file", F.col("offset").alias("piece"), F.col("record").alias("offset"), "m1", "m2")
         .join(cut, ["file", "offset"])
     )
-    # Their bytes are the only ones that are shuffled: a bitmap leaves the rest.
+    # Their bytes are the only ones that are shuffled, equal ones once per task: a bitmap
+    # leaves the rest. They are found by their hash, wherever this reading comes by them.
     pieces = stored(pieces, "pieces")
-    needed = flagged(segments.select("value", "at"), bitmap(pieces, "at"), "needed", "at")
+    needed = flagged(
+        segments.select("value", "m1", "m2"), bitmap(pieces, "m1", "m2"), "needed", "m1", "m2"
+    )
     joined = (
-        needed.filter("needed").drop("needed").join(pieces.hint("merge"), "at")
+        needed.filter("needed").groupBy("m1", "m2").agg(F.first("value").alias("value"))
+        .join(pieces.hint("merge"), ["m1", "m2"])
         .groupBy("file", "offset", "start", "length")
         .agg(F.sort_array(F.collect_list(F.struct("piece", F.col("value").cast("binary").alias("v")))).alias("p"))
         .select(

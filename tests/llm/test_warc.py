@@ -46,6 +46,23 @@ def test_small_splits_cut_records_anywhere(spark):
     assert sorted(map(tuple, rows)) == [r for r in expected() if r[0] != 15]
 
 
+def test_second_reading_may_split_files_otherwise(spark, monkeypatch):
+    name = "spark.sql.files.maxPartitionBytes"
+    before, bitmap = spark.conf.get(name), warc.bitmap
+
+    def resplit(*args, **kwargs):
+        bits = bitmap(*args, **kwargs)
+        spark.conf.set(name, "700")
+        return bits
+
+    monkeypatch.setattr(warc, "bitmap", resplit)
+    try:
+        rows = warc.archived(pages(spark).filter("page_id != 15")).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(map(tuple, rows)) == [r for r in expected() if r[0] != 15]
+
+
 def test_files_are_plain_records(spark, tmp_path):
     path = str(tmp_path / "archive")
     warc.write(pages(spark), path)
