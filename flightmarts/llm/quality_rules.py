@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from flightmarts.llm.common import SPACES, WORD, stored, table, text_or_empty, words
 
-# Character classes of a text, each as the pattern of what is *not* in it. Digits are
-# left out: a phone number in a short text says nothing about its quality.
-CLASSES = {
-    "lower": r"[^\p{Ll}]+",
+# Character classes of a text: lower-case letters, and others, each as the pattern of what
+# is *not* in it. Digits are left out: a phone number in a short text says nothing about its
+# quality.
+LOWER = r"\p{Ll}+"
+OTHERS = {
     "upper": r"[^\p{Lu}]+",
     "stop": r"[^.,;:!?'\"()-]+",
     "symbol": r"[\p{L}\p{N}\s.,;:!?'\"()-]+",
 }
+CLASSES = ["lower", *OTHERS]
 # The most frequent words of a language that its reference counts one by one.
 COMMON = 40
 # Documents that a reference, and a limit for one length of text, must rest on at least.
@@ -35,14 +37,15 @@ def _kept_chars(text: Column, other: str) -> Column:
 # Words inside 5-word windows found twice or more. Most texts repeat no window,
 # which a set of their hashes shows. Otherwise windows sorted by hash and place
 # lie beside their equals; the repeated places, sorted again, each cover five
-# words, or what is left up to the next.
+# words, or what is left up to the next. ``sort_array`` compares in compiled
+# code, ``array_sort`` would interpret an expression per comparison.
 _WINDOWS_IN_ORDER = """
     CASE WHEN size(array_distinct(grams)) < size(grams)
-    THEN array_sort(transform(grams, (g, i) -> struct(g AS g, i AS i))) END
+    THEN sort_array(transform(grams, (g, i) -> struct(g AS g, i AS i))) END
 """
 _REPEATED_WORDS = """
     CASE WHEN in_order IS NULL THEN 0L ELSE aggregate(
-        array_sort(transform(
+        sort_array(transform(
             filter(in_order, (p, k) -> coalesce(p.g = get(in_order, k - 1).g, false)
                                     OR coalesce(p.g = get(in_order, k + 1).g, false)),
             p -> p.i)),
@@ -61,7 +64,7 @@ _GRAMS = """
 # Each common word of a text with its count.
 _PRESENT = """
     transform(array_distinct(common),
-              w -> struct(w AS word, CAST(size(filter(common, x -> x = w)) AS BIGINT) AS n))
+              w -> struct(w AS word, CAST(size(common) - size(array_remove(common, w)) AS BIGINT) AS n))
 """
 
 
@@ -85,23 +88,28 @@ def common_words(docs: DataFrame) -> DataFrame:
 
 
 def measured(docs: DataFrame, common: list[int], *carried: str) -> DataFrame:
-    """Counts per row of ``docs``: the five of the rules, classes, common words."""
+    """Counts per row of ``docs``: the five of the rules, classes, common words.
+
+    Most of a text is lower-case letters and spaces, so characters are counted in
+    what is left without these.
+    """
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(WORD))
     listed = F.filter("hashes", lambda h: h.isin(common)) if common else F.array().cast("array<long>")
     return (
         docs.select("doc_id", "lang", text_or_empty().alias("t"), *carried)
         .withColumns({"w": words(F.col("t")), "lines": lines})
         .withColumn("hashes", F.transform("w", lambda w: F.xxhash64(w)))
-        .withColumns({"common": listed, "grams": F.expr(_GRAMS)})
-        .withColumn("in_order", F.expr(_WINDOWS_IN_ORDER))
+        .withColumns({"common": listed, "grams": F.expr(_GRAMS), "inked": F.array_join("w", "")})
+        .withColumns({"in_order": F.expr(_WINDOWS_IN_ORDER), "rest": F.regexp_replace("inked", LOWER, "")})
         .select(
             "doc_id", "lang", *carried,
             F.size("w").cast("long").alias("n_words"),
-            _kept_chars(F.col("t"), SPACES).alias("word_chars"),
-            _kept_chars(F.col("t"), r"[^#*$%&|<>]+").alias("n_symbols"),
+            F.length("inked").cast("long").alias("word_chars"),
+            _kept_chars(F.col("rest"), r"[^#*$%&|<>]+").alias("n_symbols"),
             (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
             F.expr(_REPEATED_WORDS).alias("n_repeat_words"),
-            *[_kept_chars(F.col("t"), other).alias(name) for name, other in CLASSES.items()],
+            (F.length("inked") - F.length("rest")).cast("long").alias("lower"),
+            *[_kept_chars(F.col("rest"), other).alias(name) for name, other in OTHERS.items()],
             F.expr(_PRESENT).alias("present"),
         )
     )
