@@ -215,7 +215,9 @@ def raw_arrivals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drifting_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Arrivals as JSON text whose shape changes from load to load, by rule."""
     docs = payload_documents(use_utc(spark), sf_dir, landing.ARRIVALS)
-    flight, load = F.get_json_object("document", "$.flights[0]"), F.col("load_id")
+    # Taken out once, in a projection of its own: it is used several times.
+    docs = docs.select(F.get_json_object("document", "$.flights[0]").alias("flight"), "load_id", "airport")
+    flight, load = F.col("flight"), F.col("load_id")
     as_number = F.regexp_replace(flight, '"terminal":"([0-9]+)"', '"terminal":$1')
     as_text = F.regexp_replace(flight, '"arrivalTime":\\{[^}]*\\}', '"arrivalTime":"late"')
     more = F.concat(F.lit('{"aircraft":{"type":"A320"},'), F.substring(flight, 2, 1 << 30))

@@ -22,6 +22,8 @@ from flightmarts.sources.landing import ARRIVALS, DEPARTURES, snake_case
 _FLIGHTS = {ARRIVALS: schemas.ARRIVAL_FLIGHT, DEPARTURES: schemas.DEPARTURE_FLIGHT}
 _RAW = {ARRIVALS: schemas.ARRIVALS_RAW, DEPARTURES: schemas.DEPARTURES_RAW}
 _META = ("_dlt_load_id", "_dlt_id")
+# Columns of a step on the way, apart from any that a table may carry.
+_FOUND, _TYPED = "_found_", "_typed_"
 # Names and types of an inferred schema, as Spark writes it.
 _TOKEN = re.compile(r"`(?:[^`]|``)*`|[A-Za-z_][\w]*(?:\(\d+,\s*\d+\))?|[<>:,]")
 
@@ -151,36 +153,65 @@ def typed_flights(flights: DataFrame, direction: str) -> DataFrame:
     load. A row id is the hash of load and text.
     """
     carried = [c for c in flights.columns if c not in ("flight", "load_id")]
-    paths = declared_fields(direction)
-    labels = {"__".join(snake_case(p) for p in path.split(".")): path for path in paths}
-    v = F.col("v")
+    labels = {"__".join(snake_case(p) for p in path.split(".")): path for path in declared_fields(direction)}
+
+    def shaped(leaf: str) -> Column:
+        """The declared fields with ``leaf`` as type of each, NULL where that does not fit."""
+
+        def of(struct: T.StructType) -> str:
+            inner = ", ".join(
+                f"{f.name}: {of(f.dataType) if isinstance(f.dataType, T.StructType) else leaf}"
+                for f in struct.fields
+            )
+            return f"struct<{inner}>"
+
+        return F.try_variant_get("v", "$", of(_FLIGHTS[direction]))
+
+    def kind(name: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get("v", f'$["{name}"]', "variant"))
+
+    # All fields are taken out together, once as text (of an object or list: as JSON) and
+    # once each as an object and as a list; in projections of their own, and not as fields
+    # of one struct, or Spark would put them in again for every column that needs them.
+    found = flights.withColumn("v", F.try_parse_json("flight")).select(
+        "flight", "load_id", *carried, "v",
+        shaped("string").alias(f"{_FOUND}text"),
+        shaped("map<string, variant>").alias(f"{_FOUND}object"),
+        shaped("array<variant>").alias(f"{_FOUND}list"),
+    )
 
-    def pointer(path: str) -> str:
-        return "$" + "".join(f'["{part}"]' for part in path.split("."))
+    def part(form: str, path: str) -> Column:
+        return F.col(f"{_FOUND}{form}.{path}")
 
-    fields, lost = {}, []
+    fields = {}
     for field in _RAW[direction].fields:
         if field.name in _META:
             continue
         path = labels[field.name]
-        raw = F.try_variant_get(v, pointer(path), "variant")
-        scalar = ~F.coalesce(F.schema_of_variant(raw).rlike("^(OBJECT|ARRAY)"), F.lit(False))
-        text = F.when(scalar, F.try_variant_get(v, pointer(path), "string"))
+        text = F.when(part("object", path).isNull() & part("list", path).isNull(), part("text", path))
         fields[field.name] = text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
-        present = raw.isNotNull() & (F.schema_of_variant(raw) != "VOID")
-        lost.append(F.when(present & fields[field.name].isNull(), F.lit(path)))
     # An object that has become a value takes all its fields along.
-    for name in sorted({p.split(".")[0] for p in paths if "." in p}):
-        kind = F.schema_of_variant(F.try_variant_get(v, pointer(name), "variant"))
-        lost.append(F.when(~kind.rlike("^(OBJECT|VOID)"), F.lit(name)))
-    lost.append(F.when(v.isNull(), F.lit("$")))
-    parsed = flights.withColumn("v", F.try_parse_json("flight"))
+    valued = [
+        F.when(part("text", name).isNull() & ~kind(name).rlike("^(OBJECT|VOID)"), F.lit(name))
+        for name in sorted({p.split(".")[0] for p in labels.values() if "." in p})
+    ]
+    damaged = F.when(F.col("v").isNull(), F.lit("$"))
+    # ``array_compact`` keeps a projection out of whole-stage code, where all these
+    # columns would make one method too long for the JVM to compile.
+    typed = found.select(
+        "*", *[c.alias(_TYPED + n) for n, c in fields.items()],
+        F.array_compact(F.array(*valued, damaged)).alias(_TYPED),
+    )
+    typed_of = {n: F.col(_TYPED + n) for n in fields}
+    lost = [
+        F.when(part("text", labels[n]).isNotNull() & c.isNull(), F.lit(labels[n])) for n, c in typed_of.items()
+    ]
     meta = {
         "_dlt_load_id": F.col("load_id"),
         "_dlt_id": F.md5(F.concat_ws("|", "load_id", "flight")),
     }
-    return parsed.select(
-        *[c.alias(n) for n, c in (fields | meta).items()],
+    return typed.select(
+        *[c.alias(n) for n, c in (typed_of | meta).items()],
         F.col("flight").alias("payload"), *carried,
-        F.array_join(F.array_compact(F.array(*lost)), ",").alias("drifted"),
+        F.array_join(F.concat(F.array_compact(F.array(*lost)), _TYPED), ",").alias("drifted"),
     )

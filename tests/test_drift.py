@@ -59,6 +59,21 @@ def test_nothing_is_lost(flights):
     assert by_text["{broken"].drifted == "$" and by_text["{broken"].flight_id is None
 
 
+def test_fields_are_taken_out_together(spark):
+    plain = flight("SK1", "GOT", "ARN", "2026-01-25T10:00:00Z", True, "2026-01-25T10:20:00Z")
+    changed = [
+        {"flightId": "{not an object", "baggage": {}}, {"flightId": ["x"], "baggage": None}, {"flightId": {}, "baggage": 3},
+    ]
+    texts = [("1", json.dumps(plain | more)) for more in changed] + [("1", "[1]"), ("1", None)]
+    typed = drift.typed_flights(spark.createDataFrame(texts, "load_id string, flight string"), ARRIVALS)
+    assert [(r.flight_id, r.drifted) for r in typed.collect()] == [
+        ("{not an object", ""), (None, "flightId"), (None, "flightId,baggage"), (None, ""), (None, "$")
+    ]
+    # Three casts of the whole flight, and one look at each object that is not there.
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("variant_get(") <= 3 + 5
+
+
 def test_lost_fields_stay_queryable(flights):
     rows = drift.typed_flights(flights, ARRIVALS).filter("drifted LIKE '%gate%'")
     assert [r.no for r in rows.selectExpr("variant_get(parse_json(payload), '$.locationAndStatus.gate.no', 'int') AS no").collect()] == [3]
