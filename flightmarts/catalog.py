@@ -25,6 +25,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The calendar's relative flags and the serving questions need a fixed day.
 AS_OF = "2026-01-25"
 MONTH = "2026-01-01"
+# Documents of a landed file at most, some 30 MB of text.
+LANDED_DOCUMENTS = 50_000
 
 
 def lazy_models(spark: SparkSession, sf_dir: str) -> Models:
@@ -195,15 +197,16 @@ def raw_arrivals_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_arrivals_streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw arrivals, landed as files in two goes and loaded by two runs of the stream."""
-    docs = payload_documents(use_utc(spark), sf_dir, landing.ARRIVALS)
+    docs = payload_documents(use_utc(spark), sf_dir, landing.ARRIVALS, by_day=True)
     docs = docs.select("document", "date", "airport", F.lit(landing.ARRIVALS).alias("direction"))
     root = scratch_path(spark, "stream")
     first = F.col("airport").isin("ARN", "GOT", "SFT")
     for some in (first, ~first):
-        # Documents of an airport and day meet in one file, one per line.
-        docs.filter(some).repartition("date", "airport").write.mode("append").partitionBy(
-            "date", "airport", "direction"
-        ).text(f"{root}/landing")
+        # Documents of an airport and day meet in packed files, one per line. Such a file
+        # is read by one task, so a busy day has several.
+        docs.filter(some).write.mode("append").partitionBy("date", "airport", "direction").option(
+            "maxRecordsPerFile", LANDED_DOCUMENTS
+        ).text(f"{root}/landing", compression="gzip")
         ingest.load_new(
             spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", one_per_line=True
         )

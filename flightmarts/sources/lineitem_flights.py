@@ -104,9 +104,15 @@ def _raw(flights: DataFrame, direction: str, origin: str, destination: str) -> D
     )
 
 
-def raw_flights(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Both raw tables, by name, from the test data under ``sf_dir``."""
+def raw_flights(spark: SparkSession, sf_dir: str, by_day: bool = False) -> dict[str, DataFrame]:
+    """Both raw tables, by name, from the test data under ``sf_dir``.
+
+    ``by_day`` brings the flights of an airport and scheduled day together, while
+    they are still order lines of five numbers.
+    """
     lines = spark.read.schema(_LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
+    if by_day:
+        lines = lines.repartition(F.expr(_FLIGHT["home"]), F.expr(f"({_FLIGHT['scheduled']}) div 86400"))
     flights = lines.selectExpr(*[f"{e} AS {name}" for name, e in _FLIGHT.items()])
     return {
         RAW_ARRIVALS: _raw(flights.filter("arrives"), "arrival", "other", "home"),
@@ -114,16 +120,18 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def payload_documents(spark: SparkSession, sf_dir: str, direction: str) -> DataFrame:
+def payload_documents(
+    spark: SparkSession, sf_dir: str, direction: str, by_day: bool = False
+) -> DataFrame:
     """The same flights as landed payloads, in JSON text, one flight a document.
 
     ``direction`` is ``arrivals`` or ``departures``. Columns: ``document``,
-    ``airport``, ``date`` (scheduled day) and ``load_id``.
+    ``airport``, ``date`` (scheduled day) and ``load_id``. ``by_day`` as for ``raw_flights``.
     """
     arrives = direction == "arrivals"
     table, kind = (RAW_ARRIVALS, "arrival") if arrives else (RAW_DEPARTURES, "departure")
     flight_type = schemas.ARRIVAL_FLIGHT if arrives else schemas.DEPARTURE_FLIGHT
-    raw = raw_flights(spark, sf_dir)[table]
+    raw = raw_flights(spark, sf_dir, by_day)[table]
 
     def as_text(name: str) -> Column:
         if name.endswith("_utc"):
