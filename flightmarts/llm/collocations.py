@@ -202,6 +202,9 @@ def windows(docs: DataFrame, frequent: Broadcast, longest: int = LONGEST) -> Dat
     A window is a word and the words that lead it, padded with nulls from the
     end of its piece on, and from where it is no longer frequent. Words that
     are not frequent themselves give windows of nulls alone.
+
+    There are as many tasks as cores at most, each of which takes several splits
+    one behind the other and adds its windows up over all of them.
     """
     columns = [_lead(k) for k in range(1, longest + 1)]
     schema = ", ".join(["lang string", *[f"{c} string" for c in columns], "n long"])
@@ -250,8 +253,11 @@ def windows(docs: DataFrame, frequent: Broadcast, longest: int = LONGEST) -> Dat
         if tables:
             yield from _summed(tables, columns).to_batches()
 
+    # Windows frequent over all are in nearly every split, and a task gives each of its own once:
+    # a task per split would give rows by the product of both numbers, which grow with the input.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
     return (
-        _texts(docs).mapInArrow(run, schema)
+        _texts(docs).coalesce(cores).mapInArrow(run, schema)
         .groupBy("lang", *columns).agg(F.sum("n").alias("n"))
     )
 

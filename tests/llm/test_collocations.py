@@ -119,5 +119,34 @@ def test_only_frequent_windows_travel(spark):
     }
 
 
+def test_windows_of_more_splits_are_no_more_rows(spark):
+    """Tasks add windows up over all their splits, so more splits than cores add no rows."""
+    cores = spark.sparkContext.defaultParallelism
+    text = " ".join(f"word{i} next{i};" for i in range(20))
+    docs = spark.createDataFrame([("x", text)] * 1200, "lang string, text string")
+
+    def made(splits):
+        cut = docs.repartition(splits)
+        shared = spark.sparkContext.broadcast(collocations.frequent_buckets(cut))
+        df = collocations.windows(cut, shared)
+        summed = {(r["w1"], r["w2"]): r["n"] for r in df.collect()}
+        assert summed == {(None, None): 0} | {
+            w: 1200 for i in range(20) for w in ((f"word{i}", f"next{i}"), (f"next{i}", None))
+        }
+        node = df._jdf.queryExecution().executedPlan()
+        while node.nodeName() != "MapInArrow":
+            node = node.children().apply(0)
+        return node.metrics().apply("pythonNumRowsReceived").value()
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = made(cores)
+        assert rows == 41 * cores
+        assert made(6 * cores) == rows
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_empty_table(nothing):
     assert collocations.collocations(nothing).count() == 0
